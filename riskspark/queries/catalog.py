@@ -232,6 +232,171 @@ def label_counts(spark: SparkSession, sf: str) -> DataFrame:
         "split", F.col("label").cast("bigint").alias("label"), "n")
 
 
+
+# ------------------------------------------------------------------ D1-D12 with fixed weights
+
+# The literal model the loss / gradient queries score.
+LINE_W = [0.1, -0.2, 0.3, 0.05]
+LINE_X = ["x0", "x1", "x2", "x3"]
+GD_X = ["x0", "x1", "x2"]
+GD_STEPS = 5
+
+
+def _line_design(spark, sf) -> DataFrame:
+    """Intercept, quantity / 50, discount * 10, price / 100000 and y = label."""
+    df = line_num(spark, sf)
+    return df.select("key", F.lit(1.0).alias("x0"), (F.col("quantity") / 50.0).alias("x1"),
+                     (F.col("discount") * 10.0).alias("x2"), (F.col("price") / 100000.0).alias("x3"),
+                     F.col("label").cast("double").alias("y"))
+
+
+def _loss_query(kind):
+    def run(spark, sf):
+        from riskspark.operators import losses
+        return losses.loss(_line_design(spark, sf), kind, LINE_X, LINE_W).select(r6("loss").alias("loss"))
+    return run
+
+
+def _grad_query(kind):
+    def run(spark, sf):
+        from riskspark.operators import losses
+        out = losses.gradient(_line_design(spark, sf), kind, LINE_X, LINE_W)
+        return out.select("j", r6("grad").alias("grad"))
+    return run
+
+
+mse_loss = _loss_query("mse")
+mse_balanced_loss = _loss_query("mse_balanced")
+logistic_loss = _loss_query("logistic")
+logistic_balanced_loss = _loss_query("logistic_balanced")
+mse_gradient = _grad_query("mse")
+mse_balanced_gradient = _grad_query("mse_balanced")
+logistic_gradient = _grad_query("logistic")
+logistic_balanced_gradient = _grad_query("logistic_balanced")
+
+
+# ------------------------------------------------------------------ E1-E8, Gram
+
+def _terms(spark, w, loss) -> DataFrame:
+    rows = [(f"w{j}", float(v)) for j, v in enumerate(w)] + [("loss", float(loss))]
+    return spark.createDataFrame(rows, "term string, value double").select("term", r6("value").alias("value"))
+
+
+def gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """X^T X of the 64 embedding dimensions over all rows: (i, j, value)."""
+    from riskspark.operators.moments import gram_by_key
+    from riskspark.sources.tables import EMB_DIM, emb
+    df = emb(spark, sf).select(encode.assemble([f"e{i}" for i in range(EMB_DIM)]),
+                               F.col("label").cast("double").alias("y"))
+    Z = gram_by_key(df, "x", "y", EMB_DIM)[0]
+    rows = [(i, j, float(Z[i, j])) for i in range(EMB_DIM) for j in range(EMB_DIM)]
+    out = spark.createDataFrame(rows, "i bigint, j bigint, value double")
+    return out.select("i", "j", r6("value").alias("value"))
+
+
+def _line_gram(spark, sf, cols):
+    from riskspark.operators.moments import gram_by_key
+    df = _line_design(spark, sf).select(encode.assemble(cols), "y")
+    Z = gram_by_key(df, "x", "y", len(cols))[0]
+    d = len(cols)
+    return Z[:d, :d], Z[:d, d], Z[d, d], Z[0, 0]
+
+
+def least_squares(spark: SparkSession, sf: str) -> DataFrame:
+    from riskspark.operators import linear
+    G, b, yy, n = _line_gram(spark, sf, ["x0", "x1"])
+    w = linear.least_squares(G, b)
+    return _terms(spark, w, linear.mse_from_gram(G, b, yy, n, w))
+
+
+def ridge(spark: SparkSession, sf: str) -> DataFrame:
+    from riskspark.operators import linear
+    G, b, yy, n = _line_gram(spark, sf, ["x0", "x1"])
+    w = linear.ridge(G, b, n, 0.1)
+    return _terms(spark, w, linear.mse_from_gram(G, b, yy, n, w))
+
+
+def mse_gd(spark: SparkSession, sf: str) -> DataFrame:
+    """5 steps, gamma 0.1, from one Gram pass."""
+    from riskspark.operators import linear
+    G, b, yy, n = _line_gram(spark, sf, GD_X)
+    w = linear.gd_from_gram(G, b, n, 0.1, GD_STEPS)
+    return _terms(spark, w, linear.mse_from_gram(G, b, yy, n, w))
+
+
+def _gd_query(loss, gamma, lam=0.0, balance=None):
+    def run(spark, sf):
+        from pyspark import StorageLevel
+        from riskspark.operators.gd import Task, fit_gd
+        df = (_line_design(spark, sf).select(encode.assemble(GD_X), "y", F.lit(0).alias("fold"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            W, ls = fit_gd(df, len(GD_X), [Task(loss, gamma, lam, -1, balance)], GD_STEPS)
+        finally:
+            df.unpersist()
+        return _terms(spark, W[:, 0], ls[0])
+    return run
+
+
+mse_gd_balanced = _gd_query("mse", 0.1, balance="residual_sign")
+logistic_gd = _gd_query("logistic", 0.7)
+logistic_gd_balanced = _gd_query("logistic", 0.7, balance="label")
+logistic_gd_sigmoid_scale = _gd_query("logistic", 0.7, balance="sigmoid_scale")
+logistic_l2 = _gd_query("logistic", 0.7, lam=0.1)
+
+MINIBATCH_SIZE = 10000
+
+
+def minibatch_gd(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 re-aimed: batches are hash buckets of about MINIBATCH_SIZE rows; step t
+    uses batch t mod B. All batch Grams come from one pass."""
+    from riskspark.operators import linear
+    from riskspark.operators.gd import batch_column, batch_schedule
+    from riskspark.operators.moments import gram_by_key
+    base = _line_design(spark, sf)
+    n_rows = base.count()
+    bcol, n_batches = batch_column(MINIBATCH_SIZE, n_rows, "batch", "key")
+    df = base.select(encode.assemble(GD_X), "y", bcol.alias("batch"))
+    d = len(GD_X)
+    grams = gram_by_key(df, "x", "y", d, "batch")
+    w = np.zeros(d)
+    for b in batch_schedule(GD_STEPS, n_batches):
+        Z = grams.get(b)
+        if Z is None:
+            continue
+        w = linear.gd_from_gram(Z[:d, :d], Z[:d, d], Z[0, 0], 0.1, 1, w)
+    tot = sum(grams.values())
+    return _terms(spark, w, linear.mse_from_gram(tot[:d, :d], tot[:d, d], tot[d, d], tot[0, 0], w))
+
+
+# ------------------------------------------------------------------ F2, G1, G2
+
+def _order_score(spark, sf) -> DataFrame:
+    """A fixed linear score on raw order columns (NULL where the balance is unknown)."""
+    df = order_risk(spark, sf)
+    score = F.lit(-1.0) + F.col("totalprice") / 150000.0 + F.col("acctbal") / 10000.0
+    return df.select("id", "split", "label", score.alias("score"))
+
+
+def predict_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    from riskspark.operators.evaluate import predict
+    return _order_score(spark, sf).select("id", "split", predict(F.col("score"), 0.0).alias("pred"))
+
+
+def confusion_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    from riskspark.operators import evaluate
+    scored = _order_score(spark, sf).withColumn("pred", evaluate.predict(F.col("score"), 0.0))
+    out = evaluate.confusion_metrics(scored, "label", "pred", ["split"])
+    return out.select("split", "tp", "fn", "tn", "fp",
+                      *[r6(c).alias(c) for c in ("accuracy", "recall", "fpr", "precision", "f1")])
+
+
+def threshold_search(spark: SparkSession, sf: str) -> DataFrame:
+    from riskspark.operators import evaluate
+    out = evaluate.threshold_search(_order_score(spark, sf), "score", "label", 100, ["split"])
+    return out.select("split", r6("threshold").alias("threshold"), r6("f1").alias("f1"))
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -241,4 +406,13 @@ QUERIES = {
     "holdout_split": holdout_split, "kfold_assign": kfold_assign, "exact_holdout": exact_holdout,
     "undersample": undersample, "scale_fit": scale_fit, "scale_apply_kfold": scale_apply_kfold,
     "class_ratio": class_ratio, "label_counts": label_counts,
+    "mse_loss": mse_loss, "mse_balanced_loss": mse_balanced_loss, "logistic_loss": logistic_loss,
+    "logistic_balanced_loss": logistic_balanced_loss, "mse_gradient": mse_gradient,
+    "mse_balanced_gradient": mse_balanced_gradient, "logistic_gradient": logistic_gradient,
+    "logistic_balanced_gradient": logistic_balanced_gradient, "gram_matrix": gram_matrix,
+    "least_squares": least_squares, "ridge": ridge, "mse_gd": mse_gd, "mse_gd_balanced": mse_gd_balanced,
+    "logistic_gd": logistic_gd, "logistic_gd_balanced": logistic_gd_balanced,
+    "logistic_gd_sigmoid_scale": logistic_gd_sigmoid_scale, "logistic_l2": logistic_l2,
+    "minibatch_gd": minibatch_gd, "predict_threshold": predict_threshold,
+    "confusion_metrics": confusion_metrics, "threshold_search": threshold_search,
 }

@@ -245,6 +245,173 @@ def label_counts() -> str:
                ("order_risk",))
 
 
+
+# ------------------------------------------------------------------ D*, E*
+
+# The same literal model as the Spark side.
+LINE_W = [0.1, -0.2, 0.3, 0.05]
+GD_STEPS = 5
+
+
+def dl(v) -> str:
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+DESIGN = ("d", "SELECT key, CAST(1.0 AS DOUBLE) AS x0, quantity / 50.0 AS x1, discount * 10.0 AS x2, "
+               "price / 100000.0 AS x3, CAST(label AS DOUBLE) AS y FROM line_num")
+RATIO = ("r", "SELECT CASE WHEN count(*) FILTER (WHERE y = -1) = 0 THEN 1.0 ELSE "
+              "CAST(count(*) FILTER (WHERE y = -1) AS DOUBLE) / count(*) FILTER (WHERE y = 1) END AS r FROM d")
+
+
+def _t(xs, ws) -> str:
+    return " + ".join(f"{x} * {w}" for x, w in zip(xs, ws))
+
+
+def _row_sql(kind: str, t: str):
+    """(loss, residual) per row as SQL; ``r`` is the class ratio column."""
+    sp = f"(greatest({t}, 0.0) + ln(1 + exp(-abs({t}))))"
+    sig = f"(1.0 / (1.0 + exp(-({t}))))"
+    y01 = "(CASE WHEN y = 1 THEN 1.0 ELSE 0.0 END)"
+    if kind == "mse":
+        e = f"(y - ({t}))"
+        return f"({e} * {e} / 2.0)", f"(-{e})"
+    if kind == "mse_balanced":
+        e = f"(y - ({t}))"
+        eb = (f"(CASE WHEN r > 1 THEN (CASE WHEN {e} >= 0 THEN {e} * r ELSE {e} END) "
+              f"ELSE (CASE WHEN {e} <= 0 THEN {e} * r ELSE {e} END) END)")
+        return f"({eb} * {eb} / 2.0)", f"(-{eb})"
+    if kind == "logistic":
+        return f"(-{y01} * ({t}) + {sp})", f"({sig} - {y01})"
+    if kind == "logistic_label":
+        wg = f"(CASE WHEN r > 1 THEN (CASE WHEN {y01} = 1 THEN r ELSE 1.0 END) ELSE (CASE WHEN {y01} = 0 THEN r ELSE 1.0 END) END)"
+        return f"({wg} * (-{y01} * ({t}) + {sp}))", f"({wg} * ({sig} - {y01}))"
+    if kind == "logistic_balanced":
+        wg = "(CASE WHEN r > 1 THEN (CASE WHEN y = 1 THEN r ELSE 1.0 END) ELSE (CASE WHEN y = -1 THEN r ELSE 1.0 END) END)"
+        return f"((-y * ({t}) + {sp}) * {wg})", f"({sig} * {wg} - y)"
+    raise ValueError(kind)
+
+
+def _loss_sql(kind):
+    def build():
+        lv, _ = _row_sql(kind, _t(["x0", "x1", "x2", "x3"], [dl(w) for w in LINE_W]))
+        return sql(f"SELECT {r6(f'avg({lv})')} AS loss FROM d, r", ("line_num",), (DESIGN, RATIO))
+    return build
+
+
+def _grad_sql(kind):
+    def build():
+        _, R = _row_sql(kind, _t(["x0", "x1", "x2", "x3"], [dl(w) for w in LINE_W]))
+        body = "\nUNION ALL\n".join(f"SELECT CAST({j} AS BIGINT) AS j, {r6(f'avg({R} * x{j})')} AS grad FROM d, r"
+                                     for j in range(4))
+        return sql(body, ("line_num",), (DESIGN, RATIO))
+    return build
+
+
+def gram_matrix() -> str:
+    u = ("u", "SELECT vec_id, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings")
+    body = ("SELECT CAST(a.i AS BIGINT) AS i, CAST(b.i AS BIGINT) AS j, "
+            f"{r6('sum(a.v * b.v)')} AS value FROM u a JOIN u b ON a.vec_id = b.vec_id GROUP BY a.i, b.i")
+    return "WITH " + f"{u[0]} AS ({u[1]})\n" + body
+
+
+def _closed_form(lam: float) -> str:
+    stats = ("s", "SELECT count(*) AS n, sum(x1) AS sx, sum(x1 * x1) AS sxx, sum(y) AS sy, sum(x1 * y) AS sxy FROM d")
+    a00 = f"(n + 2 * {dl(lam)} * n)"
+    a11 = f"(sxx + 2 * {dl(lam)} * n)"
+    det = f"({a00} * {a11} - sx * sx)"
+    w = ("w", f"SELECT (sy * {a11} - sx * sxy) / {det} AS w0, ({a00} * sxy - sx * sy) / {det} AS w1 FROM s")
+    body = ("SELECT 'w0' AS term, " + r6("w0") + " AS value FROM w UNION ALL "
+            "SELECT 'w1', " + r6("w1") + " FROM w UNION ALL "
+            "SELECT 'loss', " + r6("avg((y - (x0 * w0 + x1 * w1)) * (y - (x0 * w0 + x1 * w1))) / 2.0") + " FROM d, w")
+    return sql(body, ("line_num",), (DESIGN, stats, w))
+
+
+def least_squares() -> str:
+    return _closed_form(0.0)
+
+
+def ridge() -> str:
+    return _closed_form(0.1)
+
+
+def _gd_sql(kind: str, gamma: float, lam: float = 0.0, batch: int | None = None):
+    xs = ["x0", "x1", "x2"]
+
+    def build():
+        ws = [f"w{j}" for j in range(len(xs))]
+        t = _t(xs, ws)
+        _, R = _row_sql(kind, t)
+        upd = ", ".join(f"w{j} - {dl(gamma)} * (avg({R} * x{j}) + 2 * {dl(lam)} * w{j})" for j in range(len(xs)))
+        init = ", ".join(f"CAST(0.0 AS DOUBLE) AS w{j}" for j in range(len(xs)))
+        src = "d, r"
+        ctes = [DESIGN, RATIO]
+        if batch:
+            ctes.append(("nb", f"SELECT greatest(1, count(*) // {batch}) AS nb FROM d"))
+            ctes.append(("db", f"SELECT d.*, {hash32_sql('batch', 'key')} % nb AS batch FROM d, nb"))
+            src = "db JOIN nb ON TRUE JOIN r ON TRUE"
+            where = f"step < {GD_STEPS} AND batch = step % nb"
+        else:
+            where = f"step < {GD_STEPS}"
+        g = ("g(step, " + ", ".join(ws) + ")",
+             f"SELECT 0, {init} UNION ALL SELECT step + 1, {upd} FROM g, {src} WHERE {where} "
+             f"GROUP BY step, {', '.join(ws)}")
+        fw = ("fw", f"SELECT * FROM g WHERE step = {GD_STEPS}")
+        final_kind = "mse" if batch else kind
+        lv, _ = _row_sql(final_kind, t)
+        body = " UNION ALL ".join(f"SELECT 'w{j}' AS term, {r6(f'w{j}')} AS value FROM fw" for j in range(len(xs)))
+        body += f" UNION ALL SELECT 'loss', {r6(f'avg({lv})')} FROM d, fw, r"
+        return sql(body, ("line_num",), tuple(ctes) + (g, fw), recursive=True)
+    return build
+
+
+# ------------------------------------------------------------------ F2, G1, G2
+
+SCORE = ("sc", "SELECT id, split, label, -1.0 + totalprice / 150000.0 + acctbal / 10000.0 AS score FROM order_risk")
+
+
+def predict_threshold() -> str:
+    return sql("SELECT id, split, CAST(CASE WHEN score <= 0.0 THEN -1 ELSE 1 END AS INTEGER) AS pred FROM sc",
+               ("order_risk",), (SCORE,))
+
+
+def _metric_cols(tp, fn, tn, fp) -> str:
+    rec = f"(CASE WHEN {tp} + {fn} > 0 THEN CAST({tp} AS DOUBLE) / ({tp} + {fn}) ELSE 0.0 END)"
+    pre = f"(CASE WHEN {tp} + {fp} > 0 THEN CAST({tp} AS DOUBLE) / ({tp} + {fp}) ELSE 0.0 END)"
+    fpr = f"(CASE WHEN {fp} + {tn} > 0 THEN CAST({fp} AS DOUBLE) / ({fp} + {tn}) ELSE 0.0 END)"
+    acc = f"(CASE WHEN {tp} + {fn} + {tn} + {fp} > 0 THEN CAST({tp} + {tn} AS DOUBLE) / ({tp} + {fn} + {tn} + {fp}) ELSE 0.0 END)"
+    f1 = f"(CASE WHEN {pre} + {rec} > 0 THEN 2.0 * ({pre} * {rec}) / ({pre} + {rec}) ELSE 0.0 END)"
+    return (f"{r6(acc)} AS accuracy, {r6(rec)} AS recall, {r6(fpr)} AS fpr, {r6(pre)} AS precision, {r6(f1)} AS f1")
+
+
+def confusion_metrics() -> str:
+    pred = "(CASE WHEN score <= 0.0 THEN -1 ELSE 1 END)"
+    cnt = ("c", f"SELECT split, CAST(count(*) FILTER (WHERE label <> -1 AND {pred} = 1) AS BIGINT) AS tp, "
+                f"CAST(count(*) FILTER (WHERE label <> -1 AND {pred} = -1) AS BIGINT) AS fn, "
+                f"CAST(count(*) FILTER (WHERE label = -1 AND {pred} = -1) AS BIGINT) AS tn, "
+                f"CAST(count(*) FILTER (WHERE label = -1 AND {pred} = 1) AS BIGINT) AS fp FROM sc GROUP BY split")
+    return sql(f"SELECT split, tp, fn, tn, fp, {_metric_cols('tp', 'fn', 'tn', 'fp')} FROM c",
+               ("order_risk",), (SCORE, cnt))
+
+
+def _grid(n: int) -> tuple[str, str]:
+    return ("th", f"SELECT range AS i, range * (CAST(2.0 AS DOUBLE) / {n - 1}) - 1.0 AS t FROM range({n})")
+
+
+def threshold_search() -> str:
+    pos = "(CASE WHEN score <= t THEN -1 ELSE 1 END) = 1"
+    cnt = ("c", f"SELECT split, i, t, count(*) FILTER (WHERE label <> -1 AND {pos}) AS tp, "
+                f"count(*) FILTER (WHERE label <> -1 AND NOT ({pos})) AS fn, "
+                f"count(*) FILTER (WHERE label = -1 AND NOT ({pos})) AS tn, "
+                f"count(*) FILTER (WHERE label = -1 AND {pos}) AS fp FROM sc, th GROUP BY split, i, t")
+    rec = "(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END)"
+    pre = "(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END)"
+    f1 = ("f", f"SELECT split, i, t, (CASE WHEN {pre} + {rec} > 0 THEN 2.0 * ({pre} * {rec}) / ({pre} + {rec}) "
+               "ELSE 0.0 END) AS f1 FROM c")
+    body = ("SELECT split, " + r6("CASE WHEN f1 > 0 THEN t ELSE 0.0 END") + " AS threshold, " + r6("f1") + " AS f1 "
+            "FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY f1 DESC, i) AS rk FROM f) WHERE rk = 1")
+    return sql(body, ("order_risk",), (SCORE, _grid(100), cnt, f1))
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -254,6 +421,17 @@ ORACLES = {
     "holdout_split": holdout_split, "kfold_assign": kfold_assign, "exact_holdout": exact_holdout,
     "undersample": undersample, "scale_fit": scale_fit, "scale_apply_kfold": scale_apply_kfold,
     "class_ratio": class_ratio, "label_counts": label_counts,
+    "mse_loss": _loss_sql("mse"), "mse_balanced_loss": _loss_sql("mse_balanced"),
+    "logistic_loss": _loss_sql("logistic"), "logistic_balanced_loss": _loss_sql("logistic_balanced"),
+    "mse_gradient": _grad_sql("mse"), "mse_balanced_gradient": _grad_sql("mse_balanced"),
+    "logistic_gradient": _grad_sql("logistic"), "logistic_balanced_gradient": _grad_sql("logistic_balanced"),
+    "gram_matrix": gram_matrix, "least_squares": least_squares, "ridge": ridge,
+    "mse_gd": _gd_sql("mse", 0.1), "mse_gd_balanced": _gd_sql("mse_balanced", 0.1),
+    "logistic_gd": _gd_sql("logistic", 0.7), "logistic_gd_balanced": _gd_sql("logistic_label", 0.7),
+    "logistic_gd_sigmoid_scale": _gd_sql("logistic_balanced", 0.7), "logistic_l2": _gd_sql("logistic", 0.7, 0.1),
+    "minibatch_gd": _gd_sql("mse", 0.1, batch=10000),
+    "predict_threshold": predict_threshold, "confusion_metrics": confusion_metrics,
+    "threshold_search": threshold_search,
 }
 
 
