@@ -41,6 +41,8 @@ class ModelConfig:
     lam: float = 0.0
     balance: str | None = None    # mse: residual_sign; logistic: label | sigmoid_scale
     name: str = ""
+    search: int | None = None     # thresholds to search (None: the cross_validate argument)
+    threshold: float | None = None  # fixed threshold (None: the cross_validate argument)
 
     @property
     def loss(self) -> str:
@@ -174,23 +176,33 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
 
 
 def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[ModelConfig], k: int = 5,
-                   search_thresholds: int = 0, threshold: float = 0.0, persist: bool = True) -> CVResult:
+                   search_thresholds: int = 0, threshold: float = 0.0, persist: bool = True,
+                   folds: Sequence[int] | None = None, checkpoint: bool = False) -> CVResult:
     """G3 for several model configurations at once on ``prepare``d data
-    (rows with fold == -1 -- the holdout -- are never used)."""
+    (rows with fold == -1 -- the holdout -- are never used). ``folds`` lists
+    the validation folds to run (default 0..k-1; ``[-1]`` trains on all rows).
+    ``checkpoint`` writes the training rows to the shared checkpoint folder
+    first, so the step loop never recomputes upstream joins after a loss."""
     d = len(layout.names)
     if layout.columns[0].kind != "intercept":
         raise ValueError("cross_validate needs the intercept at position 0 (add_intercept)")
     cont_pos = layout.continuous_positions()
     cont = [layout.names[p] for p in cont_pos]
     train = data.filter(F.col("fold") >= 0).select("id", "y", "fold", "x", *cont)
+    if checkpoint:
+        from riskspark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(train.sparkSession)
+        train = train.checkpoint(eager=True)
     if persist:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    fold_ids = list(range(k)) if folds is None else list(folds)
     try:
-        mom = fold_moments(train, cont, "fold") if cont else {i: (np.zeros(0),) * 3 for i in range(k)}
-        scalers = training_scalers(mom, range(k)) if cont else {i: (np.zeros(0), np.zeros(0)) for i in range(k)}
+        mom = fold_moments(train, cont, "fold") if cont else {}
+        scalers = (training_scalers(mom, fold_ids) if cont
+                   else {i: (np.zeros(0), np.zeros(0)) for i in fold_ids})
         tasks, where = [], []
         for ci, cfg in enumerate(configs):
-            for i in range(k):
+            for i in fold_ids:
                 a, c = scaler_affine(d, cont_pos, *scalers[i])
                 tasks.append(Task(cfg.loss, cfg.gamma, cfg.lam if cfg.kind == "reg_logistic" else 0.0, i,
                                   cfg.balance, a, c))
@@ -234,20 +246,31 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
             W[:, idx] = Wsub
             train_loss[idx] = lsub
 
-        n_thr = search_thresholds if search_thresholds > 0 else 1
-        fixed = 0.0 if search_thresholds > 0 else threshold    # the search falls back to 0.0
-        acc, nb = _eval_pass(train, d, tasks, W, ratios, [fixed] * M, n_thr)
         result = CVResult(list(configs), layout=layout)
+        per_task = []
+        for ci, _ in where:
+            cfg = configs[ci]
+            n = cfg.search if cfg.search is not None else search_thresholds
+            fixed_t = cfg.threshold if cfg.threshold is not None else threshold
+            per_task.append((n, 0.0 if n > 0 else fixed_t))   # a search falls back to 0.0
+        stats = {}
+        for n in sorted({n for n, _ in per_task}):
+            idx = [m for m in range(M) if per_task[m][0] == n]
+            acc, nb = _eval_pass(train, d, [tasks[m] for m in idx], W[:, idx], ratios[idx],
+                                 [per_task[m][1] for m in idx], n if n > 0 else 1)
+            for row, m in zip(acc, idx):
+                stats[m] = (row, nb)
         for m, (ci, i) in enumerate(where):
             cfg = configs[ci]
-            row = acc[m]
+            row, nb = stats[m]
+            n, fixed = per_task[m]
             val_loss = row[2] / row[3] if row[3] > 0 else float("nan")
             if cfg.penalty_in_score:
                 val_loss += cfg.lam * float(np.sum(W[:, m] ** 2))
             hp, hn = row[4:4 + nb], row[4 + nb:4 + 2 * nb]
             thr, counts = fixed, tuple(row[4 + 2 * nb:])
-            if search_thresholds > 0:
-                best_t, _, best_counts = best_threshold_from_hist(hp, hn, search_thresholds)
+            if n > 0:
+                best_t, _, best_counts = best_threshold_from_hist(hp, hn, n)
                 if best_counts is not None:
                     thr, counts = best_t, best_counts
             result.folds.append(FoldResult(ci, i, float(train_loss[m]), float(val_loss), float(thr),

@@ -397,6 +397,142 @@ def threshold_search(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("split", r6("threshold").alias("threshold"), r6("f1").alias("f1"))
 
 
+
+# ------------------------------------------------------------------ G3-G9, A6
+
+CV_STEPS = 5
+CV_SEARCH = 100
+# Sweep grids and ablation settings (reference experiment scripts).
+SWEEP_DEGREES = [1, 2, 3]
+SWEEP_GAMMAS = [0.01, 0.1, 0.48, 1.0]
+
+
+def ablation_configs():
+    from riskspark.plans.cv import ModelConfig as MC
+    lr = dict(kind="mse_gd", max_iters=300, gamma=0.01)
+    lg = dict(kind="logistic", max_iters=300, gamma=0.7)
+    return [MC(**lr, name="LR", search=0, threshold=0.0),
+            MC(**lr, balance="residual_sign", name="LR_balanced", search=0, threshold=0.0),
+            MC(**lr, name="LR_th", search=100),
+            MC(**lr, balance="residual_sign", name="LR_balanced_th", search=100),
+            MC(**lg, balance="label", name="LogR", search=0, threshold=0.5),
+            MC(**lg, balance="label", name="LogR_balanced", search=0, threshold=0.5),
+            MC(**lg, name="LogR_th", search=1000),
+            MC(**lg, balance="label", name="LogR_balanced_th", search=1000)]
+
+
+def _cv_inputs(spark, sf, degree=1):
+    from riskspark.plans import cv
+    model = _order_cleaning(spark, sf)
+    layout = model.layout.with_intercept()
+    clean = model.transform(order_risk(spark, sf))
+    if degree > 1:
+        cont = layout.continuous
+        clean = clean.select(*[c for c in clean.columns if c not in cont], *encode.poly_exprs(cont, degree))
+        layout = layout.expanded(degree)
+    return clean, layout, cv.prepare(clean, layout, K, SEED)
+
+
+@lru_cache(maxsize=8)
+def _cv_run(spark: SparkSession, sf: str, which: str, degree: int = 1):
+    from riskspark.plans import cv
+    clean, layout, data = _cv_inputs(spark, sf, degree)
+    if which == "flagship":
+        configs, search = [cv.ModelConfig("logistic", CV_STEPS, 0.7)], CV_SEARCH
+    elif which == "degree":
+        configs, search = [cv.ModelConfig("mse_gd", 200, 0.001)], 100
+    elif which == "rate":
+        configs, search = [cv.ModelConfig("logistic", 300, g) for g in SWEEP_GAMMAS], 100
+    else:
+        configs, search = ablation_configs(), 0
+    res = cv.cross_validate(data, layout, configs, K, search_thresholds=search, checkpoint=True)
+    return res, clean, layout, data
+
+
+METRICS = ("accuracy", "recall", "fpr", "precision", "f1")
+
+
+def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 flagship: spec cleaning, intercept, 20 % holdout, 5 folds with per-fold
+    scaling, logistic GD (gamma 0.7), F1 threshold search over 100 points."""
+    res = _cv_run(spark, sf, "flagship")[0]
+    out = res.to_df(spark)
+    return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
+
+
+def _averaged_scorer(spark, sf, which="flagship"):
+    from riskspark.plans.models import LinearScorer
+    res, clean, layout, data = _cv_run(spark, sf, which)
+    w, thr, mu, sd = res.average(0)
+    return LinearScorer(layout, w, mu, sd, logistic=True, threshold=thr), res, clean, layout, data
+
+
+def fold_average(spark: SparkSession, sf: str) -> DataFrame:
+    """Fold-averaged weights, threshold, means and stds."""
+    res, _, layout, _ = _cv_run(spark, sf, "flagship")
+    w, thr, mu, sd = res.average(0)
+    rows = [(f"w{j}", float(v)) for j, v in enumerate(w)] + [("threshold", thr)]
+    rows += [(f"mean_{c}", float(v)) for c, v in zip(layout.continuous, mu)]
+    rows += [(f"std_{c}", float(v)) for c, v in zip(layout.continuous, sd)]
+    return spark.createDataFrame(rows, "term string, value double").select("term", r6("value").alias("value"))
+
+
+def holdout_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The averaged model on the held-out 20 % of the training split."""
+    from riskspark.operators import evaluate
+    scorer, _, _, _, data = _averaged_scorer(spark, sf)
+    scored = scorer.transform(data.filter(F.col("holdout")).withColumn("label", F.col("y").cast("int")))
+    out = evaluate.confusion_metrics(scored, "label", "prediction")
+    return out.select("tp", "fn", "tn", "fp", *[r6(c).alias(c) for c in METRICS])
+
+
+def submission(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of the averaged model for the test split (Id, Prediction).
+    ``riskspark.sources.sink.write_submission`` writes it as CSV."""
+    scorer, _, clean, _, _ = _averaged_scorer(spark, sf)
+    scored = scorer.transform(clean.filter(F.col("split") == "test"))
+    return scored.select(F.col("id").alias("Id"), F.col("prediction").alias("Prediction"))
+
+
+def _means(res, config=0):
+    rs = [r for r in res.folds if r.config == config]
+    return {k: float(np.mean([r.metrics[k] for r in rs])) for k in METRICS} | {
+        "train_loss": float(np.mean([r.train_loss for r in rs])),
+        "val_loss": float(np.mean([r.val_loss for r in rs])),
+        "threshold": float(np.mean([r.threshold for r in rs]))}
+
+
+def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Polynomial degree x 5-fold CV of MSE GD (200 steps, gamma 0.001)."""
+    rows = []
+    for deg in SWEEP_DEGREES:
+        res = _cv_run(spark, sf, "degree", deg)[0]
+        m = _means(res)
+        w = res.average(0)[0]
+        rows.append((deg, m["train_loss"], m["val_loss"], m["f1"], m["accuracy"], m["threshold"],
+                     float(np.linalg.norm(w))))
+    cols = ["train_loss", "val_loss", "f1", "accuracy", "threshold", "weights_norm"]
+    out = spark.createDataFrame(rows, "degree bigint, " + ", ".join(f"{c} double" for c in cols))
+    return out.select("degree", *[r6(c).alias(c) for c in cols])
+
+
+def rate_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Step-size grid x 5 folds, all trained in the same passes."""
+    res = _cv_run(spark, sf, "rate")[0]
+    rows = [(g, *[_means(res, ci)[k] for k in ("f1", "accuracy", "threshold")]) for ci, g in enumerate(SWEEP_GAMMAS)]
+    out = spark.createDataFrame(rows, "gamma double, f1 double, accuracy double, threshold double")
+    return out.select(r6("gamma").alias("gamma"), *[r6(c).alias(c) for c in ("f1", "accuracy", "threshold")])
+
+
+def ablation(spark: SparkSession, sf: str) -> DataFrame:
+    """{linear, logistic} x {none, balanced, threshold, both}, 5-fold means."""
+    res = _cv_run(spark, sf, "ablation")[0]
+    rows = [(c.name, *[_means(res, ci)[k] for k in ("f1", "accuracy", "threshold")])
+            for ci, c in enumerate(res.configs)]
+    out = spark.createDataFrame(rows, "config string, f1 double, accuracy double, threshold double")
+    return out.select("config", *[r6(c).alias(c) for c in ("f1", "accuracy", "threshold")])
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -415,4 +551,6 @@ QUERIES = {
     "logistic_gd_sigmoid_scale": logistic_gd_sigmoid_scale, "logistic_l2": logistic_l2,
     "minibatch_gd": minibatch_gd, "predict_threshold": predict_threshold,
     "confusion_metrics": confusion_metrics, "threshold_search": threshold_search,
+    "cross_validate": cross_validate, "fold_average": fold_average, "holdout_metrics": holdout_metrics,
+    "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
 }

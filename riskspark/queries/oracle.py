@@ -436,4 +436,7 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: fn() for name, fn in ORACLES.items()}
+    from riskspark.queries import oracle_cv
+    out = {name: fn() for name, fn in ORACLES.items()}
+    out.update(oracle_cv.cv_oracles())
+    return out
