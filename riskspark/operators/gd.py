@@ -159,6 +159,8 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
             N += member.sum(axis=0)
         yield partial_batch({(0, 0): np.concatenate([G.ravel(), S, LS, N])})
 
+    from riskspark.session import ship_package
+    ship_package(df.sparkSession)
     parts = df.select(x_col, y_col, fold_col).mapInArrow(kernel, PARTIAL_SCHEMA)
     vec = reduce_partials(parts, d * M + 3 * M)[(0, 0)]
     G = vec[:d * M].reshape(d, M)

@@ -167,6 +167,8 @@ def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | No
                 items[(kv, i)] = g[i]
         yield partial_batch(items)
 
+    from riskspark.session import ship_package
+    ship_package(df.sparkSession)
     partials = df.select(*cols).mapInArrow(kernel, PARTIAL_SCHEMA)
     reduced = reduce_partials(partials, (d + 1))
     out: dict = {}

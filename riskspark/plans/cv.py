@@ -171,6 +171,8 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
                                           hp, hn, conf])
         yield partial_batch({(0, 0): acc.ravel()})
 
+    from riskspark.session import ship_package
+    ship_package(data.sparkSession)
     parts = data.select("x", "y", "fold").mapInArrow(kernel, PARTIAL_SCHEMA)
     return reduce_partials(parts, M * width)[(0, 0)].reshape(M, width), nb
 

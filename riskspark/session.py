@@ -58,3 +58,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/riskspark/{name}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskspark`` importable in Python workers (Arrow kernels pickle
+    references to its functions). Zips the package once per application and
+    distributes it with ``addPyFile`` -- the same mechanism as ``--py-files``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="riskspark-pkg-")
+    archive = shutil.make_archive(os.path.join(out_dir, "riskspark"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
