@@ -124,8 +124,7 @@ class CleaningEstimator:
         auto_cols = [c for c in order if by_id[c].type == "auto"]
         auto = {}
         if auto_cols:
-            auto = {r["feature"]: r["kind"] for r in
-                    profile.auto_kinds(df, auto_cols, self.max_categories, train).collect()}
+            auto = profile.auto_kind_map(df, auto_cols, self.max_categories, train)
         for c in order:
             s = by_id[c]
             kind = auto.get(c, s.type)

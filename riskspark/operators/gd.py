@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, partial_batch,
-                                         reduce_partials)
+from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, bounded_partitions,
+                                         partial_batch, reduce_partials)
 
 LOSSES = ("mse", "logistic")
 BALANCES = (None, "residual_sign", "label", "sigmoid_scale")
@@ -161,7 +161,7 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
 
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
-    parts = df.select(x_col, y_col, fold_col).mapInArrow(kernel, PARTIAL_SCHEMA)
+    parts = bounded_partitions(df.select(x_col, y_col, fold_col)).mapInArrow(kernel, PARTIAL_SCHEMA)
     vec = reduce_partials(parts, d * M + 3 * M)[(0, 0)]
     G = vec[:d * M].reshape(d, M)
     S, LS, N = vec[d * M:d * M + M], vec[d * M + M:d * M + 2 * M], vec[d * M + 2 * M:]

@@ -104,14 +104,15 @@ def _sum_group(pdf):
                          "vals": [total]})
 
 
-def reduce_partials(partials: DataFrame, vector_len: int) -> dict:
+def reduce_partials(partials: DataFrame, values_per_partition: int) -> dict:
     """Sum the partial vectors by (key, i) -> {(key, i): np.ndarray}.
 
-    If the partials are known to be small (partitions x length x 8 bytes under
+    If the partials are provably small (partitions x values x 8 bytes under
     DIRECT_COLLECT_BYTES) they are summed on the driver; otherwise each
-    (key, i) group is summed in its own task on the cluster first."""
+    (key, i) group -- one row per partition, and partitions are bounded by
+    ``bounded_partitions`` -- is summed in its own task on the cluster first."""
     n_parts = partials.rdd.getNumPartitions()
-    if n_parts * max(vector_len, 1) * 8 * 4 <= DIRECT_COLLECT_BYTES:
+    if n_parts * max(values_per_partition, 1) * 8 <= DIRECT_COLLECT_BYTES:
         rows = partials.collect()
     else:
         rows = partials.groupBy("key", "i").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA).collect()
@@ -123,6 +124,14 @@ def reduce_partials(partials: DataFrame, vector_len: int) -> dict:
     return out
 
 
+def bounded_partitions(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Cap the partition count at ``per_core`` x the cluster's cores without a
+    shuffle (coalesce), so the number of per-partition partials -- and with it
+    every reduce group -- is bounded by the cluster size, not the input size."""
+    cap = max(1, df.sparkSession.sparkContext.defaultParallelism * per_core)
+    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+
+
 def arrow_matrix(batch: pa.RecordBatch, col: str, d: int) -> np.ndarray:
     arr = batch.column(batch.schema.get_field_index(col))
     if isinstance(arr, pa.ChunkedArray):
@@ -140,7 +149,7 @@ def arrow_vector(batch: pa.RecordBatch, col: str, dtype=float) -> np.ndarray:
 
 
 def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | None = None,
-                shift: np.ndarray | None = None, scale: np.ndarray | None = None) -> dict:
+                shift: np.ndarray | None = None, scale: np.ndarray | None = None, max_keys: int = 16) -> dict:
     """{key: (d+1) x (d+1) matrix sum(z z^T)} with z = [(x - shift) / scale, y].
 
     ``shift`` / ``scale`` (length d, identity where 0 / 1) keep large raw values
@@ -169,8 +178,8 @@ def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | No
 
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
-    partials = df.select(*cols).mapInArrow(kernel, PARTIAL_SCHEMA)
-    reduced = reduce_partials(partials, (d + 1))
+    partials = bounded_partitions(df.select(*cols)).mapInArrow(kernel, PARTIAL_SCHEMA)
+    reduced = reduce_partials(partials, max_keys * (d + 1) * (d + 1))
     out: dict = {}
     for (kv, i), row in reduced.items():
         out.setdefault(kv, np.zeros((d + 1, d + 1)))[i] = row

@@ -25,7 +25,8 @@ from riskspark.operators.clean import FeatureLayout
 from riskspark.operators.encode import assemble
 from riskspark.operators.evaluate import best_threshold_from_hist, metrics_np
 from riskspark.operators.gd import Task, _codes, _row_terms, _affine, class_ratios, effective_weights, fit_gd
-from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, fold_moments,
+from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, bounded_partitions,
+                                         fold_moments,
                                          global_scaler, partial_batch, reduce_partials, training_scalers)
 from riskspark.operators.split import fold_column, holdout_column
 
@@ -190,7 +191,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         raise ValueError("cross_validate needs the intercept at position 0 (add_intercept)")
     cont_pos = layout.continuous_positions()
     cont = [layout.names[p] for p in cont_pos]
-    train = data.filter(F.col("fold") >= 0).select("id", "y", "fold", "x", *cont)
+    train = bounded_partitions(data.filter(F.col("fold") >= 0).select("id", "y", "fold", "x", *cont))
     if checkpoint:
         from riskspark.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(train.sparkSession)

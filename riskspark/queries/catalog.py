@@ -533,6 +533,65 @@ def ablation(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("config", *[r6(c).alias(c) for c in ("f1", "accuracy", "threshold")])
 
 
+
+# ------------------------------------------------------------------ G11, C6, A4/A5, F9
+
+CORR_FEATURES = ["totalprice", "acctbal", "ordermonth", "regionkey"]
+
+
+def label_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Pearson correlation of each numeric column with the label, on the
+    training part only (holdout and test rows excluded, so nothing leaks)."""
+    df = _fold_rows(spark, sf)
+    agg = df.agg(*[F.corr(F.col(c), F.col("label").cast("double")).alias(c) for c in CORR_FEATURES])
+    return agg.unpivot([], CORR_FEATURES, "feature", "corr").select("feature", r6("corr").alias("corr"))
+
+
+def split_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """One seeded 80/20 split of the training part, continuous columns
+    scaled with the training side's mean and population std."""
+    from riskspark.functions.hashing import fraction_cut
+    cols = ["totalprice", "acctbal"]
+    df = _train_rows(spark, sf).filter(~split.holdout_column(0.8, SEED))
+    part = F.when(hash32(f"valsplit:{SEED}", "id") < F.lit(fraction_cut(0.8)), F.lit("train")).otherwise(F.lit("val"))
+    df = df.withColumn("part", part)
+    st = df.filter(F.col("part") == "train").agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                                                 *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    out = [F.when(F.lit(st[f"s_{c}"] or 0.0) > 0,
+                  (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"] or 1.0)).otherwise(F.lit(0.0)) for c in cols]
+    return df.select("id", "part", *[r6(e).alias(c) for e, c in zip(out, cols)])
+
+
+def clean_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 / A5: write the cleaned table and its layout to the shared checkpoint
+    folder, read it back, and summarise every layout column."""
+    import uuid
+    from riskspark.session import scratch_path
+    from riskspark.sources.snapshot import load_snapshot, save_snapshot
+    model = _order_cleaning(spark, sf)
+    path = scratch_path(spark, f"snapshot-{uuid.uuid4().hex}")
+    save_snapshot(model.transform(order_risk(spark, sf)), model.layout, path)
+    rows, layout = load_snapshot(spark, path)
+    agg = rows.agg(*[F.avg(c).alias(c) for c in layout.names])
+    return (agg.unpivot([], layout.names, "feature", "mean")
+            .select("feature", r6("mean").alias("mean")))
+
+
+def ridge_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridge (lambda 0.1) fitted on the train split, ``score`` on the test
+    split = MSE + lambda * ||w||^2."""
+    from riskspark.operators import linear
+    from riskspark.operators.moments import gram_by_key
+    base = line_num(spark, sf).select(
+        "split", F.lit(1.0).alias("x0"), (F.col("quantity") / 50.0).alias("x1"), F.col("label").cast("double").alias("y"))
+    df = base.select(encode.assemble(["x0", "x1"]), "y", F.when(F.col("split") == "train", 0).otherwise(1).alias("part"))
+    grams = gram_by_key(df, "x", "y", 2, "part")
+    Zt, Zs = grams[0], grams[1]
+    w = linear.ridge(Zt[:2, :2], Zt[:2, 2], Zt[0, 0], 0.1)
+    mse = linear.mse_from_gram(Zs[:2, :2], Zs[:2, 2], Zs[2, 2], Zs[0, 0], w)
+    return _terms(spark, w, mse + 0.1 * float(w @ w))
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -553,4 +612,6 @@ QUERIES = {
     "confusion_metrics": confusion_metrics, "threshold_search": threshold_search,
     "cross_validate": cross_validate, "fold_average": fold_average, "holdout_metrics": holdout_metrics,
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
+    "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
+    "ridge_score": ridge_score,
 }

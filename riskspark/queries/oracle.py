@@ -412,6 +412,45 @@ def threshold_search() -> str:
     return sql(body, ("order_risk",), (SCORE, _grid(100), cnt, f1))
 
 
+
+# ------------------------------------------------------------------ G11, C6, A4/A5, F9
+
+def label_correlation() -> str:
+    body = " UNION ALL ".join(f"SELECT '{c}' AS feature, {r6(f'corr({c}, CAST(label AS DOUBLE))')} AS corr FROM fr"
+                              for c in ("totalprice", "acctbal", "ordermonth", "regionkey"))
+    return sql(body, ("order_risk",), (FOLD_ROWS,))
+
+
+def split_scale() -> str:
+    part = f"CASE WHEN {hash32_sql('valsplit:1', 'id')} < {fraction_cut(0.8)} THEN 'train' ELSE 'val' END"
+    p = ("p", f"SELECT id, totalprice, acctbal, {part} AS part FROM order_risk WHERE split = 'train' AND NOT ({HOLDOUT})")
+    st = ("st", "SELECT avg(totalprice) AS m1, stddev_pop(totalprice) AS s1, avg(acctbal) AS m2, stddev_pop(acctbal) AS s2 "
+                "FROM p WHERE part = 'train'")
+    body = (f"SELECT id, part, {r6('CASE WHEN s1 > 0 THEN (totalprice - m1) / s1 ELSE 0.0 END')} AS totalprice, "
+            f"{r6('CASE WHEN s2 > 0 THEN (acctbal - m2) / s2 ELSE 0.0 END')} AS acctbal FROM p, st")
+    return sql(body, ("order_risk",), (p, st))
+
+
+def clean_snapshot() -> str:
+    body = " UNION ALL ".join(f"SELECT '{c}' AS feature, {r6(f'avg({c})')} AS mean FROM clean" for c in ORDER_LAYOUT)
+    return sql(body, ("order_risk",), (_order_clean_cte(),))
+
+
+def ridge_score() -> str:
+    base = ("d", "SELECT split, CAST(1.0 AS DOUBLE) AS x0, quantity / 50.0 AS x1, CAST(label AS DOUBLE) AS y FROM line_num")
+    stats = ("s", "SELECT count(*) AS n, sum(x1) AS sx, sum(x1 * x1) AS sxx, sum(y) AS sy, sum(x1 * y) AS sxy "
+                  "FROM d WHERE split = 'train'")
+    lam = "CAST(0.1 AS DOUBLE)"
+    a00, a11 = f"(n + 2 * {lam} * n)", f"(sxx + 2 * {lam} * n)"
+    det = f"({a00} * {a11} - sx * sx)"
+    w = ("w", f"SELECT (sy * {a11} - sx * sxy) / {det} AS w0, ({a00} * sxy - sx * sy) / {det} AS w1 FROM s")
+    e = "(y - (x0 * w0 + x1 * w1))"
+    body = ("SELECT 'w0' AS term, " + r6("w0") + " AS value FROM w UNION ALL SELECT 'w1', " + r6("w1") + " FROM w "
+            f"UNION ALL SELECT 'loss', {r6(f'avg({e} * {e}) / 2.0 + {lam} * (w0 * w0 + w1 * w1)')} "
+            "FROM d, w WHERE split = 'test' GROUP BY w0, w1")
+    return sql(body, ("line_num",), (base, stats, w))
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -432,6 +471,8 @@ ORACLES = {
     "minibatch_gd": _gd_sql("mse", 0.1, batch=10000),
     "predict_threshold": predict_threshold, "confusion_metrics": confusion_metrics,
     "threshold_search": threshold_search,
+    "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
+    "ridge_score": ridge_score,
 }
 
 
