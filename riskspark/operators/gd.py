@@ -169,9 +169,12 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
 
 
 def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str = "x", y_col: str = "y",
-           fold_col: str = "fold", ratios: np.ndarray | None = None, initial: np.ndarray | None = None):
+           fold_col: str = "fold", ratios: np.ndarray | None = None, initial: np.ndarray | None = None,
+           mask: np.ndarray | None = None):
     """Run ``steps`` full-batch GD steps for all tasks at once.
 
+    ``mask`` (d x M, 0/1) restricts a task to a subset of the features (its
+    other weights stay 0), so nested feature sets share the same passes.
     Returns (W [d x M] in scaled coordinates, final training loss [M] without
     the L2 term). ``df`` should be persisted by the caller."""
     M = len(tasks)
@@ -186,6 +189,8 @@ def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str
         with np.errstate(invalid="ignore", divide="ignore"):
             grad = (A * G + C * S[None, :]) / N[None, :]
         grad = grad + 2.0 * lam[None, :] * W
+        if mask is not None:
+            grad = grad * mask
         W = W - gam[None, :] * grad
     _, _, LS, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col)
     with np.errstate(invalid="ignore", divide="ignore"):

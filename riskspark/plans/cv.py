@@ -44,6 +44,7 @@ class ModelConfig:
     name: str = ""
     search: int | None = None     # thresholds to search (None: the cross_validate argument)
     threshold: float | None = None  # fixed threshold (None: the cross_validate argument)
+    positions: tuple | None = None  # layout positions the model uses (None: all); others stay 0
 
     @property
     def loss(self) -> str:
@@ -230,13 +231,15 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                 # x~ = a x + c with x = x' * scale + shift  =>  x~ = (a*scale) x' + (a*shift + c)
                 A = linear.affine_matrix(t.a * scale, t.a * shift + t.c)
                 G, bvec, yy, n = linear.map_gram(linear.combine(grams, i), A)
+                idx = list(cfg.positions) if cfg.positions is not None else list(range(d))
+                G, bvec = G[np.ix_(idx, idx)], bvec[idx]          # lower degrees: sub-matrices
                 if cfg.kind == "least_squares":
                     w = linear.least_squares(G, bvec)
                 elif cfg.kind == "ridge":
                     w = linear.ridge(G, bvec, n, cfg.lam)
                 else:
                     w = linear.gd_from_gram(G, bvec, n, cfg.gamma, cfg.max_iters)
-                W[:, m] = w
+                W[idx, m] = w
                 train_loss[m] = linear.mse_from_gram(G, bvec, yy, n, w)
 
         by_steps: dict = {}
@@ -245,7 +248,13 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                 by_steps.setdefault(configs[ci].max_iters, []).append(m)
         for steps, idx in by_steps.items():
             sub = [tasks[m] for m in idx]
-            Wsub, lsub = fit_gd(train, d, sub, steps, ratios=ratios[idx])
+            mask = np.ones((d, len(idx)))
+            for col, m in enumerate(idx):
+                pos = configs[where[m][0]].positions
+                if pos is not None:
+                    mask[:, col] = 0.0
+                    mask[list(pos), col] = 1.0
+            Wsub, lsub = fit_gd(train, d, sub, steps, ratios=ratios[idx], mask=mask)
             W[:, idx] = Wsub
             train_loss[idx] = lsub
 

@@ -440,7 +440,9 @@ def _cv_run(spark: SparkSession, sf: str, which: str, degree: int = 1):
     if which == "flagship":
         configs, search = [cv.ModelConfig("logistic", CV_STEPS, 0.7)], CV_SEARCH
     elif which == "degree":
-        configs, search = [cv.ModelConfig("mse_gd", 200, 0.001)], 100
+        configs = [cv.ModelConfig("mse_gd", 200, 0.001, positions=degree_positions(layout, deg), name=f"degree{deg}")
+                   for deg in SWEEP_DEGREES]
+        search = 100
     elif which == "rate":
         configs, search = [cv.ModelConfig("logistic", 300, g) for g in SWEEP_GAMMAS], 100
     else:
@@ -502,13 +504,21 @@ def _means(res, config=0):
         "threshold": float(np.mean([r.threshold for r in rs]))}
 
 
+def degree_positions(layout, degree: int) -> tuple:
+    """Positions of the degree-``degree`` layout inside a higher-degree layout."""
+    return tuple(p for p, fc in enumerate(layout.columns)
+                 if fc.kind != "continuous" or (fc.value or 1) <= degree)
+
+
 def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Polynomial degree x 5-fold CV of MSE GD (200 steps, gamma 0.001)."""
+    """Polynomial degree x 5-fold CV of MSE GD (200 steps, gamma 0.001).
+    One Gram pass at the highest degree serves every degree (sub-matrices) and
+    one evaluation pass scores all degrees and folds."""
+    res, _, layout, _ = _cv_run(spark, sf, "degree", max(SWEEP_DEGREES))
     rows = []
-    for deg in SWEEP_DEGREES:
-        res = _cv_run(spark, sf, "degree", deg)[0]
-        m = _means(res)
-        w = res.average(0)[0]
+    for ci, deg in enumerate(SWEEP_DEGREES):
+        m = _means(res, ci)
+        w = res.average(ci)[0]
         rows.append((deg, m["train_loss"], m["val_loss"], m["f1"], m["accuracy"], m["threshold"],
                      float(np.linalg.norm(w))))
     cols = ["train_loss", "val_loss", "f1", "accuracy", "threshold", "weights_norm"]
