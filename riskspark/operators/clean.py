@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.operators import encode, profile
-from riskspark.operators.conform import check_vocabulary, uncovered_columns
+from riskspark.operators.conform import check_vocabularies, uncovered_columns
 from riskspark.operators.recode import apply_rules
 from riskspark.sources.spec import MEAN, FeatureSpec, Rule
 
@@ -107,24 +107,48 @@ class CleaningEstimator:
         self.train_value = train_value
         self.check_vocab = check_vocab
 
-    def fit(self, df: DataFrame) -> CleaningModel:
-        keys = {self.id_col, self.label_col, self.split_col}
+    def fit(self, df: DataFrame, persist: bool = True) -> CleaningModel:
+        """Data-dependent decisions in a few aggregate jobs over one persisted
+        projection of the input: (1) missing ratios per split fused with a
+        HyperLogLog screen of the auto columns, (2) exact distinct counts and
+        vocabularies of the possibly-categorical auto columns, (3) one grouped
+        mean per level of chained mean rules, (4) vocabulary conformance,
+        (5) min / max for the constant-column test."""
+        from pyspark import StorageLevel
+        keys = [k for k in (self.id_col, self.split_col, self.label_col) if k in df.columns]
         features = [c for c in df.columns if c not in keys]
-        splits = [self.train_value, "test"]
-        sparse = profile.sparse_column_report(df, features, self.threshold, self.split_col, splits)
+        spec_ids = {s.id for s in self.specs}
+        base = df.select(*keys, *features)
+        if persist:
+            base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(base, keys, features, spec_ids)
+        finally:
+            if persist:
+                base.unpersist()
+
+    def _fit(self, df: DataFrame, keys, features, spec_ids) -> CleaningModel:
+        by_id = {s.id: s for s in self.specs}
+        train = F.col(self.split_col) == F.lit(self.train_value)
+        auto_all = [c for c in features if c in by_id and by_id[c].type == "auto"]
+        sparse, approx = profile.sparse_and_screen(df, features, auto_all, self.threshold, self.split_col,
+                                                  [self.train_value, "test"], self.train_value)
         kept = profile.kept_columns(sparse, features)
         missing_spec = uncovered_columns(kept, self.specs)
         if missing_spec:
             raise ValueError(f"columns without a spec entry: {missing_spec}")
-        by_id = {s.id: s for s in self.specs}
-        train = F.col(self.split_col) == F.lit(self.train_value)
 
         kinds, vocabs, rules = {}, {}, {}
         order = [s.id for s in self.specs if s.id in kept]
         auto_cols = [c for c in order if by_id[c].type == "auto"]
-        auto = {}
-        if auto_cols:
-            auto = profile.auto_kind_map(df, auto_cols, self.max_categories, train)
+        margin = 4 * self.max_categories + 8
+        auto = {c: "continuous" for c in auto_cols if approx[c]["train"] > margin}
+        close = [c for c in auto_cols if c not in auto]
+        if close:
+            for c, (n, vocab) in profile.exact_counts_and_vocab(df, close, train, approx, bound=1000).items():
+                auto[c] = "categorical" if n <= self.max_categories else "continuous"
+                if auto[c] == "categorical":
+                    vocabs[c] = vocab
         for c in order:
             s = by_id[c]
             kind = auto.get(c, s.type)
@@ -132,9 +156,7 @@ class CleaningEstimator:
                 continue
             kinds[c] = kind
             if s.type == "auto":
-                if kind == "categorical":
-                    vocabs[c] = profile.vocabulary(df, c)
-                else:
+                if kind == "continuous":
                     rules[c] = [Rule("missing", value=MEAN)]
             else:
                 if s.mapping:
@@ -142,12 +164,11 @@ class CleaningEstimator:
                 if kind == "categorical":
                     vocabs[c] = list(s.vocabulary)
         used = [c for c in kept if c in kinds]
-        base = df.select(*[k for k in (self.id_col, self.split_col, self.label_col) if k in df.columns], *used)
+        base = df.select(*keys, *used)
         mapped, means = apply_rules(base, rules, self.split_col, impute=self.impute,
                                     train_value=self.train_value)
         if self.check_vocab:
-            for c, v in vocabs.items():
-                check_vocabulary(mapped, c, v, self.split_col)
+            check_vocabularies(mapped, {c: vocabs[c] for c in order if c in vocabs}, self.split_col)
 
         cols = []
         for c in used:                      # continuous: table order

@@ -27,6 +27,21 @@ def vocab_violations(df: DataFrame, column: str, vocab: Sequence, by: str = "spl
                     F.col("v").cast("string").alias("value"), "n"))
 
 
+def check_vocabularies(df: DataFrame, vocabs: dict, by: str = "split") -> None:
+    """B12 for several columns in one job: raise naming every column with
+    values outside its vocabulary (at most 50 offending values are listed)."""
+    if not vocabs:
+        return
+    parts = [vocab_violations(df, c, v, by) for c, v in vocabs.items()]
+    bad = parts[0]
+    for p in parts[1:]:
+        bad = bad.unionByName(p)
+    rows = bad.select("feature", "split", "value").distinct().limit(50).collect()
+    if rows:
+        listing = sorted({(r["feature"], r["split"], r["value"]) for r in rows}, key=str)
+        raise ValueError(f"values outside the vocabulary: {listing}")
+
+
 def check_vocabulary(df: DataFrame, column: str, vocab: Sequence, by: str = "split") -> None:
     """Raise, naming the column and the offending values, if any value is outside."""
     bad = vocab_violations(df, column, vocab, by).select("split", "value").distinct().limit(50).collect()

@@ -167,3 +167,54 @@ def constant_report(df: DataFrame, columns: Sequence[str], train_filter=None) ->
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows per label value."""
     return df.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def sparse_and_screen(df: DataFrame, columns: Sequence[str], screen: Sequence[str], threshold: float = 0.1,
+                      by: str = "split", splits: Sequence[str] = ("train", "test"), train_value: str = "train"):
+    """B2 decision and a HyperLogLog distinct estimate of ``screen`` columns,
+    from ONE grouped aggregate. Returns (report DataFrame built from the
+    collected per-split rows, {column: {split: estimate, 'all': estimate}})."""
+    floating = _floating(df)
+    aggs = [F.avg(_missing(c, floating).cast("double")).alias(f"m__{c}") for c in columns]
+    aggs += [F.approx_count_distinct(c, 0.01).alias(f"a__{c}") for c in screen]
+    aggs += [F.approx_count_distinct(c, 0.01).alias(f"n__{c}") for c in screen]
+    rows = {r[by]: r for r in df.groupBy(by).agg(*aggs).collect()}
+    out = []
+    for c in columns:
+        ratios = [rows[s][f"m__{c}"] if s in rows else None for s in splits]
+        kept = all(r is None or r <= threshold for r in ratios)
+        out.append((c, *[float(r) if r is not None else None for r in ratios], kept))
+    spark = df.sparkSession
+    schema = "feature string, " + ", ".join(f"{s}_ratio double" for s in splits) + ", kept boolean"
+    report = spark.createDataFrame(out, schema)
+    approx = {}
+    for c in screen:
+        per = {s: (rows[s][f"a__{c}"] if s in rows else 0) for s in rows}
+        per.setdefault(train_value, 0)
+        per["all"] = sum(rows[s][f"n__{c}"] for s in rows)      # upper bound of the union
+        approx[c] = per
+    return report, approx
+
+
+def exact_counts_and_vocab(df: DataFrame, columns: Sequence[str], train_filter, approx: dict,
+                           bound: int = 1000) -> dict:
+    """B9 + B10 for possibly-categorical columns in one aggregate: exact distinct
+    count over training rows (missing counted once) and the sorted value set over
+    all rows (missing last). The set is only collected when the HLL estimate
+    bounds it, so no unbounded list is built."""
+    for c in columns:
+        if approx[c]["all"] > 2 * bound:
+            raise ValueError(f"column {c!r} has too many distinct values to be categorical")
+    aggs = []
+    for c in columns:
+        col = F.col(c)
+        aggs += [(F.count_distinct(F.when(train_filter, col))
+                  + F.max(F.when(train_filter, col.isNull().cast("int")).otherwise(0))).alias(f"n__{c}"),
+                 F.array_sort(F.collect_set(col)).alias(f"v__{c}"),
+                 F.max(col.isNull().cast("int")).alias(f"z__{c}")]
+    r = df.agg(*aggs).first()
+    out = {}
+    for c in columns:
+        vocab = list(r[f"v__{c}"]) + ([None] if r[f"z__{c}"] else [])
+        out[c] = (int(r[f"n__{c}"] or 0), vocab)
+    return out
