@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from riskspark.functions.hashing import fraction_cut, hash32
 
 
+# Rows sharing the boundary key are ranked by key in one small task; with unique
+# ids about N / 2^32 rows share a 32-bit key, so a large tie group means the
+# keys are not unique and an exact rank is not defined.
+TIE_LIMIT = 100_000
+
+
 def holdout_seed(seed) -> str:
     return f"holdout:{seed}"
 
@@ -65,7 +71,12 @@ def rank_boundary(df: DataFrame, m: int, h: str = "__h", key: str = "id"):
             break
         before += c
     rest = m - before
-    last = (df.filter(F.col(h) == h_star).select(key).orderBy(key).limit(rest).collect())[-1][0]
+    tie = df.filter(F.col(h) == F.lit(h_star))
+    n_tie = tie.count()
+    if n_tie > TIE_LIMIT:
+        raise ValueError(f"{n_tie} rows share one 32-bit key: exact mode needs unique keys")
+    # the rest-th smallest key of the (small) tie group, without collecting rows
+    last = tie.select(key).orderBy(key).limit(rest).agg(F.max(key)).first()[0]
     return h_star, last
 
 
