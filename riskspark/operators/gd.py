@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, bounded_partitions,
-                                         partial_batch, reduce_partials)
+from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, is_blocks, iter_xyk,
+                                         pack_blocks, partial_batch, reduce_partials)
 
 LOSSES = ("mse", "logistic")
 BALANCES = (None, "residual_sign", "label", "sigmoid_scale")
@@ -131,8 +131,9 @@ def _codes(tasks):
 
 
 def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ratios: np.ndarray,
-                  x_col: str = "x", y_col: str = "y", fold_col: str = "fold"):
-    """One job: per task, sum over its training rows of (X^T R, sum R, loss, count)."""
+                  x_col: str = "x", y_col: str = "y", fold_col: str = "fold", n_parts: int | None = None):
+    """One job: per task, sum over its training rows of (X^T R, sum R, loss, count).
+    ``n_parts`` (partition count of an already bounded ``df``) skips re-planning."""
     A, C = _affine(tasks, d)
     V, b = effective_weights(W, A, C)
     val = np.array([t.val_fold for t in tasks])
@@ -144,12 +145,7 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
         S = np.zeros(M)
         LS = np.zeros(M)
         N = np.zeros(M)
-        for bt in batches:
-            if bt.num_rows == 0:
-                continue
-            X = arrow_matrix(bt, x_col, d)
-            y = arrow_vector(bt, y_col)
-            fold = arrow_vector(bt, fold_col, np.int64)
+        for X, y, fold in iter_xyk(batches, d, x_col, y_col, fold_col):
             member = (fold[:, None] != val[None, :]).astype(float)
             T = X @ V + b
             R, L = _row_terms(T, y, member, loss_codes, bal_codes, ratios)
@@ -161,8 +157,11 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
 
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
-    parts = bounded_partitions(df.select(x_col, y_col, fold_col)).mapInArrow(kernel, PARTIAL_SCHEMA)
-    vec = reduce_partials(parts, d * M + 3 * M)[(0, 0)]
+    src = df if is_blocks(df) else df.select(x_col, y_col, fold_col)
+    if n_parts is None:
+        src = bounded_partitions(src)
+    parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
+    vec = reduce_partials(parts, d * M + 3 * M, n_parts)[(0, 0)]
     G = vec[:d * M].reshape(d, M)
     S, LS, N = vec[d * M:d * M + M], vec[d * M + M:d * M + 2 * M], vec[d * M + 2 * M:]
     return G, S, LS, N
@@ -180,19 +179,28 @@ def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str
     M = len(tasks)
     if ratios is None:
         ratios = class_ratios(df, tasks, fold_col, y_col)
+    packed = None
+    if not is_blocks(df) and steps >= 3:
+        from pyspark import StorageLevel
+        packed = pack_blocks(bounded_partitions(df), x_col, d, y_col, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+        df = packed
+    df = bounded_partitions(df)
+    n_parts = df.rdd.getNumPartitions()
     A, C = _affine(tasks, d)
     W = np.zeros((d, M)) if initial is None else np.array(initial, dtype=float)
     gam = np.array([t.gamma for t in tasks])
     lam = np.array([t.lam for t in tasks])
     for _ in range(steps):
-        G, S, _, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col)
+        G, S, _, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col, n_parts)
         with np.errstate(invalid="ignore", divide="ignore"):
             grad = (A * G + C * S[None, :]) / N[None, :]
         grad = grad + 2.0 * lam[None, :] * W
         if mask is not None:
             grad = grad * mask
         W = W - gam[None, :] * grad
-    _, _, LS, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col)
+    _, _, LS, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col, n_parts)
+    if packed is not None:
+        packed.unpersist()
     with np.errstate(invalid="ignore", divide="ignore"):
         loss = LS / N
     return W, loss

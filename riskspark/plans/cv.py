@@ -25,7 +25,7 @@ from riskspark.operators.clean import FeatureLayout
 from riskspark.operators.encode import assemble
 from riskspark.operators.evaluate import best_threshold_from_hist, metrics_np
 from riskspark.operators.gd import Task, _codes, _row_terms, _affine, class_ratios, effective_weights, fit_gd
-from riskspark.operators.moments import (PARTIAL_SCHEMA, arrow_matrix, arrow_vector, bounded_partitions,
+from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, is_blocks, iter_xyk, pack_blocks,
                                          fold_moments,
                                          global_scaler, partial_batch, reduce_partials, training_scalers)
 from riskspark.operators.split import fold_column, holdout_column
@@ -145,12 +145,7 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
 
     def kernel(batches):
         acc = np.zeros((M, width))
-        for bt in batches:
-            if bt.num_rows == 0:
-                continue
-            X = arrow_matrix(bt, "x", d)
-            y = arrow_vector(bt, "y")
-            fold = arrow_vector(bt, "fold", np.int64)
+        for X, y, fold in iter_xyk(batches, d, "x", "y", "fold"):
             tr = (fold[:, None] != val[None, :]).astype(float)
             va = (fold[:, None] == val[None, :]).astype(float)
             T = X @ V + b
@@ -175,7 +170,8 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
 
     from riskspark.session import ship_package
     ship_package(data.sparkSession)
-    parts = data.select("x", "y", "fold").mapInArrow(kernel, PARTIAL_SCHEMA)
+    src = data if is_blocks(data) else data.select("x", "y", "fold")
+    parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
     return reduce_partials(parts, M * width)[(0, 0)].reshape(M, width), nb
 
 
@@ -215,6 +211,11 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         W = np.zeros((d, M))
         train_loss = np.full(M, np.nan)
         ratios = class_ratios(train, tasks, "fold", "y") if any(t.balance for t in tasks) else np.ones(M)
+        # every later pass (Gram, GD steps, evaluation) streams instance blocks
+        blocks = pack_blocks(train, "x", d, "y", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.count()
+        if persist:
+            train.unpersist()       # the blocks are recomputed from the checkpoint if lost
 
         gram_idx = [m for m, (ci, _) in enumerate(where) if configs[ci].uses_gram]
         if gram_idx:
@@ -223,7 +224,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
             for j, p in enumerate(cont_pos):
                 if gsd[j] > 0 and np.isfinite(gsd[j]):
                     shift[p], scale[p] = gmu[j], gsd[j]
-            grams = linear.fold_grams(train, d, "x", "y", "fold", shift, scale)
+            grams = linear.fold_grams(blocks, d, "x", "y", "fold", shift, scale)
             for m in gram_idx:
                 ci, i = where[m]
                 cfg = configs[ci]
@@ -254,7 +255,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                 if pos is not None:
                     mask[:, col] = 0.0
                     mask[list(pos), col] = 1.0
-            Wsub, lsub = fit_gd(train, d, sub, steps, ratios=ratios[idx], mask=mask)
+            Wsub, lsub = fit_gd(blocks, d, sub, steps, ratios=ratios[idx], mask=mask)
             W[:, idx] = Wsub
             train_loss[idx] = lsub
 
@@ -268,7 +269,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         stats = {}
         for n in sorted({n for n, _ in per_task}):
             idx = [m for m in range(M) if per_task[m][0] == n]
-            acc, nb = _eval_pass(train, d, [tasks[m] for m in idx], W[:, idx], ratios[idx],
+            acc, nb = _eval_pass(blocks, d, [tasks[m] for m in idx], W[:, idx], ratios[idx],
                                  [per_task[m][1] for m in idx], n if n > 0 else 1)
             for row, m in zip(acc, idx):
                 stats[m] = (row, nb)
@@ -287,6 +288,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                     thr, counts = best_t, best_counts
             result.folds.append(FoldResult(ci, i, float(train_loss[m]), float(val_loss), float(thr),
                                            metrics_np(*counts), scalers[i][0], scalers[i][1], W[:, m].copy()))
+        blocks.unpersist()
         return result
     finally:
         if persist:
