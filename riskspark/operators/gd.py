@@ -77,48 +77,45 @@ def effective_weights(W: np.ndarray, A: np.ndarray, C: np.ndarray):
 
 
 def _row_terms(T, y, member, loss_codes, bal_codes, ratios):
-    """Per-row residual R (d loss / d t) and loss for every model column."""
+    """Per-row residual R (d loss / d t) and loss for every model column at once.
+
+    loss 0 = mse (balance 1: residual-sign rule), loss 1 = logistic on 0/1
+    labels (balance 2: weight r on the minority label; balance 3: the coded
+    rule on +/-1 labels that scales the sigmoid itself)."""
     n, M = T.shape
-    R = np.zeros((n, M))
-    L = np.zeros((n, M))
-    y01 = (y == 1).astype(float)
-    for m in range(M):
-        t = T[:, m]
-        r = ratios[m]
-        if loss_codes[m] == 0:                          # mse
-            e = y - t
-            if bal_codes[m] == 1:                       # residual_sign (reference rule)
-                e = e.copy()
-                if r > 1:
-                    e[e >= 0] *= r
-                else:
-                    e[e <= 0] *= r
-            R[:, m] = -e
-            L[:, m] = 0.5 * e * e
-        else:                                           # logistic
-            sp = np.logaddexp(0.0, t)
-            with np.errstate(over="ignore"):
-                s = 1.0 / (1.0 + np.exp(-t))
-            if bal_codes[m] == 3:                       # sigmoid_scale, +/-1 labels (reference D9/D11)
-                s = s.copy()
-                lv = -y * t + sp
-                if r > 1:
-                    s[y == 1] *= r
-                    lv[y == 1] *= r
-                else:
-                    s[y == -1] *= r
-                    lv[y == -1] *= r
-                R[:, m] = s - y
-                L[:, m] = lv
-            else:
-                w = np.ones(n)
-                if bal_codes[m] == 2:                   # label weights
-                    if r > 1:
-                        w[y01 == 1] = r
-                    else:
-                        w[y01 == 0] = r
-                R[:, m] = w * (s - y01)
-                L[:, m] = w * (-y01 * t + sp)
+    R = np.empty((n, M))
+    L = np.empty((n, M))
+    yc = y[:, None]
+    mse = loss_codes == 0
+    if mse.any():
+        E = yc - T[:, mse]
+        r = ratios[mse][None, :]
+        bal = (bal_codes[mse] == 1)[None, :]
+        up = r > 1
+        E = np.where(bal & up & (E >= 0), E * r, E)
+        E = np.where(bal & ~up & (E <= 0), E * r, E)
+        R[:, mse] = -E
+        L[:, mse] = 0.5 * E * E
+    lg = ~mse
+    if lg.any():
+        t = T[:, lg]
+        r = ratios[lg][None, :]
+        bc = bal_codes[lg][None, :]
+        sp = np.logaddexp(0.0, t)
+        with np.errstate(over="ignore"):
+            s = 1.0 / (1.0 + np.exp(-t))
+        y01 = (yc == 1).astype(float)
+        minority01 = np.where(r > 1, y01 == 1, y01 == 0)
+        w = np.where((bc == 2) & minority01, r, 1.0)
+        r_plain = w * (s - y01)
+        l_plain = w * (-y01 * t + sp)
+        minority_pm = np.where(r > 1, yc == 1, yc == -1)
+        wpm = np.where(minority_pm, r, 1.0)
+        r_scaled = s * wpm - yc
+        l_scaled = (-yc * t + sp) * wpm
+        coded = bc == 3
+        R[:, lg] = np.where(coded, r_scaled, r_plain)
+        L[:, lg] = np.where(coded, l_scaled, l_plain)
     R *= member
     L *= member
     return R, L
