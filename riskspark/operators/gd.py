@@ -77,45 +77,44 @@ def effective_weights(W: np.ndarray, A: np.ndarray, C: np.ndarray):
 
 
 def _row_terms(T, y, member, loss_codes, bal_codes, ratios):
-    """Per-row residual R (d loss / d t) and loss for every model column at once.
+    """Per-row residual R (d loss / d t) and loss for every model column.
 
     loss 0 = mse (balance 1: residual-sign rule), loss 1 = logistic on 0/1
     labels (balance 2: weight r on the minority label; balance 3: the coded
-    rule on +/-1 labels that scales the sigmoid itself)."""
+    rule on +/-1 labels that scales the sigmoid itself). Columns sharing a
+    (loss, balance) pair are computed together, each group only its branch."""
     n, M = T.shape
     R = np.empty((n, M))
     L = np.empty((n, M))
     yc = y[:, None]
-    mse = loss_codes == 0
-    if mse.any():
-        E = yc - T[:, mse]
-        r = ratios[mse][None, :]
-        bal = (bal_codes[mse] == 1)[None, :]
-        up = r > 1
-        E = np.where(bal & up & (E >= 0), E * r, E)
-        E = np.where(bal & ~up & (E <= 0), E * r, E)
-        R[:, mse] = -E
-        L[:, mse] = 0.5 * E * E
-    lg = ~mse
-    if lg.any():
-        t = T[:, lg]
-        r = ratios[lg][None, :]
-        bc = bal_codes[lg][None, :]
+    y01 = (yc == 1).astype(float)
+    for lc, bc in {(int(a), int(b)) for a, b in zip(loss_codes, bal_codes)}:
+        cols = np.flatnonzero((loss_codes == lc) & (bal_codes == bc))
+        t = T[:, cols]
+        r = ratios[cols][None, :]
+        if lc == 0:
+            e = yc - t
+            if bc == 1:
+                up = r > 1
+                e = np.where(up & (e >= 0), e * r, e)
+                e = np.where(~up & (e <= 0), e * r, e)
+            R[:, cols] = -e
+            L[:, cols] = 0.5 * e * e
+            continue
         sp = np.logaddexp(0.0, t)
         with np.errstate(over="ignore"):
             s = 1.0 / (1.0 + np.exp(-t))
-        y01 = (yc == 1).astype(float)
-        minority01 = np.where(r > 1, y01 == 1, y01 == 0)
-        w = np.where((bc == 2) & minority01, r, 1.0)
-        r_plain = w * (s - y01)
-        l_plain = w * (-y01 * t + sp)
-        minority_pm = np.where(r > 1, yc == 1, yc == -1)
-        wpm = np.where(minority_pm, r, 1.0)
-        r_scaled = s * wpm - yc
-        l_scaled = (-yc * t + sp) * wpm
-        coded = bc == 3
-        R[:, lg] = np.where(coded, r_scaled, r_plain)
-        L[:, lg] = np.where(coded, l_scaled, l_plain)
+        if bc == 3:
+            w = np.where(np.where(r > 1, yc == 1, yc == -1), r, 1.0)
+            R[:, cols] = s * w - yc
+            L[:, cols] = (-yc * t + sp) * w
+        elif bc == 2:
+            w = np.where(np.where(r > 1, y01 == 1, y01 == 0), r, 1.0)
+            R[:, cols] = w * (s - y01)
+            L[:, cols] = w * (-y01 * t + sp)
+        else:
+            R[:, cols] = s - y01
+            L[:, cols] = -y01 * t + sp
     R *= member
     L *= member
     return R, L
