@@ -124,3 +124,27 @@ def test_spec_parsing():
     assert (s.mapping[0].kind, s.mapping[0].lo, s.mapping[0].hi) == ("range", -5.0, -1.0)
     with pytest.raises(ValueError):
         spec_from_list([{"id": "a", "description": "", "type": "bogus"}])
+
+
+def test_unmatched_ids_and_results_writer(spark, tmp_path):
+    from riskspark.sources.csv_source import unmatched_ids
+    from riskspark.sources.sink import write_results
+    (tmp_path / "x_train.csv").write_text("Id,a\n1,1.0\n2,2.0\n")
+    (tmp_path / "x_test.csv").write_text("Id,a\n9,2.5\n")
+    (tmp_path / "y_train.csv").write_text("Id,Prediction\n1,1\n3,-1\n")
+    got = sorted((r["id"], r["missing"]) for r in unmatched_ids(spark, str(tmp_path)).collect())
+    assert got == [(2, "label"), (3, "features")]
+    grid = spark.createDataFrame([(0.1, 0.5), (0.7, 0.6)], "gamma double, f1 double")
+    write_results(grid, str(tmp_path / "sweep"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "sweep")).count() == 2
+
+
+def test_exact_rank_boundary_matches_sort(spark):
+    from riskspark.operators.split import boundary_flag, rank_boundary
+    from riskspark.functions.hashing import hash32
+    df = spark.range(5000).withColumn("__h", hash32("t", "id"))
+    rows = sorted((r["__h"], r["id"]) for r in df.collect())
+    for m in (0, 1, 777, 4999, 5000):
+        flag = boundary_flag(rank_boundary(df, m, "__h", "id"), "__h", "id")
+        picked = sorted((r["__h"], r["id"]) for r in df.filter(flag).collect())
+        assert picked == rows[:m]
