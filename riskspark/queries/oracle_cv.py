@@ -14,10 +14,32 @@ ONEHOT = ([f"orderstatus_{v}" for v in ORDER_STATUS] + [f"mktsegment_{v}" for v
 CONT = ["totalprice", "acctbal"]
 
 
-def cont_columns(degree: int) -> list[tuple[str, str]]:
+class Table:
+    """What the CV oracle needs to know about a cleaned modelling table."""
+
+    def __init__(self, name, clean_cte, cont, onehot):
+        self.name, self.clean_cte, self.cont, self.onehot = name, clean_cte, cont, onehot
+
+
+ORDER = Table("order_risk", _order_clean_cte(), CONT, ONEHOT)
+
+# The doc_risk spec's vocabularies (languages found by auto typing).
+DOC_LANGS = ["de", "en", "es", "fr"]
+DOC_SOURCES = [f"src{i}" for i in range(20)]
+_DOC_ONEHOT_SQL = ([f"CAST(CASE WHEN lang IS NOT DISTINCT FROM '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS lang_{v}"
+                    for v in DOC_LANGS]
+                   + [f"CAST(CASE WHEN source IS NOT DISTINCT FROM '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS source_{v}"
+                      for v in DOC_SOURCES])
+DOC = Table("doc_risk",
+            ("clean", "SELECT id, split, label, CASE WHEN n_chars IS NULL THEN avg(n_chars) OVER (PARTITION BY split) "
+                      "ELSE n_chars END AS n_chars, " + ", ".join(_DOC_ONEHOT_SQL) + " FROM doc_risk"),
+            ["n_chars"], [f"lang_{v}" for v in DOC_LANGS] + [f"source_{v}" for v in DOC_SOURCES])
+
+
+def cont_columns(degree: int, table: Table = ORDER) -> list[tuple[str, str]]:
     """(name, SQL expression) of the continuous layout columns, powers interleaved."""
     out = []
-    for c in CONT:
+    for c in table.cont:
         for j in range(1, degree + 1):
             out.append((c if j == 1 else f"{c}_p{j}", c if j == 1 else f"pow({c}, {float(j)})"))
     return out
@@ -39,23 +61,24 @@ def _residual(t: str) -> tuple[str, str, str]:
     return res, trl, pl
 
 
-def cv_sql(configs: list[dict], degree: int, body: str) -> str:
+def cv_sql(configs: list[dict], degree: int, body: str, table: Table = ORDER) -> str:
     """configs: dicts with name, loss ('mse'|'logistic'), balance (None|'residual_sign'|'label'),
     gamma, lam, steps, search (0 = fixed threshold), threshold."""
-    cont = cont_columns(degree)
-    names = [n for n, _ in cont] + ONEHOT
+    cont = cont_columns(degree, table)
+    onehot = table.onehot
+    names = [n for n, _ in cont] + onehot
     D = 1 + len(names)
     xs = [f"x{j}" for j in range(D)]
     ws = [f"w{j}" for j in range(D)]
     max_steps = max(c["steps"] for c in configs)
     fr = ("fr", f"SELECT id, CAST(label AS DOUBLE) AS y, {FOLD} AS fold, "
-                + ", ".join(f"{e} AS {n}" for n, e in cont) + ", " + ", ".join(ONEHOT)
+                + ", ".join(f"{e} AS {n}" for n, e in cont) + ", " + ", ".join(onehot)
                 + f" FROM clean WHERE split = 'train' AND NOT ({HOLDOUT})")
     folds = ("folds", f"SELECT CAST(range AS BIGINT) AS f FROM range({K})")
     st = ("st", "SELECT f, " + ", ".join(f"avg({n}) AS m{k}, stddev_pop({n}) AS s{k}" for k, (n, _) in enumerate(cont))
                 + " FROM folds JOIN fr ON fr.fold <> folds.f GROUP BY f")
     scaled = [f"CASE WHEN s{k} > 0 THEN ({n} - m{k}) / s{k} ELSE 0.0 END AS x{k + 1}" for k, (n, _) in enumerate(cont)]
-    onehot_x = [f"{n} AS x{1 + len(cont) + j}" for j, n in enumerate(ONEHOT)]
+    onehot_x = [f"{n} AS x{1 + len(cont) + j}" for j, n in enumerate(onehot)]
     sd = ("sd", "SELECT st.f, fr.fold = st.f AS is_val, fr.y, CAST(1.0 AS DOUBLE) AS x0, "
                 + ", ".join(scaled + onehot_x) + " FROM fr JOIN st ON TRUE")
     rr = ("rr", "SELECT f, CASE WHEN count(*) FILTER (WHERE y = -1) = 0 THEN 1.0 ELSE "
@@ -112,8 +135,8 @@ def cv_sql(configs: list[dict], degree: int, body: str) -> str:
     res_cte = ("res", f"SELECT mt.c, mt.f, ls.train_loss, ls.val_loss, mt.thr AS threshold, {acc} AS accuracy, "
                       f"{rec} AS recall, {fpr} AS fpr, {pre} AS precision, {f1} AS f1, tp, fn, tn, fp "
                       "FROM mt JOIN ls ON ls.c = mt.c AND ls.f = mt.f")
-    ctes = (_order_clean_cte(), fr, folds, st, sd, rr, cfg, g, fw, ev, ls, th, cnt, best, ch, mt, res_cte)
-    return sql(body, ("order_risk",), ctes, recursive=True)
+    ctes = (table.clean_cte, fr, folds, st, sd, rr, cfg, g, fw, ev, ls, th, cnt, best, ch, mt, res_cte)
+    return sql(body, (table.name,), ctes, recursive=True)
 
 
 def _avg_model_ctes(degree: int, c: int = 0):
@@ -229,7 +252,13 @@ def ablation() -> str:
                   "FROM res JOIN cfg ON cfg.c = res.c GROUP BY cfg.c, cfg.name")
 
 
+def doc_cross_validate() -> str:
+    cols = ", ".join(r6(c) + f" AS {c}" for c in ("train_loss", "val_loss", "threshold") + METRICS)
+    cfg = [dict(name="doc", loss="mse", gamma=0.1, steps=5, search=100)]
+    return cv_sql(cfg, 1, f"SELECT CAST(f AS BIGINT) AS fold, {cols} FROM res", DOC)
+
+
 def cv_oracles() -> dict[str, str]:
-    return {"cross_validate": cross_validate(), "fold_average": fold_average(),
+    return {"doc_cross_validate": doc_cross_validate(), "cross_validate": cross_validate(), "fold_average": fold_average(),
             "holdout_metrics": holdout_metrics(), "submission": submission(),
             "degree_sweep": degree_sweep(), "rate_sweep": rate_sweep(), "ablation": ablation()}
