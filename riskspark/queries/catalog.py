@@ -623,6 +623,21 @@ def doc_cross_validate(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
 
 
+
+EVENT_FEATURES = ["value", "k", "hour"]
+
+
+def event_scale_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """C4 on events (value, the JSON field k, hour): per-fold training mean and
+    population std from one grouped job, complements merged on the driver."""
+    from riskspark.sources.tables import event_num
+    df = event_num(spark, sf).filter(F.col("split") == "train").filter(~split.holdout_column(0.8, SEED))
+    sc = _scalers(df.withColumn("fold", split.fold_column(K, SEED)), EVENT_FEATURES)
+    rows = [(int(i), c, float(sc[i][0][j]), float(sc[i][1][j])) for i in range(K) for j, c in enumerate(EVENT_FEATURES)]
+    out = spark.createDataFrame(rows, "fold bigint, feature string, mean double, std double")
+    return out.select("fold", "feature", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -644,5 +659,5 @@ QUERIES = {
     "cross_validate": cross_validate, "fold_average": fold_average, "holdout_metrics": holdout_metrics,
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
-    "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate,
+    "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
 }

@@ -451,6 +451,14 @@ def ridge_score() -> str:
     return sql(body, ("line_num",), (base, stats, w))
 
 
+
+def event_scale_fit() -> str:
+    er = ("er", f"SELECT *, {FOLD} AS fold FROM event_num WHERE split = 'train' AND NOT ({HOLDOUT})")
+    parts = [f"SELECT f AS fold, '{c}' AS feature, {r6(f'avg({c})')} AS mean, {r6(f'stddev_pop({c})')} AS std "
+             f"FROM folds JOIN er ON er.fold <> folds.f GROUP BY f" for c in ("value", "k", "hour")]
+    return sql("\nUNION ALL\n".join(parts), ("event_num",), (er, FOLDS))
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -472,7 +480,7 @@ ORACLES = {
     "predict_threshold": predict_threshold, "confusion_metrics": confusion_metrics,
     "threshold_search": threshold_search,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
-    "ridge_score": ridge_score,
+    "ridge_score": ridge_score, "event_scale_fit": event_scale_fit,
 }
 
 
