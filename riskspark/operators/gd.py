@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, is_blocks, iter_xyk,
-                                         pack_blocks, partial_batch, reduce_partials)
+from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chunked, is_blocks, iter_xyk,
+                                         pack_blocks, partial_batch, reduce_partials, unchunk)
 
 LOSSES = ("mse", "logistic")
 BALANCES = (None, "residual_sign", "label", "sigmoid_scale")
@@ -149,7 +149,7 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
             S += R.sum(axis=0)
             LS += L.sum(axis=0)
             N += member.sum(axis=0)
-        yield partial_batch({(0, 0): np.concatenate([G.ravel(), S, LS, N])})
+        yield partial_batch(chunked(np.concatenate([G.ravel(), S, LS, N])))
 
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
@@ -157,7 +157,7 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
     if n_parts is None:
         src = bounded_partitions(src)
     parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
-    vec = reduce_partials(parts, d * M + 3 * M, n_parts)[(0, 0)]
+    vec = unchunk(reduce_partials(parts, d * M + 3 * M, n_parts))
     G = vec[:d * M].reshape(d, M)
     S, LS, N = vec[d * M:d * M + M], vec[d * M + M:d * M + 2 * M], vec[d * M + 2 * M:]
     return G, S, LS, N

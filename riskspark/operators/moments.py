@@ -97,6 +97,20 @@ def partial_batch(items: dict) -> pa.RecordBatch:
          pa.array(vals, pa.list_(pa.float64()))], names=["key", "i", "vals"])
 
 
+CHUNK = 1024
+
+
+def chunked(vec: np.ndarray, key: int = 0) -> dict:
+    """Split a long partial vector into (key, chunk) pieces so that every reduce
+    group holds at most partitions x CHUNK values and groups reduce in parallel."""
+    return {(key, c): vec[c * CHUNK:(c + 1) * CHUNK] for c in range(max(1, -(-len(vec) // CHUNK)))}
+
+
+def unchunk(reduced: dict, key: int = 0) -> np.ndarray:
+    parts = sorted((c, v) for (k, c), v in reduced.items() if k == key)
+    return np.concatenate([v for _, v in parts])
+
+
 def _sum_group(pdf):
     import pandas as pd
     total = np.sum(np.stack(pdf["vals"].to_numpy()), axis=0)

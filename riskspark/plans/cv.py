@@ -25,7 +25,8 @@ from riskspark.operators.clean import FeatureLayout
 from riskspark.operators.encode import assemble
 from riskspark.operators.evaluate import best_threshold_from_hist, metrics_np
 from riskspark.operators.gd import Task, _codes, _row_terms, _affine, class_ratios, effective_weights, fit_gd
-from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, is_blocks, iter_xyk, pack_blocks,
+from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chunked, is_blocks, iter_xyk,
+                                         pack_blocks, unchunk,
                                          fold_moments,
                                          global_scaler, partial_batch, reduce_partials, training_scalers)
 from riskspark.operators.split import fold_column, holdout_column
@@ -166,13 +167,13 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
                 conf = [np.sum(p & pred), np.sum(p & ~pred), np.sum(~p & ~pred), np.sum(~p & pred)]
                 acc[m] += np.concatenate([[Ltr[:, m].sum(), tr[:, m].sum(), Lva[:, m].sum(), vm.sum()],
                                           hp, hn, conf])
-        yield partial_batch({(0, 0): acc.ravel()})
+        yield partial_batch(chunked(acc.ravel()))
 
     from riskspark.session import ship_package
     ship_package(data.sparkSession)
     src = data if is_blocks(data) else data.select("x", "y", "fold")
     parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
-    return reduce_partials(parts, M * width)[(0, 0)].reshape(M, width), nb
+    return unchunk(reduce_partials(parts, M * width)).reshape(M, width), nb
 
 
 def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[ModelConfig], k: int = 5,

@@ -66,3 +66,14 @@ def test_mse_gd_via_passes_equals_gram(spark):
     w = linear.gd_from_gram(Z[:3, :3], Z[:3, 3], Z[0, 0], 0.1, 10)
     assert np.allclose(W[:, 0], w, atol=1e-12)
     assert abs(loss[0] - linear.mse_from_gram(Z[:3, :3], Z[:3, 3], Z[3, 3], Z[0, 0], w)) < 1e-12
+
+
+def test_cluster_side_reduction_equals_direct(spark, monkeypatch):
+    """Force the (key, chunk) reduce on the cluster and compare with the driver sum."""
+    from riskspark.operators import moments
+    df, X, y = _data(spark, parts=6)
+    W1, _ = fit_gd(df, 3, [Task("logistic", 0.7, 0.0, i % 5) for i in range(400)], 2)
+    monkeypatch.setattr(moments, "DIRECT_COLLECT_BYTES", 0)
+    monkeypatch.setattr(moments, "CHUNK", 7)
+    W2, _ = fit_gd(df, 3, [Task("logistic", 0.7, 0.0, i % 5) for i in range(400)], 2)
+    assert np.allclose(W1, W2, atol=1e-13)
