@@ -110,19 +110,12 @@ def auto_kind_map(df: DataFrame, columns: Sequence[str], max_categories: int = 1
 
 
 def value_sets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted distinct values over all splits, missing included, one row per
-    (column, value). Values are rendered as strings so numeric and text columns
-    share one output; ``is_missing`` marks the missing category (sorted last)."""
-    parts = []
-    for c in columns:
-        parts.append(df.select(F.lit(c).alias("feature"), F.col(c).alias("v")).distinct()
-                     .select("feature", F.col("v").cast("string").alias("value"),
-                             F.col("v").isNull().alias("is_missing"),
-                             F.col("v").cast("double").alias("num")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Distinct values over all splits, missing included, one row per
+    (feature, value). One unpivot to long form and ONE distinct (map-side
+    dedup, then a single shuffle) for all columns; values are rendered as
+    strings so numeric and text columns share one output, NULL is missing."""
+    wide = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "feature", "value").distinct()
 
 
 def vocabulary(df: DataFrame, column: str, bound: int = 1000) -> list:
