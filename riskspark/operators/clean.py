@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,20 +69,19 @@ class FeatureLayout:
         return FeatureLayout([FeatureColumn(**d) for d in json.loads(text)])
 
 
-@dataclass
-class CleaningModel:
-    id_col: str
-    label_col: str
-    split_col: str
-    kept: list[str]
-    kinds: dict[str, str]
-    vocabularies: dict[str, list]
-    rules: dict[str, list[Rule]]
-    means: dict
-    layout: FeatureLayout
-    reports: dict = field(default_factory=dict)
-
-    def transform(self, df: DataFrame) -> DataFrame:
+class CleaningModel(Model):
+    """Fitted cleaning: literals only (kept columns, kinds, vocabularies, rules,
+    per-split means, layout); ``transform`` is one projection."""
+
+    def __init__(self, id_col: str, label_col: str, split_col: str, kept: list, kinds: dict, vocabularies: dict,
+                 rules: dict, means: dict, layout: FeatureLayout, reports: dict | None = None):
+        super().__init__()
+        self.id_col, self.label_col, self.split_col = id_col, label_col, split_col
+        self.kept, self.kinds, self.vocabularies = kept, kinds, vocabularies
+        self.rules, self.means, self.layout = rules, means, layout
+        self.reports = reports or {}
+
+    def _transform(self, df: DataFrame) -> DataFrame:
         keys = [c for c in (self.id_col, self.split_col, self.label_col) if c in df.columns]
         mapped, _ = apply_rules(df.select(*keys, *self.kept), self.rules, self.split_col, self.means)
         exprs = []
@@ -95,10 +95,15 @@ class CleaningModel:
         return mapped.select(*keys, *exprs)
 
 
-class CleaningEstimator:
+class CleaningEstimator(Estimator):
+    """B19 as a ``pyspark.ml`` estimator (usable as a Pipeline stage)."""
+
     def __init__(self, specs: list[FeatureSpec], threshold: float = 0.1, max_categories: int = 10,
                  impute: str = "per_split", id_col: str = "id", label_col: str = "label",
-                 split_col: str = "split", train_value: str = "train", check_vocab: bool = True):
+                 split_col: str = "split", train_value: str = "train", check_vocab: bool = True,
+                 persist: bool = True):
+        super().__init__()
+        self.persist = persist
         self.specs = specs
         self.threshold = threshold
         self.max_categories = max_categories
@@ -107,7 +112,7 @@ class CleaningEstimator:
         self.train_value = train_value
         self.check_vocab = check_vocab
 
-    def fit(self, df: DataFrame, persist: bool = True) -> CleaningModel:
+    def _fit(self, df: DataFrame) -> CleaningModel:
         """Data-dependent decisions in a few aggregate jobs over one persisted
         projection of the input: (1) missing ratios per split fused with a
         HyperLogLog screen of the auto columns, (2) exact distinct counts and
@@ -119,15 +124,15 @@ class CleaningEstimator:
         features = [c for c in df.columns if c not in keys]
         spec_ids = {s.id for s in self.specs}
         base = df.select(*keys, *features)
-        if persist:
+        if self.persist:
             base = base.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._fit(base, keys, features, spec_ids)
+            return self._decide(base, keys, features, spec_ids)
         finally:
-            if persist:
+            if self.persist:
                 base.unpersist()
 
-    def _fit(self, df: DataFrame, keys, features, spec_ids) -> CleaningModel:
+    def _decide(self, df: DataFrame, keys, features, spec_ids) -> CleaningModel:
         by_id = {s.id: s for s in self.specs}
         train = F.col(self.split_col) == F.lit(self.train_value)
         auto_all = [c for c in features if c in by_id and by_id[c].type == "auto"]

@@ -90,25 +90,6 @@ def auto_kinds(df: DataFrame, columns: Sequence[str], max_categories: int = 10,
     return counts.select("feature", "n_distinct", kind.alias("kind"))
 
 
-def auto_kind_map(df: DataFrame, columns: Sequence[str], max_categories: int = 10,
-                  train_filter=None) -> dict:
-    """B9 decision without exact counts for obviously continuous columns.
-
-    A HyperLogLog pass (``approx_count_distinct``, mergeable partial states, no
-    value shuffle) screens every column; only columns whose estimate is within
-    a wide margin of the limit get the exact distinct count. HLL++ is exact in
-    its sparse range far above ten values, so the decision equals the exact rule."""
-    rows = df if train_filter is None else df.filter(train_filter)
-    margin = 4 * max_categories + 8
-    approx = rows.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first().asDict()
-    kinds = {c: "continuous" for c in columns if approx[c] > margin}
-    close = [c for c in columns if c not in kinds]
-    if close:
-        for r in auto_kinds(df, close, max_categories, train_filter).collect():
-            kinds[r["feature"]] = r["kind"]
-    return kinds
-
-
 def value_sets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values over all splits, missing included, one row per
     (feature, value). One unpivot to long form and ONE distinct (map-side

@@ -6,9 +6,8 @@ is a narrow projection: codegen'd, no shuffle, valid on streaming frames."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +16,16 @@ from riskspark.operators.clean import FeatureLayout
 from riskspark.plans.cv import ModelConfig
 
 
-@dataclass
-class LinearScorer:
-    """Weights over a layout, with the per-column scaler used in training."""
-    layout: FeatureLayout
-    weights: np.ndarray
-    mean: np.ndarray
-    std: np.ndarray
-    logistic: bool
-    threshold: float = 0.0
+class LinearScorer(Model):
+    """Weights over a layout, with the per-column scaler used in training; a
+    ``pyspark.ml`` model whose transform adds ``score`` and ``prediction``."""
+
+    def __init__(self, layout: FeatureLayout, weights: np.ndarray, mean: np.ndarray, std: np.ndarray,
+                 logistic: bool, threshold: float = 0.0, score_col: str = "score", pred_col: str = "prediction"):
+        super().__init__()
+        self.layout, self.weights, self.mean, self.std = layout, weights, mean, std
+        self.logistic, self.threshold = logistic, threshold
+        self.score_col, self.pred_col = score_col, pred_col
 
     def linear_term(self) -> Column:
         cont = self.layout.continuous_positions()
@@ -47,9 +47,9 @@ class LinearScorer:
         t = self.linear_term()
         return sigmoid(t) if self.logistic else t
 
-    def transform(self, df: DataFrame, score: str = "score", pred: str = "prediction") -> DataFrame:
-        s = self.score()
-        return df.withColumn(score, s).withColumn(
+    def _transform(self, df: DataFrame) -> DataFrame:
+        score, pred = self.score_col, self.pred_col
+        return df.withColumn(score, self.score()).withColumn(
             pred, F.when(F.col(score) <= F.lit(float(self.threshold)), F.lit(-1)).otherwise(F.lit(1)).cast("int"))
 
 

@@ -91,3 +91,16 @@ def test_one_hot_rows_sum_to_one(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "c double")
     out = df.select(*encode.onehot_exprs("c", [1.0, 2.0, 3.0, None])).collect()
     assert all(sum(r) == 1.0 for r in out)
+
+
+def test_cleaning_and_scorer_as_pipeline_stages(spark):
+    from pyspark.ml import Pipeline
+    from riskspark.plans.models import LinearScorer
+    df = order_risk(spark, SF_SMALL)
+    fitted = Pipeline(stages=[CleaningEstimator(read_spec(spark, spec_path("order_risk")))]).fit(df)
+    cleaning = fitted.stages[0]
+    layout = cleaning.layout.with_intercept()
+    scorer = LinearScorer(layout, np.full(len(layout.names), 0.01), np.zeros(2), np.ones(2), True, 0.5)
+    from pyspark.ml import PipelineModel
+    out = PipelineModel(stages=[cleaning, scorer]).transform(df)
+    assert out.count() == df.count() and {"score", "prediction"} <= set(out.columns)
