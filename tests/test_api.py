@@ -104,3 +104,24 @@ def test_cleaning_and_scorer_as_pipeline_stages(spark):
     from pyspark.ml import PipelineModel
     out = PipelineModel(stages=[cleaning, scorer]).transform(df)
     assert out.count() == df.count() and {"score", "prediction"} <= set(out.columns)
+
+
+def test_scaled_training_part_has_mean_zero_std_one(spark, cleaned):
+    model, clean = cleaned
+    ds = Dataset(clean, model.layout, k=5)
+    scalers = ds.fold_scalers()
+    cont = ds.layout.continuous
+    for i in range(5):
+        tr, _ = ds.fold(i)
+        mu, sd = scalers[i]
+        exprs = [((F.col(c) - float(m)) / float(s)).alias(c) for c, m, s in zip(cont, mu, sd)]
+        stats = tr.select(*exprs).agg(*[F.avg(c).alias(f"m_{c}") for c in cont],
+                                      *[F.stddev_pop(c).alias(f"s_{c}") for c in cont]).first()
+        for c in cont:
+            assert abs(stats[f"m_{c}"]) < 1e-9 and abs(stats[f"s_{c}"] - 1.0) < 1e-9
+
+
+def test_predict_before_fit_raises(spark, cleaned):
+    _, clean = cleaned
+    with pytest.raises(RuntimeError):
+        LogisticRegressionGD().predict(clean)

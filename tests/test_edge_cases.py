@@ -13,11 +13,12 @@ from riskspark.sources.spec import spec_from_list
 def test_junk_csv_cell_is_null(spark, tmp_path):
     from riskspark.sources.csv_source import load_csv_data
     (tmp_path / "x_train.csv").write_text("Id,a,b\n1,1.5,x\n2,,3\n")
-    (tmp_path / "x_test.csv").write_text("Id,a,b\n9,2.5,4\n")
+    (tmp_path / "x_test.csv").write_text("Id,a,b\n9,2.5,4\n10,NaN,4\n")
     (tmp_path / "y_train.csv").write_text("Id,Prediction\n1,1\n2,-1\n")
     df = load_csv_data(spark, str(tmp_path)).orderBy("id").collect()
     assert [(r["id"], r["split"], r["label"], r["a"], r["b"]) for r in df] == [
-        (1, "train", 1, 1.5, None), (2, "train", -1, None, 3.0), (9, "test", None, 2.5, 4.0)]
+        (1, "train", 1, 1.5, None), (2, "train", -1, None, 3.0), (9, "test", None, 2.5, 4.0),
+        (10, "test", None, None, 4.0)]
 
 
 def test_vocabulary_violation_names_values(spark):
