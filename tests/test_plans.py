@@ -17,7 +17,7 @@ def test_profile_scan_is_pruned_and_jvm_only(spark):
     import re
     df = ent.queries()["null_profile"](spark, SF_SMALL)
     phys = _plan(df)
-    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", phys)
+    schemas = re.findall(r"FileScan parquet \[([^\]]*)\]", phys)
     assert schemas and all("l_shipdate" not in s and "l_returnflag" not in s and "l_partkey" not in s
                            for s in schemas)
     assert "Python" not in phys and "ArrowEval" not in phys
