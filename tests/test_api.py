@@ -125,3 +125,13 @@ def test_predict_before_fit_raises(spark, cleaned):
     _, clean = cleaned
     with pytest.raises(RuntimeError):
         LogisticRegressionGD().predict(clean)
+
+
+def test_reference_style_cross_validate(spark, cleaned):
+    from riskspark.plans.methods import average_model, cross_validate
+    model, clean = cleaned
+    ds = Dataset(clean, model.layout, k=5)
+    m = cross_validate(LogisticRegressionGD(max_iters=3, gamma=0.7), ds, search_threshold_iterations=20)
+    assert len(m["F1 Score"]) == 5 and len(m["Weights"]) == 5
+    w, thr, mu, sd = average_model(m)
+    assert w.shape == (len(ds.layout.names),) and -1.0 <= thr <= 1.0 and len(mu) == 2
