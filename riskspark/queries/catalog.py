@@ -638,6 +638,34 @@ def event_scale_fit(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("fold", "feature", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
+
+CSV_FEATURES = ["totalprice", "acctbal", "ordermonth", "regionkey"]
+
+
+def csv_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: write the orders table in the three-file CSV layout (x_train, y_train,
+    x_test; missing balances as empty cells) to the shared scratch folder, read
+    it back with ``load_csv_data`` (text + try_cast, labels joined on id) and
+    summarise each split."""
+    import uuid
+    from riskspark.session import scratch_path
+    from riskspark.sources.csv_source import load_csv_data
+    df = order_risk(spark, sf)
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    feats = [F.col("id").alias("Id"), *CSV_FEATURES]
+    train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
+    train.select(*feats).write.option("header", True).csv(f"{base}/x_train.csv")
+    train.select(F.col("id").alias("Id"), F.col("label").alias("Prediction")).write.option("header", True) \
+        .csv(f"{base}/y_train.csv")
+    test.select(*feats).write.option("header", True).csv(f"{base}/x_test.csv")
+    loaded = load_csv_data(spark, base)
+    return loaded.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.count("label").cast("bigint").alias("n_labels"),
+        F.count_if(F.col("label") == 1).cast("bigint").alias("n_pos"),
+        F.count_if(F.col("acctbal").isNull()).cast("bigint").alias("n_missing_acctbal"),
+        *[r6(F.avg(c)).alias(f"mean_{c}") for c in CSV_FEATURES])
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -660,4 +688,5 @@ QUERIES = {
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
+    "csv_load": csv_load,
 }

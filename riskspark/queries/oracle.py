@@ -459,6 +459,17 @@ def event_scale_fit() -> str:
     return sql("\nUNION ALL\n".join(parts), ("event_num",), (er, FOLDS))
 
 
+
+def csv_load() -> str:
+    means = ", ".join(f"{r6(f'avg({c})')} AS mean_{c}" for c in ("totalprice", "acctbal", "ordermonth", "regionkey"))
+    body = ("SELECT split, CAST(count(*) AS BIGINT) AS n, "
+            "CAST(count(CASE WHEN split = 'train' THEN label END) AS BIGINT) AS n_labels, "
+            "CAST(count(*) FILTER (WHERE split = 'train' AND label = 1) AS BIGINT) AS n_pos, "
+            f"CAST(count(*) FILTER (WHERE acctbal IS NULL) AS BIGINT) AS n_missing_acctbal, {means} "
+            "FROM order_risk GROUP BY split")
+    return sql(body, ("order_risk",))
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -480,7 +491,7 @@ ORACLES = {
     "predict_threshold": predict_threshold, "confusion_metrics": confusion_metrics,
     "threshold_search": threshold_search,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
-    "ridge_score": ridge_score, "event_scale_fit": event_scale_fit,
+    "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
 }
 
 
