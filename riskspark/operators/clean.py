@@ -101,9 +101,10 @@ class CleaningEstimator(Estimator):
     def __init__(self, specs: list[FeatureSpec], threshold: float = 0.1, max_categories: int = 10,
                  impute: str = "per_split", id_col: str = "id", label_col: str = "label",
                  split_col: str = "split", train_value: str = "train", check_vocab: bool = True,
-                 persist: bool = True):
+                 persist: bool = True, on_missing: str = "error"):
         super().__init__()
         self.persist = persist
+        self.on_missing = on_missing          # "error" | "keep" for missing values left in continuous columns
         self.specs = specs
         self.threshold = threshold
         self.max_categories = max_categories
@@ -188,7 +189,13 @@ class CleaningEstimator(Estimator):
                               rules, means, layout, {"sparse": sparse})
         projected = model.transform(df)
         const = profile.constant_report(projected, layout.names, train)
-        keep = {r["feature"] for r in const.filter("kept").select("feature").collect()}
+        stats = const.select("feature", "kept", "n_missing_all").collect()
+        keep = {r["feature"] for r in stats if r["kept"]}
+        left = sorted(r["feature"] for r in stats if r["feature"] in model.layout.continuous
+                      and r["n_missing_all"] and r["feature"] in keep)
+        if left and self.on_missing == "error":
+            raise ValueError(f"continuous columns still have missing values after their mapping rules "
+                             f"(add a ['NaN', 'mean'] rule or use on_missing='keep'): {left}")
         model.layout = FeatureLayout([c for c in layout.columns if c.name in keep])
         model.reports["constant"] = const
         return model

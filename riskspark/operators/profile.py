@@ -117,18 +117,23 @@ def vocabulary(df: DataFrame, column: str, bound: int = 1000) -> list:
 
 def constant_report(df: DataFrame, columns: Sequence[str], train_filter=None) -> DataFrame:
     """B14 decision, judged on training rows: a column is dropped iff it has no
-    missing value and min == max -> (column, min_value, max_value, n_missing, kept)."""
-    rows = df if train_filter is None else df.filter(train_filter)
+    missing value and min == max -> (feature, min_value, max_value, n_missing,
+    n_missing_all, kept). ``n_missing_all`` counts missing cells over every row
+    (for the assembly check) in the same job."""
+    train = F.lit(True) if train_filter is None else train_filter
     parts = []
     for chunk in _chunks(columns, 100):
         aggs = []
         for c in chunk:
-            aggs += [F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
-                     F.count_if(F.col(c).isNull()).cast("bigint").alias(f"{c}__nm")]
-        agg = rows.agg(*aggs)
+            tc = F.when(train, F.col(c))
+            aggs += [F.min(tc).cast("double").alias(f"{c}__min"), F.max(tc).cast("double").alias(f"{c}__max"),
+                     F.count_if(train & F.col(c).isNull()).cast("bigint").alias(f"{c}__nm"),
+                     F.count_if(F.col(c).isNull()).cast("bigint").alias(f"{c}__na")]
+        agg = df.agg(*aggs)
         stacked = agg.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("feature"), F.col(f"{c}__min").alias("min_value"),
-                     F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__nm").alias("n_missing"))
+                     F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__nm").alias("n_missing"),
+                     F.col(f"{c}__na").alias("n_missing_all"))
             for c in chunk])).alias("s")).select("s.*")
         parts.append(stacked)
     out = parts[0]

@@ -266,6 +266,10 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
             cfg = configs[ci]
             n = cfg.search if cfg.search is not None else search_thresholds
             fixed_t = cfg.threshold if cfg.threshold is not None else threshold
+            if cfg.loss == "logistic" and n == 0 and fixed_t <= 0.0:
+                import warnings
+                warnings.warn(f"{cfg.kind}: sigmoid scores are > 0, so a fixed threshold of {fixed_t} "
+                              "predicts every row positive", stacklevel=2)
             per_task.append((n, 0.0 if n > 0 else fixed_t))   # a search falls back to 0.0
         stats = {}
         for n in sorted({n for n, _ in per_task}):

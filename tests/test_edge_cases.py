@@ -149,3 +149,16 @@ def test_exact_rank_boundary_matches_sort(spark):
         flag = boundary_flag(rank_boundary(df, m, "__h", "id"), "__h", "id")
         picked = sorted((r["__h"], r["id"]) for r in df.filter(flag).collect())
         assert picked == rows[:m]
+
+
+def test_missing_left_in_continuous_column_is_an_error(spark):
+    from riskspark.operators.clean import CleaningEstimator
+    rows = [(i, "train" if i < 40 else "test", 1 if i % 3 else -1, float(i) if i % 17 else None) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, split string, label int, a double")
+    spec = spec_from_list([{"id": "a", "description": "", "type": "continuous"}])
+    with pytest.raises(ValueError, match="still have missing"):
+        CleaningEstimator(spec).fit(df)
+    model = CleaningEstimator(spec, on_missing="keep").fit(df)
+    assert model.layout.names == ["a"]
+    imputed = spec_from_list([{"id": "a", "description": "", "type": "continuous", "mapping": [["NaN", "mean"]]}])
+    assert CleaningEstimator(imputed).fit(df).transform(df).filter("a IS NULL").count() == 0
