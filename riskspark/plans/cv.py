@@ -32,6 +32,9 @@ from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chu
 from riskspark.operators.split import fold_column, holdout_column
 
 GRAM_KINDS = ("least_squares", "ridge")
+# rows per task for the repeated passes when the input has few partitions (local
+# measurement at 96k rows: 4 partitions 0.18 s / step, 1 partition 0.26 s / step)
+ROWS_PER_TASK = 25_000
 
 
 @dataclass
@@ -212,8 +215,14 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         W = np.zeros((d, M))
         train_loss = np.full(M, np.nan)
         ratios = class_ratios(train, tasks, "fold", "y") if any(t.balance for t in tasks) else np.ones(M)
-        # every later pass (Gram, GD steps, evaluation) streams instance blocks
-        blocks = pack_blocks(train, "x", d, "y", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+        # every later pass (Gram, GD steps, evaluation) streams instance blocks; spread
+        # them over enough partitions that a pass is not one long task (small inputs
+        # that AQE packed into one partition), never more than the cluster's cores
+        n_rows = int(sum(v[0].max() for v in mom.values())) if mom else train.count()
+        cores = max(1, train.sparkSession.sparkContext.defaultParallelism)
+        target = min(cores, max(1, n_rows // ROWS_PER_TASK))
+        src = train.repartition(target) if train.rdd.getNumPartitions() < target else train
+        blocks = pack_blocks(src, "x", d, "y", "fold").persist(StorageLevel.MEMORY_AND_DISK)
         blocks.count()
         if persist:
             train.unpersist()       # the blocks are recomputed from the checkpoint if lost
