@@ -89,26 +89,42 @@ def boundary_flag(boundary, h: str = "__h", key: str = "id") -> Column:
     return (F.col(h) < F.lit(h_star)) | ((F.col(h) == F.lit(h_star)) & (F.col(key) <= F.lit(k_star)))
 
 
+def _narrow_keys(df: DataFrame, seed, key: str, extra=()):
+    """(hash, key[, extra]) persisted for the few boundary jobs, so upstream joins
+    run once; released by the caller once the boundary literals are known."""
+    from pyspark import StorageLevel
+    return df.select(hash32(seed, key).alias("__h"), key, *extra).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def exact_holdout(df: DataFrame, ratio: float = 0.8, seed=1, key: str = "id") -> DataFrame:
     """C1 exact mode: the first int(N * ratio) rows by (hash, key) are kept for
     training, the rest held out. Adds BOOLEAN ``holdout``."""
+    keys = _narrow_keys(df, holdout_seed(seed), key)
+    try:
+        n = keys.count()
+        bound = rank_boundary(keys, int(n * ratio), "__h", key)
+    finally:
+        keys.unpersist()
     keyed = df.withColumn("__h", hash32(holdout_seed(seed), key))
-    n = keyed.count()
-    bound = rank_boundary(keyed, int(n * ratio), "__h", key)
     return keyed.withColumn("holdout", ~boundary_flag(bound, "__h", key)).drop("__h")
 
 
 def undersample(df: DataFrame, label: str = "label", seed="balance", key: str = "id") -> DataFrame:
     """Keep every minority-class row and the minority-count smallest-hash rows
     of each other class. Exact counts, skew-safe (no per-class window)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    if len(counts) < 2:
-        return df
-    m = min(counts.values())
+    keys = _narrow_keys(df, seed, key, (label,))
+    try:
+        counts = {r[0]: r[1] for r in keys.groupBy(label).count().collect()}
+        if len(counts) < 2:
+            return df
+        m = min(counts.values())
+        bounds = {cls: None if c == m else rank_boundary(keys.filter(F.col(label) == F.lit(cls)), m, "__h", key)
+                  for cls, c in counts.items()}
+    finally:
+        keys.unpersist()
     keyed = df.withColumn("__h", hash32(seed, key))
     cond = F.lit(False)
-    for cls, c in counts.items():
-        cls_rows = keyed.filter(F.col(label) == F.lit(cls))
-        flag = F.lit(True) if c == m else boundary_flag(rank_boundary(cls_rows, m, "__h", key), "__h", key)
+    for cls, bound in bounds.items():
+        flag = F.lit(True) if bound is None else boundary_flag(bound, "__h", key)
         cond = cond | ((F.col(label) == F.lit(cls)) & flag)
     return keyed.filter(cond).drop("__h")
