@@ -128,3 +128,44 @@ def undersample(df: DataFrame, label: str = "label", seed="balance", key: str =
         flag = F.lit(True) if bound is None else boundary_flag(bound, "__h", key)
         cond = cond | ((F.col(label) == F.lit(cls)) & flag)
     return keyed.filter(cond).drop("__h")
+
+
+def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in the permutation ordered by (hash, key),
+    without a global window: range-partition by (hash, key) and sort within
+    partitions (one shuffle), persist so the cut is stable, count rows per
+    partition (P numbers), then number rows inside each partition and add the
+    partition's running offset. Adds BIGINT ``rank``; needs unique keys."""
+    from pyspark import StorageLevel
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    keyed = (df.withColumn("__h", hash32(seed, key)).repartitionByRange(n, "__h", key)
+             .sortWithinPartitions("__h", key).persist(StorageLevel.MEMORY_AND_DISK))
+    counts = {r[0]: r[1] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    offsets = np.zeros(max(counts) + 1 if counts else 1, dtype=np.int64)
+    running = 0
+    for p in range(len(offsets)):
+        offsets[p] = running
+        running += counts.get(p, 0)
+    out_schema = T.StructType(keyed.schema.fields + [T.StructField("rank", T.LongType())])
+
+    def number(batches):
+        from pyspark import TaskContext
+        start = int(offsets[TaskContext.get().partitionId()])
+        for b in batches:
+            ranks = pa.array(np.arange(start, start + b.num_rows, dtype=np.int64))
+            start += b.num_rows
+            yield pa.RecordBatch.from_arrays(b.columns + [ranks], schema=b.schema.append(pa.field("rank", pa.int64())))
+
+    from riskspark.session import ship_package
+    ship_package(df.sparkSession)
+    return keyed.mapInArrow(number, out_schema).drop("__h")
+
+
+def exact_stride_sample(df: DataFrame, every: int = 50, seed="sample", key: str = "id") -> DataFrame:
+    """A3 exact mode: every ``every``-th row (positions 0, every, 2*every, ...) of
+    the seeded permutation -- the reference's [::50] on a shuffled order."""
+    return exact_rank(df, seed, key).filter(F.col("rank") % every == 0).drop("rank")

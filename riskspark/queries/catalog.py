@@ -666,6 +666,13 @@ def csv_load(spark: SparkSession, sf: str) -> DataFrame:
         *[r6(F.avg(c)).alias(f"mean_{c}") for c in CSV_FEATURES])
 
 
+
+def exact_stride_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 exact mode: rows at positions 0, 50, 100, ... of the permutation of the
+    training split ordered by md5 key (exact rank, no global window)."""
+    return split.exact_stride_sample(_train_rows(spark, sf).select("id", "label"), 50, "sample", "id")
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -688,5 +695,5 @@ QUERIES = {
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
-    "csv_load": csv_load,
+    "csv_load": csv_load, "exact_stride_sample": exact_stride_sample,
 }

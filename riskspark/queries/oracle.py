@@ -470,6 +470,15 @@ def csv_load() -> str:
     return sql(body, ("order_risk",))
 
 
+
+def exact_stride_sample() -> str:
+    h = hash32_sql('sample', 'id')
+    body = ("SELECT id, CAST(label AS INTEGER) AS label FROM (SELECT id, label, "
+            f"row_number() OVER (ORDER BY {h}, id) - 1 AS rk FROM order_risk WHERE split = 'train') "
+            "WHERE rk % 50 = 0")
+    return sql(body, ("order_risk",))
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -492,6 +501,7 @@ ORACLES = {
     "threshold_search": threshold_search,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
+    "exact_stride_sample": exact_stride_sample,
 }
 
 

@@ -162,3 +162,12 @@ def test_missing_left_in_continuous_column_is_an_error(spark):
     assert model.layout.names == ["a"]
     imputed = spec_from_list([{"id": "a", "description": "", "type": "continuous", "mapping": [["NaN", "mean"]]}])
     assert CleaningEstimator(imputed).fit(df).transform(df).filter("a IS NULL").count() == 0
+
+
+def test_exact_rank_equals_sorted_position(spark):
+    from riskspark.functions.hashing import hash32
+    from riskspark.operators.split import exact_rank
+    df = spark.range(3000).repartition(5)
+    ranked = {r["id"]: r["rank"] for r in exact_rank(df, "t", "id", partitions=7).collect()}
+    order = [r["id"] for r in df.withColumn("h", hash32("t", "id")).orderBy("h", "id").collect()]
+    assert [ranked[i] for i in order] == list(range(3000))
