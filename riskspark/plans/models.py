@@ -70,8 +70,11 @@ class ModelBase:
     def fit(self, data: DataFrame, layout: FeatureLayout, threshold: float = 0.0):
         """``data`` as produced by ``plans.cv.prepare`` (rows with fold >= 0 are used)."""
         from riskspark.plans.cv import cross_validate
+        import warnings
         one = data.withColumn("fold", F.when(F.col("fold") >= 0, F.lit(0)).otherwise(F.lit(-1)))
-        res = cross_validate(one, layout, [self.config], k=1, threshold=threshold, folds=[-1])
+        with warnings.catch_warnings():      # no validation rows here, so no threshold to warn about
+            warnings.simplefilter("ignore")
+            res = cross_validate(one, layout, [self.config], k=1, threshold=threshold, folds=[-1])
         r = res.folds[0]
         self.w, self.loss = r.weights, r.train_loss
         self.scorer = LinearScorer(layout, r.weights, r.mean, r.std, self.config.loss == "logistic", threshold)
