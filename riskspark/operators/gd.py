@@ -210,6 +210,19 @@ def batch_column(size: int, n_rows: int, seed="batch", key: str = "id"):
     return F.pmod(hash32(seed, key), F.lit(n_batches)).cast("int"), n_batches
 
 
+def exact_batches(df: DataFrame, size: int, seed="batch", key: str = "id"):
+    """D13 exact: contiguous batches of the seeded permutation, ``batch = rank div
+    size`` for the first ``max_batches * size`` rows; the remainder gets -1 and is
+    never used (the reference's no-shuffle iterator). Returns (frame, max_batches)."""
+    from riskspark.operators.split import exact_rank
+    ranked = exact_rank(df, seed, key)
+    n_rows = df.count()
+    size = max(1, min(size, n_rows))
+    max_batches = max(1, n_rows // size)
+    batch = F.when(F.col("rank") < max_batches * size, (F.col("rank") / size).cast("bigint")).otherwise(F.lit(-1))
+    return ranked.withColumn("batch", batch.cast("int")).drop("rank"), max_batches
+
+
 def batch_schedule(num_steps: int, n_batches: int, shuffle: bool = False, seed: int = 0) -> list[int]:
     """Batch index used at each step: circular without shuffle, seeded choice with it."""
     if not shuffle:

@@ -673,6 +673,33 @@ def exact_stride_sample(spark: SparkSession, sf: str) -> DataFrame:
     return split.exact_stride_sample(_train_rows(spark, sf).select("id", "label"), 50, "sample", "id")
 
 
+
+EXACT_BATCH = 1000
+
+
+def minibatch_gd_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 / D13 exact: mini-batch MSE GD over contiguous batches of 1,000 rows of
+    the seeded permutation (step t uses batch t mod B, remainder never used);
+    features: intercept, totalprice / 500000, ordermonth / 12. Per-batch Grams
+    come from one pass; the steps are driver algebra."""
+    from riskspark.operators import linear
+    from riskspark.operators.gd import batch_schedule, exact_batches
+    from riskspark.operators.moments import gram_by_key
+    base = _train_rows(spark, sf).select(
+        "id", F.lit(1.0).alias("x0"), (F.col("totalprice") / 500000.0).alias("x1"),
+        (F.col("ordermonth") / 12.0).alias("x2"), F.col("label").cast("double").alias("y"))
+    batched, n_batches = exact_batches(base, EXACT_BATCH, "batch", "id")
+    cols = ["x0", "x1", "x2"]
+    grams = gram_by_key(batched.select(encode.assemble(cols), "y", "batch"), "x", "y", 3, "batch",
+                        max_keys=n_batches + 1)
+    w = np.zeros(3)
+    for b in batch_schedule(GD_STEPS, n_batches):
+        Z = grams[b]
+        w = linear.gd_from_gram(Z[:3, :3], Z[:3, 3], Z[0, 0], 0.1, 1, w)
+    tot = sum(g for k, g in grams.items())
+    return _terms(spark, w, linear.mse_from_gram(tot[:3, :3], tot[:3, 3], tot[3, 3], tot[0, 0], w))
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -695,5 +722,5 @@ QUERIES = {
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
-    "csv_load": csv_load, "exact_stride_sample": exact_stride_sample,
+    "csv_load": csv_load, "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
 }

@@ -479,6 +479,26 @@ def exact_stride_sample() -> str:
     return sql(body, ("order_risk",))
 
 
+
+def minibatch_gd_exact() -> str:
+    h = hash32_sql('batch', 'id')
+    d = ("d", "SELECT id, CAST(1.0 AS DOUBLE) AS x0, totalprice / 500000.0 AS x1, ordermonth / 12.0 AS x2, "
+              "CAST(label AS DOUBLE) AS y FROM order_risk WHERE split = 'train'")
+    nb = ("nb", "SELECT greatest(1, count(*) // 1000) AS nb FROM d")
+    rk = ("rk", f"SELECT d.*, row_number() OVER (ORDER BY {h}, id) - 1 AS rk FROM d")
+    db = ("db", "SELECT rk.*, CASE WHEN rk < nb * 1000 THEN rk // 1000 ELSE -1 END AS batch FROM rk, nb")
+    t = "x0 * w0 + x1 * w1 + x2 * w2"
+    upd = ", ".join(f"w{j} - CAST(0.1 AS DOUBLE) * avg(-(y - ({t})) * x{j})" for j in range(3))
+    g = ("g(step, w0, w1, w2)",
+         "SELECT 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) UNION ALL "
+         f"SELECT step + 1, {upd} FROM g, db, nb WHERE step < {GD_STEPS} AND batch = step % nb "
+         "GROUP BY step, w0, w1, w2")
+    fw = ("fw", f"SELECT * FROM g WHERE step = {GD_STEPS}")
+    body = " UNION ALL ".join(f"SELECT 'w{j}' AS term, {r6(f'w{j}')} AS value FROM fw" for j in range(3))
+    body += f" UNION ALL SELECT 'loss', {r6(f'avg((y - ({t})) * (y - ({t}))) / 2.0')} FROM db, fw GROUP BY w0, w1, w2"
+    return sql(body, ("order_risk",), (d, nb, rk, db, g, fw), recursive=True)
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -501,7 +521,7 @@ ORACLES = {
     "threshold_search": threshold_search,
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
-    "exact_stride_sample": exact_stride_sample,
+    "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
 }
 
 
