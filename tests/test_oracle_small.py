@@ -16,7 +16,8 @@ FAST = ["null_profile", "drop_sparse_columns", "spec_conformance", "vocab_confor
         "undersample", "scale_fit", "scale_apply_kfold", "class_ratio", "label_counts", "mse_loss",
         "logistic_balanced_gradient", "gram_matrix", "least_squares", "ridge", "mse_gd", "logistic_gd",
         "minibatch_gd", "confusion_metrics", "threshold_search", "cross_validate", "fold_average",
-        "holdout_metrics", "submission"]
+        "holdout_metrics", "submission", "label_correlation", "split_scale", "clean_snapshot", "ridge_score",
+        "doc_cross_validate", "event_scale_fit", "csv_load", "exact_stride_sample", "minibatch_gd_exact"]
 
 
 @pytest.fixture(scope="module")
