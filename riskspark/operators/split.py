@@ -135,7 +135,12 @@ def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = No
     without a global window: range-partition by (hash, key) and sort within
     partitions (one shuffle), persist so the cut is stable, count rows per
     partition (P numbers), then number rows inside each partition and add the
-    partition's running offset. Adds BIGINT ``rank``; needs unique keys."""
+    partition's running offset. Adds BIGINT ``rank``; needs unique keys.
+
+    Executor loss: a lost cached block is rebuilt from the range exchange, whose
+    bounds are fixed once in the shuffle dependency, and the in-partition order
+    is total on unique keys, so recomputed partitions hold the same rows in the
+    same order and the offsets stay valid."""
     from pyspark import StorageLevel
     import numpy as np
     import pyarrow as pa
