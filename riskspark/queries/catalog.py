@@ -489,11 +489,17 @@ def holdout_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def submission(spark: SparkSession, sf: str) -> DataFrame:
-    """Predictions of the averaged model for the test split (Id, Prediction).
-    ``riskspark.sources.sink.write_submission`` writes it as CSV."""
+    """Predictions of the averaged model for the test split, written by
+    the submission sink (validated, timestamped CSV folder in the shared scratch
+    area) and read back as (Id, Prediction)."""
+    import uuid
+    from riskspark.session import scratch_path
+    from riskspark.sources.sink import write_submission
     scorer, _, clean, _, _ = _averaged_scorer(spark, sf)
     scored = scorer.transform(clean.filter(F.col("split") == "test"))
-    return scored.select(F.col("id").alias("Id"), F.col("prediction").alias("Prediction"))
+    preds = scored.select(F.col("id").alias("Id"), F.col("prediction").alias("Prediction"))
+    path = write_submission(preds, scratch_path(spark, f"submissions-{uuid.uuid4().hex}"))
+    return spark.read.option("header", True).schema("Id BIGINT, Prediction INT").csv(path)
 
 
 def _means(res, config=0):
