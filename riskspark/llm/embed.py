@@ -41,17 +41,20 @@ MAX_DEPTH = 14
 
 
 def _valid(vectors: DataFrame, vector: str) -> DataFrame:
-    """(vec_id, label, v) of the rows that may link: v is the vector as doubles."""
-    v = F.transform(F.col(vector), lambda x: x.cast("double"))
+    """(vec_id, label, v) of the rows that may link; v is the vector in its own element type, -0.0 as 0.0."""
+    kind = vectors.schema[vector].dataType.elementType.simpleString()
+    kind = kind if kind in ("float", "double") else "double"
+    v = F.transform(F.col(vector), lambda x: x.cast(kind))
     good = (F.col("label").isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0)
             & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists("v", lambda x: x != 0))
     return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), v.alias("v"), F.col(vector))
-            .where(good).select("vec_id", "label", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")))
+            .where(good).select("vec_id", "label", F.transform("v", lambda x: x + F.lit(0.0).cast(kind)).alias("v")))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; scaled by the largest component first so that squares stay finite."""
+    rows = rows.astype(np.float64)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
