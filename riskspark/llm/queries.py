@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import embed, simhash
+from riskspark.llm import embed, langid, quality, simhash, toxicity
 from riskspark.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
-QUERIES = {f.__name__: f for f in (op7_simhash_near_dedup, op9_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
