@@ -134,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, shard_
     """Fit on ``labels`` (doc_id, y in 0/1) joined to ``docs``. Without labels the model scores 0 everywhere."""
     ready(docs.sparkSession)
     chosen = bounded_sample(labels, F.col("doc_id"), train_rows)
-    train = written(doc_texts(docs).join(chosen, "doc_id"), "toxicity-train")
+    # at most about train_rows pairs of numbers: sent to the texts, which stay where they are
+    train = written(doc_texts(docs).join(F.broadcast(chosen), "doc_id"), "toxicity-train")
     shards = max(1, -(-train.count() // shard_rows))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
