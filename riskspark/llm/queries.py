@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import embed, langid, quality, simhash, toxicity
+from riskspark.llm import bpe, embed, langid, quality, simhash, toxicity
 from riskspark.llm.common import table
 
 
@@ -28,5 +28,12 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup)}
+def op10_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup,
+                                  op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
