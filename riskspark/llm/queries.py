@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, embed, langid, quality, simhash, toxicity
+from riskspark.llm import bpe, embed, langid, packing, quality, secrets, simhash, toxicity
 from riskspark.llm.common import table
 
 
@@ -16,6 +16,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
@@ -34,6 +42,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.j
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_secret_scan,
+                                  op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup,
                                   op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
