@@ -119,7 +119,7 @@ def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, sequ
         pdf = pd.concat(whole, ignore_index=True).sort_values(["piece_words", "doc_id", "piece"], ascending=[False, True, True])
         b, offset, capacity = pack(pdf["piece_words"].to_numpy(), capacities, sequence_cost)
         yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "piece": pdf["piece"], "piece_start": pdf["piece_start"],
-                            "piece_words": pdf["piece_words"], "bin_id": (pdf["shard"].astype(np.int64) << 32) + b,
+                            "piece_words": pdf["piece_words"], "bin_id": (pdf["shard"].to_numpy(np.int64) << 32) + b,
                             "bin_offset": offset, "bin_capacity": capacity})
 
     return dealt.mapInPandas(run, "doc_id long, piece int, piece_start long, piece_words long, "
