@@ -25,16 +25,28 @@ WINDOW = 8
 
 def with_words(docs: DataFrame) -> DataFrame:
     """(doc_id, text, words): words are the runs between ASCII white space."""
-    return doc_texts(docs).withColumn("words", F.filter(F.split("text", SPACE), lambda w: w != ""))
+    trimmed = F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))
+    return doc_texts(docs).withColumn("words", F.when(trimmed == "", F.array().cast("array<string>"))
+                                      .otherwise(F.split(trimmed, SPACE)))
 
 
-def _hashed(words: Column) -> Column:
-    """Bucket of every word and of every pair of neighbours."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    last = F.size(words) - 1
-    pairs = F.transform(F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>")),
-                        lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(BUCKETS)).cast("int"))
-    return F.concat(single, pairs)
+def _with_hashes(docs: DataFrame) -> DataFrame:
+    """``with_words`` and the hashes of every word (h1) and of every pair of neighbours (h2).
+
+    Each array is a column of its own, so that it is computed once however often it is used."""
+    words = with_words(docs).withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
+    return words.withColumn("h2", _joined("h1", 1))
+
+
+def _joined(name: str, step: int) -> Column:
+    """Hash of every element of a hash array with the one ``step`` places on (none for the last ones)."""
+    size = F.size(name)
+    return F.zip_with(F.slice(name, F.lit(1), F.greatest(size - step, F.lit(0))), F.slice(name, F.lit(1 + step), size),
+                      lambda a, b: F.xxhash64(a, b))
+
+
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> list[int]:
@@ -44,9 +56,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUS
     a hash) are sent to the texts; a repeated id counts once."""
     ids = bounded_sample(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(),
                          F.col("doc_id"), trusted_rows).withColumn("is_trusted", F.lit(1))
-    marked = with_words(docs).join(F.broadcast(ids), "doc_id", "left")
-    grams = marked.select(F.coalesce("is_trusted", F.lit(0)).alias("t"), F.explode(_hashed(F.col("words"))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+    marked = _with_hashes(docs).join(F.broadcast(ids), "doc_id", "left")
+    grams = marked.select(F.coalesce("is_trusted", F.lit(0)).alias("t"), F.explode(F.concat("h1", "h2")).alias("h"))
+    counts = grams.groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
     spark = docs.sparkSession
     counts = written(spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
                      .select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")),
@@ -62,30 +74,32 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUS
     return weights
 
 
-def _repeated_words(words: Column) -> Column:
-    """Words inside windows of WINDOW words that occur twice or more in the text.
+def _with_repeats(hashed: DataFrame) -> DataFrame:
+    """``hashed`` with n_repeat_words: words inside windows of WINDOW (8) words found twice or more in the text.
 
-    Windows are compared by hash first; only a text that seems to repeat one sorts them
-    as strings and counts the words that repeated windows cover."""
-    last = F.size(words) - WINDOW
-    none = F.array().cast("array<int>")
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(none)
-    hashes = F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
-    ordered = F.array_sort(F.transform(at, lambda i: F.struct(
-        F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " ").alias("window"), i.alias("at"))))
+    Windows are compared by hash first; only a text that seems to repeat one sorts its
+    windows, compares neighbours word by word and counts the words that repeats cover."""
+    none = F.array().cast("array<struct<h:bigint,at:int>>")
+    out = (hashed.withColumn("h4", _joined("h2", 2)).withColumn("h8", _joined("h4", 4)).drop("h4")
+           .withColumn("ordered", F.when(F.size(F.array_distinct("h8")) < F.size("h8"), F.array_sort(F.transform(
+               "h8", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))).otherwise(none)).drop("h8"))
 
     def same(a: Column, b: Column) -> Column:
-        return F.coalesce(a["window"] == b["window"], F.lit(False))
-
-    neighbours = F.zip_with(ordered, F.concat(F.slice(ordered, F.lit(2), F.size(ordered)), F.array(F.lit(None))),
-                            lambda a, b: F.struct(a["at"].alias("at"), a["window"].alias("window"), same(a, b).alias("next")))
-    marked = F.aggregate(neighbours, F.struct(F.lit(False).alias("before"), none.alias("found")), lambda s, x: F.struct(
-        x["next"].alias("before"),
-        F.when(s["before"] | x["next"], F.concat(s["found"], F.array(x["at"]))).otherwise(s["found"]).alias("found")),
-        lambda s: s["found"])
-    covered = F.aggregate(F.array_sort(marked), F.struct(F.lit(0).alias("until"), F.lit(0).alias("n")), lambda s, i: F.struct(
+        def words(x: Column) -> Column:
+            return F.slice("words", x["at"] + 1, F.lit(WINDOW))
+
+        return F.coalesce((a["h"] == b["h"]) & (words(a) == words(b)), F.lit(False))
+
+    size = F.size("ordered")
+    out = out.withColumn("like_next", F.zip_with("ordered", F.slice("ordered", F.lit(2), size), same))
+    like_before = F.concat(F.array(F.lit(False)), F.slice("like_next", F.lit(1), F.greatest(size - 1, F.lit(0))))
+    out = out.withColumn("places", F.array_sort(F.transform(F.filter(F.zip_with(
+        "ordered", F.zip_with("like_next", like_before, lambda a, b: a | F.coalesce(b, F.lit(False))),
+        lambda x, repeated: F.struct(x["at"].alias("at"), repeated.alias("repeated"))),
+        lambda x: x["repeated"]), lambda x: x["at"])))
+    covered = F.aggregate("places", F.struct(F.lit(0).alias("until"), F.lit(0).alias("n")), lambda s, i: F.struct(
         (i + WINDOW).alias("until"), (s["n"] + i + WINDOW - F.greatest(s["until"], i)).alias("n")), lambda s: s["n"])
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), covered).otherwise(F.lit(0))
+    return out.withColumn("n_repeat_words", covered.cast("long")).drop("ordered", "like_next", "places")
 
 
 def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
@@ -99,19 +113,20 @@ def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOL
     """
     # one literal of BUCKETS integers; integer sums do not depend on their order
     weights = F.split(F.lit(",".join(map(str, bucket_weights(docs, trusted, trusted_rows)))), ",").cast("array<int>")
-    words, text = F.col("words"), F.col("text")
+    text = F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    base = with_words(docs).select(
-        "doc_id", "words", lines.alias("lines"), F.size(words).cast("long").alias("n_words"),
+    counted = _with_repeats(_with_hashes(docs)).withColumn("lines", lines)
+
+    def total(hashes: str) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s + F.get(weights, _bucket(h)))
+
+    grams = F.greatest(F.size("h1") + F.size("h2"), F.lit(1))
+    scored = counted.select(
+        "doc_id", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        _hashed(words).alias("grams"))
-    total = F.aggregate("grams", F.lit(0).cast("long"), lambda s, b: s + F.get(weights, b))
-    scored = base.select(
-        "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeated_words(words).cast("long").alias("n_repeat_words"),
-        (total / (F.greatest(F.size("grams"), F.lit(1)) * STEPS)).alias("score"))
+        "n_repeat_words", ((total("h1") + total("h2")) / (grams * STEPS)).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
