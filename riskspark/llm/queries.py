@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import bpe, embed, langid, packing, quality, rules, secrets, simhash, toxicity
+from riskspark.llm import bpe, embed, langid, packing, quality, rules, secrets, simhash, suffix, toxicity
 from riskspark.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(table(spark, sf_dir, "documents"), length=100)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents"), rules.trusted_documents(table(spark, sf_dir, "labels")))
 
@@ -46,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.j
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_secret_scan, op6_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_secret_scan, op5_suffix_dedup, op6_quality_rules,
                                   op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup,
                                   op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}

@@ -197,3 +197,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     by_fp = named.join(lows, "root").select("fp", "component_id")
     return (rows.join(by_fp, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its near-duplicates, with all columns.
+
+    Rows without a doc_id cannot be named and stay."""
+    found = near_duplicates(docs, shingle, distance)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
+    named = docs.join(first, F.col("doc_id") == F.col("__first"), "left_semi")
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
