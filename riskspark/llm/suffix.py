@@ -37,10 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import doc_texts, ready, written
+from riskspark.llm.common import doc_texts, ready
 
 LENGTH = 100
 KMER = 48
@@ -49,6 +50,7 @@ BLOCK_BYTES = 4_000_000
 RANGE_STRETCHES = 60_000
 #: Different surroundings of an anchor from which its windows are sent one by one.
 HOT_ANCHOR = 512
+BLOCK, NULL = "__block", "__null"
 _SLICE = 1 << 19  # positions hashed at a time
 
 _UNIT = np.random.default_rng(41).integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -316,28 +318,25 @@ def _places(payload: bytes, n: int) -> list[tuple[int, int, int]]:
     return list(zip(*out))
 
 
-def _block_of(count: int) -> Column:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text), F.lit(count)).cast("int")
+def _with_repeats(docs: DataFrame, finish, schema, length: int = LENGTH, kmer: int = KMER,
+                  block_bytes: int = BLOCK_BYTES, hot: int = HOT_ANCHOR) -> DataFrame:
+    """``finish(block rows, their marks)`` for every block of ``docs``; marks are the runs of windows that repeat.
 
-
-def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, block_bytes: int = BLOCK_BYTES,
-                     hot: int = HOT_ANCHOR) -> tuple[int, DataFrame]:
-    """Number of blocks, and (block, marks): the runs of windows that repeat, packed per block."""
+    ``docs`` has the columns doc_id and text and no null text. It is dealt into blocks
+    by one exchange, which all three uses below share."""
     if not 8 <= kmer < length or 2 * length - kmer > 250:
         raise ValueError("need 8 <= kmer < length and 2 * length - kmer <= 250")
     spark = docs.sparkSession
     ready(spark)
-    clean = doc_texts(docs)
-    total = clean.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-int(total) // block_bytes))
     ranges = max(1, int(total * 2 / (length - kmer + 2) / RANGE_STRETCHES))
-    blocks = clean.withColumn("block", _block_of(count))
+    blocks = docs.withColumn(BLOCK, F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(count)).cast("int"))
 
     # 1. which anchors occur more than once
     def anchors(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes, kinds = Block(pdf, length, kmer).surroundings()
-        rows = [(r, int(pdf["block"].iat[0]), hashes[a:b].tobytes(), kinds[a:b].astype(np.uint8).tobytes())
+        rows = [(r, int(pdf[BLOCK].iat[0]), hashes[a:b].tobytes(), kinds[a:b].astype(np.uint8).tobytes())
                 for r, a, b in _split_by_range(hashes, ranges)]
         return pd.DataFrame(rows, columns=["range", "block", "hashes", "kinds"])
 
@@ -351,7 +350,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, bl
         return pd.DataFrame({"range": pdf["range"], "block": pdf["block"],
                              "told": [x.tobytes() for x in np.split(told.astype(np.uint8), cuts)]})
 
-    lists = blocks.groupBy("block").applyInPandas(anchors, "range int, block int, hashes binary, kinds binary")
+    lists = blocks.groupBy(BLOCK).applyInPandas(anchors, "range int, block int, hashes binary, kinds binary")
     told = lists.groupBy("range").applyInPandas(verdicts, "range int, block int, told binary")
 
     # 2. sorted, front-coded runs of the others; what repeats inside the block is settled here
@@ -359,8 +358,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, bl
         columns = ["range", "block", "run", "places"]
         if not len(pdf):
             return pd.DataFrame([], columns=columns)
-        b = Block(pdf, length, kmer)
-        block = int(pdf["block"].iat[0])
+        b, squeeze = Block(pdf, length, kmer), zstandard.ZstdCompressor(level=1).compress
+        block = int(pdf[BLOCK].iat[0])
         distinct = np.unique(b.hash)
         verdict = np.zeros(len(distinct), np.uint8)
         by_range = dict(zip(answer["range"], answer["told"]))
@@ -393,19 +392,23 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, bl
         for r, found in keep.items():
             found.sort()
             _, doc, tie, first = zip(*found)
-            rows.append((r, block, encode_run([f[0] for f in found]),
-                         _pack(doc=(doc, "<i8"), tie=(tie, "<i4"), first=(first, "<i8"))))
-        if marks:
-            rows.append((-1, block, b"", _pack_marks(marks)))
+            rows.append((r, block, squeeze(encode_run([f[0] for f in found])),
+                         squeeze(_pack(doc=(doc, "<i8"), tie=(tie, "<i4"), first=(first, "<i8")))))
+        if marks:  # settled here; they pass the next step in a range of their own
+            rows.append((-1 - block, block, b"", _pack_marks(marks)))
         return pd.DataFrame(rows, columns=columns)
 
-    sent = written(blocks.groupBy("block").cogroup(told.groupBy("block"))
-                   .applyInPandas(runs, "range int, block int, run binary, places binary"), "suffix-runs")
+    sent = (blocks.groupBy(BLOCK).cogroup(told.groupBy("block"))
+            .applyInPandas(runs, "range int, block int, run binary, places binary"))
 
     # 3. loser-tree merge of each range
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         blocks_of = pdf["block"].tolist()
-        places = [_places(p, int(np.frombuffer(r[:4], "<u4")[0])) for p, r in zip(pdf["places"], pdf["run"])]
+        if pdf["range"].iat[0] < 0:
+            return pd.DataFrame({"block": pdf["block"], "marks": pdf["places"]})
+        spread = zstandard.ZstdDecompressor().decompress
+        sorted_runs = [spread(r) for r in pdf["run"]]
+        places = [_places(spread(p), int(np.frombuffer(r[:4], "<u4")[0])) for p, r in zip(pdf["places"], sorted_runs)]
         at = [0] * len(places)
         marks: dict[int, list] = {}
         group: list[tuple[bytes, tuple]] = []
@@ -416,7 +419,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, bl
 
         # keys of one anchor share KMER bytes at least; single windows only matter if they are equal
         least = kmer if pdf["range"].iat[0] < ranges else length + 1
-        for r, key, shared in LoserTree(pdf["run"].tolist()):
+        for r, key, shared in LoserTree(sorted_runs):
             if shared < least:
                 settle()
                 group.clear()
@@ -426,9 +429,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, bl
         settle()
         return pd.DataFrame([(b, _pack_marks(m)) for b, m in marks.items()], columns=["block", "marks"])
 
-    merged = sent.where("range >= 0").groupBy("range").applyInPandas(merge, "block int, marks binary")
-    local = sent.where("range < 0").select("block", F.col("places").alias("marks"))
-    return count, merged.unionByName(local)
+    merged = sent.groupBy("range").applyInPandas(merge, "block int, marks binary")
+    return blocks.groupBy(BLOCK).cogroup(merged.groupBy("block")).applyInPandas(finish, schema)
 
 
 def _pack_marks(marks: list[tuple]) -> bytes:
@@ -471,8 +473,6 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, **settings) -> DataFrame:
     ``length`` lose nothing. An empty table gives no rows; further columns are ignored.
     Strings are judged on the input, not on what is left.
     """
-    count, marks = repeated_windows(docs, length, **settings)
-
     def digest(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         b, kept = _kept(pdf, found, length)
         return pd.DataFrame({"doc_id": pd.array(b.ids, "Int64"), "n_bytes": [len(t) for t in b.texts],
@@ -480,9 +480,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, **settings) -> DataFrame:
                              "n_spans": [n for n, _ in kept],
                              "kept_sha256": [hashlib.sha256(k).hexdigest() for _, k in kept]})
 
-    blocks = doc_texts(docs).withColumn("block", _block_of(count))
-    return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(
-        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return _with_repeats(doc_texts(docs), digest, schema, length, **settings)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **settings) -> DataFrame:
@@ -490,19 +489,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **settings) -> DataFr
 
     Bytes of a character that lost some of its bytes go too. n_chars (if there) follows
     the text; a null text stays null, a text that repeats as a whole becomes empty."""
-    count, marks = repeated_windows(docs, length, **settings)
     names = docs.columns
 
     def rewrite(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame({n: [] for n in names})
-        null = pdf["text"].isna()
-        b, kept = _kept(pdf.assign(text=pdf["text"].where(~null, "")), found, length)
+        b, kept = _kept(pdf, found, length)
         out = pdf.iloc[b.order].reset_index(drop=True)
-        out["text"] = [None if gone else k.decode("utf-8", "ignore") for gone, (_, k) in zip(null.iloc[b.order], kept)]
+        out["text"] = [None if gone else k.decode("utf-8", "ignore") for gone, (_, k) in zip(out[NULL], kept)]
         if "n_chars" in names:
             out["n_chars"] = [None if t is None else len(t) for t in out["text"]]
         return out[names]
 
-    blocks = docs.withColumn("__block", _block_of(count))
-    return blocks.groupBy("__block").cogroup(marks.groupBy("block")).applyInPandas(rewrite, docs.schema)
+    marked = docs.withColumn(NULL, F.col("text").isNull()).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    return _with_repeats(marked, rewrite, docs.schema, length, **settings)
