@@ -109,8 +109,9 @@ def stretches(text: bytes, length: int, kmer: int) -> tuple[np.ndarray, ...]:
         anchor = (low - (least & low)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         last = np.append(first[1:], len(anchor)) - 1
+        spread = _mix(hashes[anchor[first]] + _STEP[2])  # least hashes are small; ranges need them spread out
         ends = _mix(hashes[first] * _STEP[0] + hashes[last + choices - 1] * _STEP[1] + (last - first).astype(np.uint64))
-        found.append((first + begin, last + begin, anchor[first] + begin, hashes[anchor[first]], ends))
+        found.append((first + begin, last + begin, anchor[first] + begin, spread, ends))
     return tuple(np.concatenate(x) for x in zip(*found)) if found else _NO_STRETCH
 
 
