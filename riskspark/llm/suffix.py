@@ -38,8 +38,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.llm.common import doc_texts, ready
 
@@ -503,4 +504,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **settings) -> DataFr
         return out[names]
 
     marked = docs.withColumn(NULL, F.col("text").isNull()).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    return _with_repeats(marked, rewrite, docs.schema, length, **settings)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
+    return _with_repeats(marked, rewrite, schema, length, **settings)
