@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import bpe, embed, langid, packing, quality, rules, secrets, simhash, suffix, toxicity
 from riskspark.llm.common import table
+from riskspark.llm.oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +54,3 @@ def op10_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.j
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_secret_scan, op5_suffix_dedup, op6_quality_rules,
                                   op7_simhash_near_dedup, op8_language_id, op9_embedding_near_dedup,
                                   op10_bpe)}
-ORACLE_SQL: dict[str, str] = {}
