@@ -14,13 +14,18 @@ def r6(c: Column | str) -> Column:
     return F.round(col.cast("double"), 6) + F.lit(0.0)
 
 
+def balanced_sum(terms: Sequence[Column]) -> Column:
+    """Sum as a balanced tree: its depth is log2 of the number of terms, so wide
+    sums do not overflow the stack of the expression walkers."""
+    level = list(terms) or [F.lit(0.0)]
+    while len(level) > 1:
+        level = [a + b for a, b in zip(level[::2], level[1::2])] + (level[-1:] if len(level) % 2 else [])
+    return level[0]
+
+
 def dot(cols: Sequence[Column | str], weights: Sequence[float]) -> Column:
     """Linear predictor ``x . w`` over separate feature columns."""
-    terms = [(F.col(c) if isinstance(c, str) else c) * F.lit(float(w)) for c, w in zip(cols, weights)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    return balanced_sum([(F.col(c) if isinstance(c, str) else c) * F.lit(float(w)) for c, w in zip(cols, weights)])
 
 
 def array_dot(features: Column | str, weights: Sequence[float]) -> Column:

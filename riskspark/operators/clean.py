@@ -101,7 +101,8 @@ class CleaningEstimator(Estimator):
     def __init__(self, specs: list[FeatureSpec], threshold: float = 0.1, max_categories: int = 10,
                  impute: str = "per_split", id_col: str = "id", label_col: str = "label",
                  split_col: str = "split", train_value: str = "train", check_vocab: bool = True,
-                 persist: bool = True, on_missing: str = "error"):
+                 persist: bool = True, on_missing: str = "error", test_value: str = "test",
+                 max_vocabulary: int = 100_000):
         super().__init__()
         self.persist = persist
         self.on_missing = on_missing          # "error" | "keep" for missing values left in continuous columns
@@ -110,7 +111,8 @@ class CleaningEstimator(Estimator):
         self.max_categories = max_categories
         self.impute = impute
         self.id_col, self.label_col, self.split_col = id_col, label_col, split_col
-        self.train_value = train_value
+        self.train_value, self.test_value = train_value, test_value
+        self.max_vocabulary = max_vocabulary  # one-hot columns that one auto column may become
         self.check_vocab = check_vocab
 
     def _fit(self, df: DataFrame) -> CleaningModel:
@@ -138,7 +140,7 @@ class CleaningEstimator(Estimator):
         train = F.col(self.split_col) == F.lit(self.train_value)
         auto_all = [c for c in features if c in by_id and by_id[c].type == "auto"]
         sparse, approx = profile.sparse_and_screen(df, features, auto_all, self.threshold, self.split_col,
-                                                  [self.train_value, "test"], self.train_value)
+                                                  [self.train_value, self.test_value], self.train_value)
         kept = profile.kept_columns(sparse, features)
         missing_spec = uncovered_columns(kept, self.specs)
         if missing_spec:
@@ -148,10 +150,10 @@ class CleaningEstimator(Estimator):
         order = [s.id for s in self.specs if s.id in kept]
         auto_cols = [c for c in order if by_id[c].type == "auto"]
         margin = 4 * self.max_categories + 8
-        auto = {c: "continuous" for c in auto_cols if approx[c]["train"] > margin}
+        auto = {c: "continuous" for c in auto_cols if approx[c][self.train_value] > margin}
         close = [c for c in auto_cols if c not in auto]
         if close:
-            for c, (n, vocab) in profile.exact_counts_and_vocab(df, close, train, approx, bound=1000).items():
+            for c, (n, vocab) in profile.exact_counts_and_vocab(df, close, train, approx, bound=self.max_vocabulary).items():
                 auto[c] = "categorical" if n <= self.max_categories else "continuous"
                 if auto[c] == "categorical":
                     vocabs[c] = vocab

@@ -223,6 +223,29 @@ def exact_batches(df: DataFrame, size: int, seed="batch", key: str = "id"):
     return ranked.withColumn("batch", batch.cast("int")).drop("rank"), max_batches
 
 
+def fit_minibatch(df: DataFrame, d: int, schedule: Sequence[int], gamma: float, initial: np.ndarray | None = None,
+                  x_col: str = "x", y_col: str = "y", batch_col: str = "batch") -> tuple[np.ndarray, float]:
+    """Mini-batch MSE gradient descent, one step per entry of ``schedule``; returns (weights, loss over all rows).
+
+    One pass sums a Gram matrix for every scheduled batch and one for all other rows
+    together, so what reaches the driver is bounded by the number of steps, not by the
+    number of batches. A scheduled batch without rows is a step without effect."""
+    from riskspark.operators import linear
+    from riskspark.operators.moments import gram_by_key
+
+    used = sorted(set(schedule))
+    # -2 holds every row outside the schedule (-1 may be a remainder group of its own)
+    group = F.when(F.col(batch_col).isin(used), F.col(batch_col)).otherwise(F.lit(-2)).cast("int")
+    grams = gram_by_key(df.withColumn(batch_col, group), x_col, y_col, d, batch_col, max_keys=len(used) + 1)
+    w = np.zeros(d) if initial is None else np.array(initial, float)
+    for b in schedule:
+        if b in grams:
+            Z = grams[b]
+            w = linear.gd_from_gram(Z[:d, :d], Z[:d, d], Z[0, 0], gamma, 1, w)
+    tot = sum(grams.values())
+    return w, linear.mse_from_gram(tot[:d, :d], tot[:d, d], tot[d, d], tot[0, 0], w)
+
+
 def batch_schedule(num_steps: int, n_batches: int, shuffle: bool = False, seed: int = 0) -> list[int]:
     """Batch index used at each step: circular without shuffle, seeded choice with it."""
     if not shuffle:

@@ -156,7 +156,6 @@ def sparse_and_screen(df: DataFrame, columns: Sequence[str], screen: Sequence[st
     floating = _floating(df)
     aggs = [F.avg(_missing(c, floating).cast("double")).alias(f"m__{c}") for c in columns]
     aggs += [F.approx_count_distinct(c, 0.01).alias(f"a__{c}") for c in screen]
-    aggs += [F.approx_count_distinct(c, 0.01).alias(f"n__{c}") for c in screen]
     rows = {r[by]: r for r in df.groupBy(by).agg(*aggs).collect()}
     out = []
     for c in columns:
@@ -170,7 +169,7 @@ def sparse_and_screen(df: DataFrame, columns: Sequence[str], screen: Sequence[st
     for c in screen:
         per = {s: (rows[s][f"a__{c}"] if s in rows else 0) for s in rows}
         per.setdefault(train_value, 0)
-        per["all"] = sum(rows[s][f"n__{c}"] for s in rows)      # upper bound of the union
+        per["all"] = sum(rows[s][f"a__{c}"] for s in rows)      # upper bound of the union
         approx[c] = per
     return report, approx
 

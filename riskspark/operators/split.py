@@ -15,12 +15,6 @@ from pyspark.sql import functions as F
 from riskspark.functions.hashing import fraction_cut, hash32
 
 
-# Rows sharing the boundary key are ranked by key in one small task; with unique
-# ids about N / 2^32 rows share a 32-bit key, so a large tie group means the
-# keys are not unique and an exact rank is not defined.
-TIE_LIMIT = 100_000
-
-
 def holdout_seed(seed) -> str:
     return f"holdout:{seed}"
 
@@ -72,9 +66,9 @@ def rank_boundary(df: DataFrame, m: int, h: str = "__h", key: str = "id"):
         before += c
     rest = m - before
     tie = df.filter(F.col(h) == F.lit(h_star))
-    n_tie = tie.count()
-    if n_tie > TIE_LIMIT:
-        raise ValueError(f"{n_tie} rows share one 32-bit key: exact mode needs unique keys")
+    counted = tie.agg(F.count("*").alias("n"), F.count_distinct(key).alias("keys")).first()
+    if counted["n"] != counted["keys"]:
+        raise ValueError(f"{counted['n']} rows share {counted['keys']} keys: exact mode needs unique, non-null keys")
     # the rest-th smallest key of the (small) tie group, without collecting rows
     last = tie.select(key).orderBy(key).limit(rest).agg(F.max(key)).first()[0]
     return h_star, last
@@ -132,42 +126,33 @@ def undersample(df: DataFrame, label: str = "label", seed="balance", key: str =
 
 def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = None) -> DataFrame:
     """0-based position of every row in the permutation ordered by (hash, key),
-    without a global window: range-partition by (hash, key) and sort within
-    partitions (one shuffle), persist so the cut is stable, count rows per
-    partition (P numbers), then number rows inside each partition and add the
-    partition's running offset. Adds BIGINT ``rank``; needs unique keys.
-
-    Executor loss: a lost cached block is rebuilt from the range exchange, whose
-    bounds are fixed once in the shuffle dependency, and the in-partition order
-    is total on unique keys, so recomputed partitions hold the same rows in the
-    same order and the offsets stay valid."""
-    from pyspark import StorageLevel
-    import numpy as np
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
-    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
-    keyed = (df.withColumn("__h", hash32(seed, key)).repartitionByRange(n, "__h", key)
-             .sortWithinPartitions("__h", key).persist(StorageLevel.MEMORY_AND_DISK))
-    counts = {r[0]: r[1] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()}
-    offsets = np.zeros(max(counts) + 1 if counts else 1, dtype=np.int64)
-    running = 0
-    for p in range(len(offsets)):
-        offsets[p] = running
-        running += counts.get(p, 0)
-    out_schema = T.StructType(keyed.schema.fields + [T.StructField("rank", T.LongType())])
-
-    def number(batches):
-        from pyspark import TaskContext
-        start = int(offsets[TaskContext.get().partitionId()])
-        for b in batches:
-            ranks = pa.array(np.arange(start, start + b.num_rows, dtype=np.int64))
-            start += b.num_rows
-            yield pa.RecordBatch.from_arrays(b.columns + [ranks], schema=b.schema.append(pa.field("rank", pa.int64())))
-
-    from riskspark.session import ship_package
-    ship_package(df.sparkSession)
-    return keyed.mapInArrow(number, out_schema).drop("__h")
+    without a global window: range-partition by (hash, key), sort within
+    partitions (one shuffle) and write the rows with their place (partition and
+    row number) to the shared folder; then count rows per partition (P numbers)
+    and add the partition's running offset. Adds BIGINT ``rank``; needs unique keys.
+
+    The place is a stored column, so whatever is done to the result later (coalesce,
+    union, more partitions) cannot change a rank, and nothing stays cached."""
+    import uuid
+
+    from riskspark.session import scratch_path
+
+    spark = df.sparkSession
+    n = partitions or max(1, spark.sparkContext.defaultParallelism)
+    path = scratch_path(spark, f"rank-{uuid.uuid4().hex}")
+    (df.withColumn("__h", hash32(seed, key)).repartitionByRange(n, "__h", key).sortWithinPartitions("__h", key)
+     .drop("__h").withColumn("__place", F.monotonically_increasing_id()).write.parquet(path))
+    placed = spark.read.parquet(path)
+    part = F.shiftright("__place", 33)  # partition above, row number in the partition below 2^33
+    counts = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect())
+    offset = F.lit(0).cast("bigint")
+    if counts:
+        running, found = 0, []
+        for p, c in counts:
+            found += [F.lit(p).cast("bigint"), F.lit(running).cast("bigint")]
+            running += c
+        offset = F.element_at(F.create_map(*found), part)
+    return placed.withColumn("rank", offset + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
 
 
 def exact_stride_sample(df: DataFrame, every: int = 50, seed="sample", key: str = "id") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.columns import sigmoid
+from riskspark.functions.columns import balanced_sum, sigmoid
 from riskspark.operators.clean import FeatureLayout
 from riskspark.plans.cv import ModelConfig
 
@@ -30,7 +30,7 @@ class LinearScorer(Model):
     def linear_term(self) -> Column:
         cont = self.layout.continuous_positions()
         stats = {p: (self.mean[j], self.std[j]) for j, p in enumerate(cont)}
-        out = None
+        terms = []
         for p, (fc, w) in enumerate(zip(self.layout.columns, self.weights)):
             if fc.kind == "intercept":
                 x = F.lit(1.0)
@@ -39,9 +39,8 @@ class LinearScorer(Model):
                 x = (F.col(fc.name) - F.lit(float(mu))) / F.lit(float(sd)) if sd > 0 else F.lit(0.0)
             else:
                 x = F.col(fc.name)
-            term = x * F.lit(float(w))
-            out = term if out is None else out + term
-        return out
+            terms.append(x * F.lit(float(w)))
+        return balanced_sum(terms)
 
     def score(self) -> Column:
         t = self.linear_term()
@@ -82,7 +81,7 @@ class ModelBase:
 
     def predict(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
         if self.scorer is None:
-            raise RuntimeError("Model not fitted. Call fit() first.")
+            raise RuntimeError("predict needs weights: this model has not been trained on any rows yet")
         if threshold is not None:
             self.scorer.threshold = threshold
         return self.scorer.transform(df)

@@ -283,13 +283,14 @@ def _terms(spark, w, loss) -> DataFrame:
 
 
 def gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """X^T X of the 64 embedding dimensions over all rows: (i, j, value)."""
+    """X^T X of the embedding dimensions over all rows: (i, j, value)."""
     from riskspark.operators.moments import gram_by_key
-    from riskspark.sources.tables import EMB_DIM, emb
-    df = emb(spark, sf).select(encode.assemble([f"e{i}" for i in range(EMB_DIM)]),
-                               F.col("label").cast("double").alias("y"))
-    Z = gram_by_key(df, "x", "y", EMB_DIM)[0]
-    rows = [(i, j, float(Z[i, j])) for i in range(EMB_DIM) for j in range(EMB_DIM)]
+    from riskspark.sources.tables import emb
+    wide = emb(spark, sf)
+    dims = [c for c in wide.columns if c not in ("id", "split", "label")]
+    df = wide.select(encode.assemble(dims), F.col("label").cast("double").alias("y"))
+    Z = gram_by_key(df, "x", "y", len(dims))[0]
+    rows = [(i, j, float(Z[i, j])) for i in range(len(dims)) for j in range(len(dims))]
     out = spark.createDataFrame(rows, "i bigint, j bigint, value double")
     return out.select("i", "j", r6("value").alias("value"))
 
@@ -349,24 +350,13 @@ MINIBATCH_SIZE = 10000
 
 def minibatch_gd(spark: SparkSession, sf: str) -> DataFrame:
     """E3 re-aimed: batches are hash buckets of about MINIBATCH_SIZE rows; step t
-    uses batch t mod B. All batch Grams come from one pass."""
-    from riskspark.operators import linear
-    from riskspark.operators.gd import batch_column, batch_schedule
-    from riskspark.operators.moments import gram_by_key
+    uses batch t mod B."""
+    from riskspark.operators.gd import batch_column, batch_schedule, fit_minibatch
     base = _line_design(spark, sf)
     n_rows = base.count()
     bcol, n_batches = batch_column(MINIBATCH_SIZE, n_rows, "batch", "key")
     df = base.select(encode.assemble(GD_X), "y", bcol.alias("batch"))
-    d = len(GD_X)
-    grams = gram_by_key(df, "x", "y", d, "batch")
-    w = np.zeros(d)
-    for b in batch_schedule(GD_STEPS, n_batches):
-        Z = grams.get(b)
-        if Z is None:
-            continue
-        w = linear.gd_from_gram(Z[:d, :d], Z[:d, d], Z[0, 0], 0.1, 1, w)
-    tot = sum(grams.values())
-    return _terms(spark, w, linear.mse_from_gram(tot[:d, :d], tot[:d, d], tot[d, d], tot[0, 0], w))
+    return _terms(spark, *fit_minibatch(df, len(GD_X), batch_schedule(GD_STEPS, n_batches), 0.1))
 
 
 # ------------------------------------------------------------------ F2, G1, G2
@@ -686,24 +676,15 @@ EXACT_BATCH = 1000
 def minibatch_gd_exact(spark: SparkSession, sf: str) -> DataFrame:
     """E3 / D13 exact: mini-batch MSE GD over contiguous batches of 1,000 rows of
     the seeded permutation (step t uses batch t mod B, remainder never used);
-    features: intercept, totalprice / 500000, ordermonth / 12. Per-batch Grams
-    come from one pass; the steps are driver algebra."""
-    from riskspark.operators import linear
-    from riskspark.operators.gd import batch_schedule, exact_batches
-    from riskspark.operators.moments import gram_by_key
+    features: intercept, totalprice / 500000, ordermonth / 12."""
+    from riskspark.operators.gd import batch_schedule, exact_batches, fit_minibatch
     base = _train_rows(spark, sf).select(
         "id", F.lit(1.0).alias("x0"), (F.col("totalprice") / 500000.0).alias("x1"),
         (F.col("ordermonth") / 12.0).alias("x2"), F.col("label").cast("double").alias("y"))
     batched, n_batches = exact_batches(base, EXACT_BATCH, "batch", "id")
     cols = ["x0", "x1", "x2"]
-    grams = gram_by_key(batched.select(encode.assemble(cols), "y", "batch"), "x", "y", 3, "batch",
-                        max_keys=n_batches + 1)
-    w = np.zeros(3)
-    for b in batch_schedule(GD_STEPS, n_batches):
-        Z = grams[b]
-        w = linear.gd_from_gram(Z[:3, :3], Z[:3, 3], Z[0, 0], 0.1, 1, w)
-    tot = sum(g for k, g in grams.items())
-    return _terms(spark, w, linear.mse_from_gram(tot[:3, :3], tot[:3, 3], tot[3, 3], tot[0, 0], w))
+    design = batched.select(encode.assemble(cols), "y", "batch")
+    return _terms(spark, *fit_minibatch(design, 3, batch_schedule(GD_STEPS, n_batches), 0.1))
 
 
 QUERIES = {

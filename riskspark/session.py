@@ -42,8 +42,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used. Only when nothing is configured
-    (local tests) a fresh folder under the system temp dir is created.
+    The cluster's setting is always used. Only when nothing is configured and the
+    master is local (tests) a fresh folder under the system temp dir is created; on a
+    cluster, where such a folder would differ from machine to machine, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="riskspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

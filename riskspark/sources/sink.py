@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +19,24 @@ def check_predictions(df: DataFrame, col: str = "Prediction") -> None:
     """Reject anything outside {-1, 1} (one bounded probe, no collect of rows)."""
     bad = df.filter(~F.col(col).isin(-1, 1) | F.col(col).isNull()).limit(1).count()
     if bad:
-        raise ValueError("y_pred can only contain values -1, 1")
+        raise ValueError(f"column {col!r} holds labels other than -1 and 1")
 
 
 def write_submission(df: DataFrame, folder: str, prefix: str = "", id_col: str = "Id",
                      pred_col: str = "Prediction") -> str:
     """Validate and write ``Id,Prediction`` CSV (header, integers) to a new,
     timestamped directory under ``folder``; an existing target is an error."""
-    check_predictions(df, pred_col)
+    # rows are checked as they are written: the scoring plan runs once
+    label = F.when(F.col(pred_col).isin(-1, 1), F.col(pred_col)).otherwise(
+        F.raise_error(F.lit(f"column {pred_col!r} holds labels other than -1 and 1")))
     path = f"{folder.rstrip('/')}/{submission_name(prefix)}"
-    (df.select(F.col(id_col).cast("bigint").alias("Id"), F.col(pred_col).cast("int").alias("Prediction"))
-       .write.mode("errorifexists").option("header", True).csv(path))
+    rows = df.select(F.col(id_col).cast("bigint").alias("Id"), label.cast("int").alias("Prediction"))
+    try:
+        rows.write.mode("errorifexists").option("header", True).csv(path)
+    except PySparkException as error:
+        if "holds labels other than -1 and 1" in str(error):
+            raise ValueError(f"column {pred_col!r} holds labels other than -1 and 1") from error
+        raise
     return path
 
 

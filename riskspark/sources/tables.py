@@ -20,7 +20,6 @@ from riskspark.functions.hashing import fraction_cut, hash32
 
 SPLIT_SEED = "split"
 TEST_SHARE = 0.2
-EMB_DIM = 64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,13 +87,16 @@ def doc_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """embeddings as 64 double columns e0..e63; label: class 0."""
+    """embeddings as double columns e0, e1, ...; label: class 0. The length is the table's own."""
     e = read_table(spark, sf_dir, "embeddings")
+    sizes = e.agg(F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high")).first()
+    if sizes["low"] != sizes["high"]:
+        raise ValueError(f"embeddings have between {sizes['low']} and {sizes['high']} components")
     return e.select(
         F.col("vec_id").cast("bigint").alias("id"),
         split_column("vec_id"),
         label_column(F.col("label") == 0),
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)],
+        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(sizes["high"] or 0)],
     )
 
 

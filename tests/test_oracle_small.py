@@ -50,7 +50,9 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_query_has_oracle():
-    assert set(ent.queries()) <= set(ent.oracle_sql())
+    from riskspark.queries import catalog
+    assert set(catalog.QUERIES) <= set(ent.oracle_sql())
+    assert set(catalog.QUERIES) <= set(ent.queries())
 
 
 def test_entry_runs(spark):
