@@ -32,9 +32,8 @@ def main():
         timings[name] = round(time.time() - t0, 3)
 
     # the reference's run: clean, 80/20 holdout, 5-fold logistic GD 400 steps, 100 thresholds,
-    # fold averaging, holdout metrics, test predictions
-    timed("end_to_end", lambda: end_to_end.run(spark, sf_dir, steps=400, gamma=0.7, search=100,
-                                               write_to=None))
+    # fold averaging, holdout metrics, test predictions written as CSV
+    timed("end_to_end", lambda: end_to_end.run(spark, sf_dir, steps=400, gamma=0.7, search=100))
     for name in ("null_profile", "auto_type", "recode_chain", "add_intercept", "scale_fit", "gram_matrix",
                  "threshold_search", "exact_holdout", "undersample", "cross_validate", "degree_sweep",
                  "rate_sweep", "ablation"):

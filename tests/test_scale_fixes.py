@@ -96,3 +96,22 @@ def test_minibatch_trainer_collects_the_schedule_only(spark):
         w = w + 0.1 * x[part].T @ (y[part] - x[part] @ w) / part.sum()
     got, loss = fit_minibatch(df, 2, schedule, 0.1)
     assert np.allclose(got, w) and np.isclose(loss, ((y - x @ w) ** 2).mean() / 2)
+
+
+def test_run_from_files(spark, tmp_path):
+    import json
+
+    from riskspark.plans.end_to_end import run_files
+    rng = np.random.default_rng(2)
+    a = rng.standard_normal(400)
+    rows = [f"{i},{a[i]:.6f},{i % 3}" for i in range(400)]
+    (tmp_path / "x_train.csv").write_text("Id,a,c\n" + "\n".join(rows[:300]) + "\n")
+    (tmp_path / "x_test.csv").write_text("Id,a,c\n" + "\n".join(rows[300:]) + "\n")
+    (tmp_path / "y_train.csv").write_text("Id,y\n" + "\n".join(f"{i},{1 if a[i] > 0 else -1}" for i in range(300)) + "\n")
+    (tmp_path / "spec.json").write_text(json.dumps([{"id": "a", "description": "", "type": "continuous"},
+                                                    {"id": "c", "description": "", "type": "auto"}]))
+    result = run_files(spark, str(tmp_path), str(tmp_path / "spec.json"), steps=30, k=3, search=20)
+    got = {r["Id"]: r["Prediction"] for r in result.predictions.collect()}
+    assert sorted(got) == list(range(300, 400))
+    assert np.mean([got[i] == (1 if a[i] > 0 else -1) for i in got]) > 0.9
+    assert result.holdout["accuracy"] > 0.9
