@@ -205,7 +205,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, vector: str = "
         stars = pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1], "n": 0})
         return pd.concat([counts[counts["n"] > 0], stars], ignore_index=True)
 
-    found = written(cells.groupBy("label", "dim", "leaf", "i", "j").applyInPandas(compare, "a long, b long, n long"), "links")
+    # one key of its own, or the blocks of a leaf would stay together in the task of the join above
+    cell = F.struct("label", "dim", "leaf", "i", "j")
+    found = written(cells.groupBy(cell.alias("cell")).applyInPandas(compare, "a long, b long, n long"), "links")
     counts = found.where("b < 0").groupBy(F.col("a").alias("pid")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b >= 0").select("a", "b")).withColumnRenamed("node", "pid")
     named = (indexed.select("pid", "label", "v", "low", "copies").join(counts, "pid", "left").join(roots, "pid", "left")

@@ -167,8 +167,9 @@ def fingerprint_links(fps: DataFrame, distance: int, shard_rows: int = SHARD_ROW
 
     ready(fps.sparkSession)
     cells = _blocks(_shards(fps, distance), shard_rows)
-    # cells are packed into tasks by hash; a cell of one fingerprint holds no pair
-    counted = cells.groupBy("shard", "i", "j").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
+    # one key of its own, so that the blocks of a large shard go to different tasks; a cell of
+    # one fingerprint holds no pair
+    counted = cells.groupBy(F.struct("shard", "i", "j").alias("cell")).agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
