@@ -186,8 +186,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, vector: str = "
     schema = T.StructType([*points.schema.fields, T.StructField("leaves", T.ArrayType(T.LongType()))])
     indexed = written(points.mapInPandas(index, schema), "indexed")
     placed = indexed.select("pid", "label", "dim", "v", "copies", "leaves", F.explode("leaves").alias("leaf"))
-    sizes = (placed.groupBy("label", "dim", "leaf").count().where(F.col("count") > BLOCK_ROWS)
-             .select("label", "dim", "leaf", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks")))
+    # a table of the few large leaves: small enough to broadcast (Spark checks its size), no leaf gathers in the join
+    sizes = written(placed.groupBy("label", "dim", "leaf").count().where(F.col("count") > BLOCK_ROWS)
+                    .select("label", "dim", "leaf", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks")), "large")
     cells = (placed.join(sizes, ["label", "dim", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
              .withColumn("own", F.pmod(F.xxhash64("pid"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -205,7 +206,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, vector: str = "
         stars = pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1], "n": 0})
         return pd.concat([counts[counts["n"] > 0], stars], ignore_index=True)
 
-    found = written(cells.groupBy("label", "dim", "leaf", "i", "j").applyInPandas(compare, "a long, b long, n long"), "links")
+    cell = ("label", "dim", "leaf", "i", "j")  # dealt by all of it: the blocks of a leaf go to different tasks
+    found = written(cells.repartition(*cell).groupBy(*cell).applyInPandas(compare, "a long, b long, n long"), "links")
     counts = found.where("b < 0").groupBy(F.col("a").alias("pid")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b >= 0").select("a", "b")).withColumnRenamed("node", "pid")
     named = (indexed.select("pid", "label", "v", "low", "copies").join(counts, "pid", "left").join(roots, "pid", "left")
