@@ -113,12 +113,14 @@ def _blocks(shards: DataFrame, shard_rows: int) -> DataFrame:
     """(fp, shard, i, j, side): shards of over ``shard_rows`` rows become pairs of blocks i <= j."""
     key = F.xxhash64("seg", "path", "leaf", "shell").alias("shard")
     keyed = shards.select("fp", key)
-    large = (keyed.groupBy("shard").count()
-             .select("shard", F.ceil(F.col("count") / shard_rows).cast("int").alias("blocks")).where("blocks > 1"))
+    # a table of the large shards: broadcast while small (Spark checks its size), so that no shard gathers in the join
+    large = written(keyed.groupBy("shard").count()
+                    .select("shard", F.ceil(F.col("count") / shard_rows).cast("int").alias("blocks")).where("blocks > 1"), "large")
     rows = keyed.join(large, "shard", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select("fp", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    cells = rows.select("fp", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return cells.repartition("shard", "i", "j")  # by all of it: the blocks of a shard go to different tasks
 
 
 def _window_links(values: np.ndarray, distance: int) -> np.ndarray:
@@ -167,7 +169,7 @@ def fingerprint_links(fps: DataFrame, distance: int, shard_rows: int = SHARD_ROW
 
     ready(fps.sparkSession)
     cells = _blocks(_shards(fps, distance), shard_rows)
-    # cells are packed into tasks by hash; a cell of one fingerprint holds no pair
+    # a cell of one fingerprint holds no pair
     counted = cells.groupBy("shard", "i", "j").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
