@@ -9,6 +9,8 @@ depend on partitioning (``randomSplit`` does).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def hash32(seed, *keys) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
+def hash32_value(seed, *keys) -> int:
+    """The same key of literal values, on the driver."""
+    return int(hashlib.md5(":".join(map(str, (seed, *keys))).encode()).hexdigest()[:8], 16)
+
+
 def hash32_sql(seed, *key_sql: str) -> str:
     """The same key as SQL text (DuckDB dialect), for oracles."""
     joined = " || ':' || ".join(f"CAST({k} AS VARCHAR)" for k in key_sql)

@@ -236,7 +236,7 @@ def fit_minibatch(df: DataFrame, d: int, schedule: Sequence[int], gamma: float,
     used = sorted(set(schedule))
     # -2 holds every row outside the schedule (-1 may be a remainder group of its own)
     group = F.when(F.col(batch_col).isin(used), F.col(batch_col)).otherwise(F.lit(-2)).cast("int")
-    grams = gram_by_key(df.withColumn(batch_col, group), x_col, y_col, d, batch_col, max_keys=len(used) + 1)
+    grams = gram_by_key(df.withColumn(batch_col, group), x_col, y_col, d, batch_col)
     w = np.zeros(d) if initial is None else np.array(initial, float)
     for b in schedule:
         if b in grams:
@@ -246,6 +246,44 @@ def fit_minibatch(df: DataFrame, d: int, schedule: Sequence[int], gamma: float,
     return w, linear.mse_from_gram(tot[:d, :d], tot[:d, d], tot[d, d], tot[0, 0], w)
 
 
+def batch_starts(num_steps: int, n_rows: int, size: int, seed="batch") -> list[int]:
+    """D13 with shuffle: the first rank of each step's batch. A batch is drawn among the int(N / size) whole
+    ones and moved on by 0..remainder rows, so that the remainder is reached too; batches may overlap.
+
+    Drawn from md5 keys of the step number, like every other random choice here."""
+    from riskspark.functions.hashing import hash32_value
+
+    size = max(1, min(size, n_rows))
+    whole = max(1, n_rows // size)
+    extra = max(0, n_rows - whole * size)
+    return [hash32_value(f"{seed}-start", t) % whole * size + hash32_value(f"{seed}-offset", t) % (extra + 1)
+            for t in range(num_steps)]
+
+
+def fit_minibatch_windows(df: DataFrame, d: int, starts: Sequence[int], size: int, gamma: float,
+                          initial: np.ndarray | None = None, x_col: str = "x", y_col: str = "y",
+                          rank_col: str = "rank") -> tuple[np.ndarray, float]:
+    """E3 over batches that may overlap: step t uses the rows of rank starts[t] .. starts[t] + size - 1.
+
+    The batch ends cut the ranks into at most 2 * steps + 1 pieces. One pass sums a Gram
+    matrix per piece; a batch's Gram is the sum of its pieces, so no row is read twice and
+    what reaches the driver does not depend on the row count."""
+    from riskspark.operators import linear
+    from riskspark.operators.moments import gram_by_key
+
+    cuts = sorted({c for s in starts for c in (s, s + size)})
+    piece = F.size(F.filter(F.array(*[F.lit(c).cast("bigint") for c in cuts]), lambda c: c <= F.col(rank_col)))
+    grams = gram_by_key(df.select(x_col, y_col, piece.alias("piece")), x_col, y_col, d, "piece")
+    w = np.zeros(d) if initial is None else np.array(initial, float)
+    for s in starts:
+        own = [g for p, g in grams.items() if p and s <= cuts[p - 1] < s + size]
+        if own:
+            Z = sum(own)
+            w = linear.gd_from_gram(Z[:d, :d], Z[:d, d], Z[0, 0], gamma, 1, w)
+    tot = sum(grams.values())
+    return w, linear.mse_from_gram(tot[:d, :d], tot[:d, d], tot[d, d], tot[0, 0], w)
+
+
 def batch_schedule(num_steps: int, n_batches: int, shuffle: bool = False, seed: int = 0) -> list[int]:
     """Batch index used at each step: circular without shuffle, seeded choice with it."""
     if not shuffle:

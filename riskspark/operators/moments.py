@@ -139,6 +139,21 @@ def reduce_partials(partials: DataFrame, values_per_partition: int, n_parts: int
     return out
 
 
+TREE_FAN = 64
+
+
+def tree_sum(partials: DataFrame) -> dict:
+    """``reduce_partials`` for any number of partitions, in two steps on the cluster.
+
+    Partials of one (key, i) are first summed in ``TREE_FAN`` groups by the partition they
+    come from, then these sums; only one vector per (key, i) reaches the driver. Nothing
+    asks how many partitions there are, so the plan under ``partials`` runs once."""
+    near = partials.withColumn("b", F.pmod(F.spark_partition_id(), F.lit(TREE_FAN)))
+    sums = near.groupBy("key", "i", "b").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA)
+    sums = sums.groupBy("key", "i").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA)
+    return {(r["key"], r["i"]): np.asarray(r["vals"], dtype=float) for r in sums.collect()}
+
+
 def bounded_partitions(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Cap the partition count at ``per_core`` x the cluster's cores without a
     shuffle (coalesce), so the number of per-partition partials -- and with it
@@ -241,7 +256,7 @@ def arrow_vector(batch: pa.RecordBatch, col: str, dtype=float) -> np.ndarray:
 
 
 def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | None = None,
-                shift: np.ndarray | None = None, scale: np.ndarray | None = None, max_keys: int = 16) -> dict:
+                shift: np.ndarray | None = None, scale: np.ndarray | None = None) -> dict:
     """{key: (d+1) x (d+1) matrix sum(z z^T)} with z = [(x - shift) / scale, y].
 
     ``shift`` / ``scale`` (length d, identity where 0 / 1) keep large raw values
@@ -266,10 +281,8 @@ def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | No
 
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
-    src = df if is_blocks(df) else bounded_partitions(df.select(*cols))
-    partials = src.mapInArrow(kernel, PARTIAL_SCHEMA)
-    reduced = reduce_partials(partials, max_keys * (d + 1) * (d + 1))
+    src = df if is_blocks(df) else df.select(*cols)
     out: dict = {}
-    for (kv, i), row in reduced.items():
+    for (kv, i), row in tree_sum(src.mapInArrow(kernel, PARTIAL_SCHEMA)).items():
         out.setdefault(kv, np.zeros((d + 1, d + 1)))[i] = row
     return out

@@ -155,6 +155,21 @@ def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = No
     return placed.withColumn("rank", offset + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
 
 
+def exact_folds(df: DataFrame, k: int = 5, seed=1, key: str = "id", remainder: str = "train_only") -> DataFrame:
+    """C3 exact mode: ``k`` folds of int(N / k) consecutive rows of the seeded permutation. Adds INT ``fold``.
+
+    The N mod k rows left over: ``train_only`` gives them fold k, which no model validates
+    on, so they are trained on in every fold; ``last`` adds them to fold k - 1. With fewer
+    rows than folds all rows are left over."""
+    if k < 1 or remainder not in ("train_only", "last"):
+        raise ValueError("need k >= 1 and remainder 'train_only' or 'last'")
+    ranked = exact_rank(df, fold_seed(seed), key)
+    size = ranked.count() // k
+    fold = F.least(F.floor(F.col("rank") / size), F.lit(k if remainder == "train_only" else k - 1)) if size else F.lit(
+        k if remainder == "train_only" else k - 1)
+    return ranked.withColumn("fold", fold.cast("int")).drop("rank")
+
+
 def exact_stride_sample(df: DataFrame, every: int = 50, seed="sample", key: str = "id") -> DataFrame:
     """A3 exact mode: every ``every``-th row (positions 0, every, 2*every, ...) of
     the seeded permutation -- the reference's [::50] on a shuffled order."""

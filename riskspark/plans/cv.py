@@ -30,6 +30,7 @@ from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chu
                                          fold_moments,
                                          global_scaler, partial_batch, reduce_partials, training_scalers)
 from riskspark.operators.split import fold_column, holdout_column
+from riskspark.sources.snapshot import stored_rows
 
 GRAM_KINDS = ("least_squares", "ridge")
 # rows per task for the repeated passes when the input has few partitions (local
@@ -49,6 +50,7 @@ class ModelConfig:
     search: int | None = None     # thresholds to search (None: the cross_validate argument)
     threshold: float | None = None  # fixed threshold (None: the cross_validate argument)
     positions: tuple | None = None  # layout positions the model uses (None: all); others stay 0
+    initial_w: tuple | None = None  # start of gradient descent, one number per layout position (None: zeros)
 
     @property
     def loss(self) -> str:
@@ -94,6 +96,15 @@ def prepare(df: DataFrame, layout: FeatureLayout, k: int = 5, seed=1, holdout_ra
     return out.withColumn("x", assemble(names))
 
 
+def _start(cfg: ModelConfig, d: int) -> np.ndarray:
+    """First weights of gradient descent."""
+    if cfg.initial_w is None:
+        return np.zeros(d)
+    if len(cfg.initial_w) != d:
+        raise ValueError(f"initial_w has {len(cfg.initial_w)} numbers, the layout {d} positions")
+    return np.array(cfg.initial_w, dtype=float)
+
+
 @dataclass
 class FoldResult:
     config: int
@@ -180,28 +191,25 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
 
 
 def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[ModelConfig], k: int = 5,
-                   search_thresholds: int = 0, threshold: float = 0.0, persist: bool = True,
-                   folds: Sequence[int] | None = None, checkpoint: bool = False) -> CVResult:
+                   search_thresholds: int = 0, threshold: float = 0.0,
+                   folds: Sequence[int] | None = None) -> CVResult:
     """G3 for several model configurations at once on ``prepare``d data
     (rows with fold == -1 -- the holdout -- are never used). ``folds`` lists
     the validation folds to run (default 0..k-1; ``[-1]`` trains on all rows).
-    ``checkpoint`` writes the training rows to the shared checkpoint folder
-    first, so the step loop never recomputes upstream joins after a loss."""
+    The training rows are written once, as (y, fold, x) in the shared checkpoint folder,
+    and read from there: joins and cleaning run in their own tasks and only once, whatever
+    is lost later; asking the snapshot for its partitions starts no job."""
     d = len(layout.names)
     if layout.columns[0].kind != "intercept":
         raise ValueError("cross_validate needs the intercept at position 0 (add_intercept)")
     cont_pos = layout.continuous_positions()
     cont = [layout.names[p] for p in cont_pos]
-    train = bounded_partitions(data.filter(F.col("fold") >= 0).select("id", "y", "fold", "x", *cont))
-    if checkpoint:
-        from riskspark.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(train.sparkSession)
-        train = train.checkpoint(eager=True)
-    if persist:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = bounded_partitions(stored_rows(data.filter(F.col("fold") >= 0).select("y", "fold", "x"), "train"))
+    blocks = None
     fold_ids = list(range(k)) if folds is None else list(folds)
     try:
-        mom = fold_moments(train, cont, "fold") if cont else {}
+        values = train.select("fold", *[F.col("x")[p].alias(n) for p, n in zip(cont_pos, cont)])
+        mom = fold_moments(values, cont, "fold") if cont else {}
         scalers = (training_scalers(mom, fold_ids) if cont
                    else {i: (np.zeros(0), np.zeros(0)) for i in fold_ids})
         tasks, where = [], []
@@ -223,9 +231,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         target = min(cores, max(1, n_rows // ROWS_PER_TASK))
         src = train.repartition(target) if train.rdd.getNumPartitions() < target else train
         blocks = pack_blocks(src, "x", d, "y", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-        blocks.count()
-        if persist:
-            train.unpersist()       # the blocks are recomputed from the checkpoint if lost
+        blocks.count()              # lost blocks are packed again from the snapshot
 
         gram_idx = [m for m, (ci, _) in enumerate(where) if configs[ci].uses_gram]
         if gram_idx:
@@ -249,7 +255,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                 elif cfg.kind == "ridge":
                     w = linear.ridge(G, bvec, n, cfg.lam)
                 else:
-                    w = linear.gd_from_gram(G, bvec, n, cfg.gamma, cfg.max_iters)
+                    w = linear.gd_from_gram(G, bvec, n, cfg.gamma, cfg.max_iters, _start(cfg, d)[idx])
                 W[idx, m] = w
                 train_loss[m] = linear.mse_from_gram(G, bvec, yy, n, w)
 
@@ -265,7 +271,8 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                 if pos is not None:
                     mask[:, col] = 0.0
                     mask[list(pos), col] = 1.0
-            Wsub, lsub = fit_gd(blocks, d, sub, steps, ratios=ratios[idx], mask=mask)
+            initial = mask * np.column_stack([_start(configs[where[m][0]], d) for m in idx])
+            Wsub, lsub = fit_gd(blocks, d, sub, steps, ratios=ratios[idx], initial=initial, mask=mask)
             W[:, idx] = Wsub
             train_loss[idx] = lsub
 
@@ -302,8 +309,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                     thr, counts = best_t, best_counts
             result.folds.append(FoldResult(ci, i, float(train_loss[m]), float(val_loss), float(thr),
                                            metrics_np(*counts), scalers[i][0], scalers[i][1], W[:, m].copy()))
-        blocks.unpersist()
         return result
     finally:
-        if persist:
-            train.unpersist()
+        if blocks is not None:
+            blocks.unpersist()

@@ -41,7 +41,7 @@ def run_table(spark: SparkSession, df: DataFrame, specs: list[FeatureSpec], step
     clean = model.transform(df)
     data = cv.prepare(clean, layout, k, seed)
     res = cv.cross_validate(data, layout, [cv.ModelConfig("logistic", steps, gamma)], k,
-                            search_thresholds=search, checkpoint=True)
+                            search_thresholds=search)
     w, thr, mu, sd = res.average(0)
     scorer = LinearScorer(layout, w, mu, sd, logistic=True, threshold=thr)
     hold = scorer.transform(data.filter(F.col("holdout")).withColumn("label", F.col("y").cast("int")))

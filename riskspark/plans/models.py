@@ -11,11 +11,15 @@ from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.columns import balanced_sum, sigmoid
+from riskspark.functions.columns import balanced_sum, sigmoid, softplus
 from riskspark.operators.clean import FeatureLayout
 from riskspark.plans.cv import ModelConfig
 
 
+def _literals(weights) -> tuple | None:
+    return None if weights is None else tuple(float(v) for v in weights)
+
+
 class LinearScorer(Model):
     """Weights over a layout, with the per-column scaler used in training; a
     ``pyspark.ml`` model whose transform adds ``score`` and ``prediction``."""
@@ -86,6 +90,32 @@ class ModelBase:
             self.scorer.threshold = threshold
         return self.scorer.transform(df)
 
+    def f(self) -> Column:
+        """The fitted function of a row: linear term, or its sigmoid for logistic models."""
+        if self.scorer is None:
+            raise RuntimeError("f needs weights: this model has not been trained on any rows yet")
+        return self.scorer.score()
+
+    def score(self, df: DataFrame, label: str = "label") -> float:
+        """unbalanced loss over all rows of ``df`` (one aggregate, JVM only); ridge and L2 models add
+        lambda * ||w||^2. Labels are -1 and 1; an empty frame gives NaN."""
+        if self.scorer is None:
+            raise RuntimeError("score needs weights: this model has not been trained on any rows yet")
+        t, y = self.scorer.linear_term(), F.col(label).cast("double")
+        if self.config.loss == "logistic":
+            loss = softplus(t) - F.when(y == -1, F.lit(0.0)).otherwise(F.lit(1.0)) * t
+        else:
+            loss = (y - t) * (y - t) / 2.0
+        mean = df.agg(F.avg(loss)).first()[0]
+        penalty = self.config.lam * float(np.sum(self.w ** 2)) if self.config.penalty_in_score else 0.0
+        return float("nan") if mean is None else float(mean) + penalty
+
+    def get_metrics(self, df: DataFrame, label: str = "label", threshold: float | None = None) -> dict:
+        """Accuracy, recall, false positive ratio, precision and F1 of the predictions for ``df``."""
+        from riskspark.operators.evaluate import confusion_metrics
+        row = confusion_metrics(self.predict(df, threshold), label, "prediction").first()
+        return {k: float(row[k]) for k in ("accuracy", "recall", "fpr", "precision", "f1")}
+
 
 class LeastSquares(ModelBase):
     def __init__(self):
@@ -94,9 +124,10 @@ class LeastSquares(ModelBase):
 
 
 class MSEGradientDescent(ModelBase):
-    def __init__(self, max_iters: int = 200, gamma: float = 0.1, balance_loss: bool = False):
+    def __init__(self, max_iters: int = 200, gamma: float = 0.1, initial_w=None, balance_loss: bool = False):
         super().__init__()
-        self.config = ModelConfig("mse_gd", max_iters, gamma, 0.0, "residual_sign" if balance_loss else None)
+        self.config = ModelConfig("mse_gd", max_iters, gamma, 0.0, "residual_sign" if balance_loss else None,
+                                  initial_w=_literals(initial_w))
 
 
 class RidgeRegression(ModelBase):
@@ -106,10 +137,11 @@ class RidgeRegression(ModelBase):
 
 
 class LogisticRegressionGD(ModelBase):
-    def __init__(self, max_iters: int = 200, gamma: float = 0.7, balance_loss: bool = False,
+    def __init__(self, max_iters: int = 200, gamma: float = 0.7, initial_w=None, balance_loss: bool = False,
                  balance: str = "label"):
         super().__init__()
-        self.config = ModelConfig("logistic", max_iters, gamma, 0.0, balance if balance_loss else None)
+        self.config = ModelConfig("logistic", max_iters, gamma, 0.0, balance if balance_loss else None,
+                                  initial_w=_literals(initial_w))
 
     def predict(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
         """without a threshold the logistic default 0.18 applies."""
@@ -117,6 +149,6 @@ class LogisticRegressionGD(ModelBase):
 
 
 class RegularizedLogisticRegressionGD(LogisticRegressionGD):
-    def __init__(self, lambda_: float = 0.1, max_iters: int = 200, gamma: float = 0.7, **_ignored):
+    def __init__(self, lambda_: float = 0.1, max_iters: int = 200, gamma: float = 0.7, initial_w=None, **_ignored):
         super().__init__(max_iters, gamma)
-        self.config = ModelConfig("reg_logistic", max_iters, gamma, lambda_)
+        self.config = ModelConfig("reg_logistic", max_iters, gamma, lambda_, initial_w=_literals(initial_w))

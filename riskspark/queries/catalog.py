@@ -4,8 +4,6 @@ BIGINT, so results compare exactly with the SQL oracle in ``oracle.py``."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -127,7 +125,6 @@ def poly_expand(spark: SparkSession, sf: str) -> DataFrame:
                                                                       "tax", "tax_p2", "tax_p3"]])
 
 
-@lru_cache(maxsize=4)
 def _order_cleaning(spark: SparkSession, sf: str):
     from riskspark.operators.clean import CleaningEstimator
     df = order_risk(spark, sf)
@@ -171,6 +168,11 @@ def exact_holdout(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("id", F.col("holdout").cast("bigint").alias("holdout"))
 
 
+def kfold_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """C3 exact: folds of int(N / 7) rows; the rows left over (fold 7) are never validated on."""
+    return split.exact_folds(_train_rows(spark, sf).select("id"), 7, SEED).select("id", F.col("fold").cast("bigint").alias("fold"))
+
+
 def undersample(spark: SparkSession, sf: str) -> DataFrame:
     return split.undersample(_train_rows(spark, sf).select("id", "label"), "label", "balance", "id")
 
@@ -390,11 +392,13 @@ def threshold_search(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ G3-G9, A6
 
-CV_STEPS = 5
+CV_STEPS = 5  # of the step-limited parity checks
+FULL_STEPS = 400  # of the run itself
 CV_SEARCH = 100
-# Sweep grids and ablation settings (reference experiment scripts).
-SWEEP_DEGREES = [1, 2, 3]
-SWEEP_GAMMAS = [0.01, 0.1, 0.48, 1.0]
+# The published grids of degrees and step sizes.
+SWEEP_DEGREES = [1, 2, 3, 5, 7]
+SWEEP_GAMMAS = [0.01, 0.016681005372000592, 0.027825594022071243, 0.046415888336127774, 0.0774263682681127,
+                0.1291549665014884, 0.21544346900318834, 0.3593813663804626, 0.48, 0.5994842503189409, 0.7, 1.0]
 
 
 def ablation_configs():
@@ -423,12 +427,13 @@ def _cv_inputs(spark, sf, degree=1):
     return clean, layout, cv.prepare(clean, layout, K, SEED)
 
 
-@lru_cache(maxsize=8)
 def _cv_run(spark: SparkSession, sf: str, which: str, degree: int = 1):
     from riskspark.plans import cv
     clean, layout, data = _cv_inputs(spark, sf, degree)
     if which == "flagship":
         configs, search = [cv.ModelConfig("logistic", CV_STEPS, 0.7)], CV_SEARCH
+    elif which == "full":
+        configs, search = [cv.ModelConfig("logistic", FULL_STEPS, 0.7)], CV_SEARCH
     elif which == "degree":
         configs = [cv.ModelConfig("mse_gd", 200, 0.001, positions=degree_positions(layout, deg), name=f"degree{deg}")
                    for deg in SWEEP_DEGREES]
@@ -437,7 +442,7 @@ def _cv_run(spark: SparkSession, sf: str, which: str, degree: int = 1):
         configs, search = [cv.ModelConfig("logistic", 300, g) for g in SWEEP_GAMMAS], 100
     else:
         configs, search = ablation_configs(), 0
-    res = cv.cross_validate(data, layout, configs, K, search_thresholds=search, checkpoint=True)
+    res = cv.cross_validate(data, layout, configs, K, search_thresholds=search)
     return res, clean, layout, data
 
 
@@ -452,6 +457,19 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
 
 
+def cross_validate_full(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 at full length: ``cross_validate`` with all 400 steps."""
+    out = _cv_run(spark, sf, "full")[0].to_df(spark)
+    return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
+
+
+def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """G6 at full length: clean, 80/20 holdout, 5 folds of 400 steps, threshold search, averaged
+    model, test predictions written as CSV; the file's rows."""
+    from riskspark.plans import end_to_end as plan
+    return plan.run(spark, sf, steps=FULL_STEPS, gamma=0.7, search=CV_SEARCH, k=K, seed=SEED).predictions
+
+
 def _averaged_scorer(spark, sf, which="flagship"):
     from riskspark.plans.models import LinearScorer
     res, clean, layout, data = _cv_run(spark, sf, which)
@@ -542,6 +560,7 @@ def ablation(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ G11, C6, A4/A5, F9
 
+MODEL_STEPS = 50
 CORR_FEATURES = ["totalprice", "acctbal", "ordermonth", "regionkey"]
 
 
@@ -599,7 +618,26 @@ def ridge_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-@lru_cache(maxsize=4)
+def model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every model class fitted on the training rows (intercept and scaled totalprice, gradient
+    descent from given weights) and scored on the holdout."""
+    from riskspark.operators.clean import FeatureColumn, FeatureLayout
+    from riskspark.plans import cv, models
+    layout = FeatureLayout([FeatureColumn("totalprice", "continuous", "totalprice")]).with_intercept()
+    data = cv.prepare(order_risk(spark, sf).select("id", "split", "label", "totalprice"), layout, K, SEED)
+    start = dict(max_iters=MODEL_STEPS, initial_w=[0.5, -0.5])
+    rows = []
+    for name, model in (("least_squares", models.LeastSquares()), ("ridge", models.RidgeRegression(0.1)),
+                        ("mse_gd", models.MSEGradientDescent(gamma=0.1, **start)),
+                        ("logistic", models.LogisticRegressionGD(gamma=0.7, **start)),
+                        ("reg_logistic", models.RegularizedLogisticRegressionGD(0.1, gamma=0.7, **start))):
+        w, loss = model.fit(data, layout)
+        rows.append((name, float(w[0]), float(w[1]), float(loss), model.score(data.filter("holdout"), "y")))
+    cols = ["w0", "w1", "train_loss", "score"]
+    out = spark.createDataFrame(rows, "model string, " + ", ".join(f"{c} double" for c in cols))
+    return out.select("model", *[r6(c).alias(c) for c in cols])
+
+
 def _doc_cv(spark: SparkSession, sf: str):
     from riskspark.operators.clean import CleaningEstimator
     from riskspark.plans import cv
@@ -609,7 +647,7 @@ def _doc_cv(spark: SparkSession, sf: str):
     layout = model.layout.with_intercept()
     data = cv.prepare(model.transform(df), layout, K, SEED)
     return cv.cross_validate(data, layout, [cv.ModelConfig("mse_gd", CV_STEPS, 0.1)], K,
-                             search_thresholds=CV_SEARCH, checkpoint=True)
+                             search_thresholds=CV_SEARCH)
 
 
 def doc_cross_validate(spark: SparkSession, sf: str) -> DataFrame:
@@ -671,6 +709,24 @@ def exact_stride_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 EXACT_BATCH = 1000
+SHUFFLED_BATCH, SHUFFLED_STEPS = 300, 20
+
+
+def _batch_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _train_rows(spark, sf).select(
+        "id", F.lit(1.0).alias("x0"), (F.col("totalprice") / 500000.0).alias("x1"),
+        (F.col("ordermonth") / 12.0).alias("x2"), F.col("label").cast("double").alias("y"))
+
+
+def minibatch_gd_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 / D13 with shuffle: 20 steps over batches of 300 ranks of the seeded permutation that
+    start anywhere (a drawn batch moved on by a drawn part of the remainder) and may overlap."""
+    from riskspark.operators.gd import batch_starts, fit_minibatch_windows
+    ranked = split.exact_rank(_batch_rows(spark, sf), "batch", "id")
+    n = ranked.count()
+    size = max(1, min(SHUFFLED_BATCH, n))
+    design = ranked.select(encode.assemble(["x0", "x1", "x2"]), "y", "rank")
+    return _terms(spark, *fit_minibatch_windows(design, 3, batch_starts(SHUFFLED_STEPS, n, size), size, 0.1))
 
 
 def minibatch_gd_exact(spark: SparkSession, sf: str) -> DataFrame:
@@ -678,10 +734,7 @@ def minibatch_gd_exact(spark: SparkSession, sf: str) -> DataFrame:
     the seeded permutation (step t uses batch t mod B, remainder never used);
     features: intercept, totalprice / 500000, ordermonth / 12."""
     from riskspark.operators.gd import batch_schedule, exact_batches, fit_minibatch
-    base = _train_rows(spark, sf).select(
-        "id", F.lit(1.0).alias("x0"), (F.col("totalprice") / 500000.0).alias("x1"),
-        (F.col("ordermonth") / 12.0).alias("x2"), F.col("label").cast("double").alias("y"))
-    batched, n_batches = exact_batches(base, EXACT_BATCH, "batch", "id")
+    batched, n_batches = exact_batches(_batch_rows(spark, sf), EXACT_BATCH, "batch", "id")
     cols = ["x0", "x1", "x2"]
     design = batched.select(encode.assemble(cols), "y", "batch")
     return _terms(spark, *fit_minibatch(design, 3, batch_schedule(GD_STEPS, n_batches), 0.1))
@@ -710,4 +763,5 @@ QUERIES = {
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
     "csv_load": csv_load, "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
+    "cross_validate_full": cross_validate_full, "end_to_end": end_to_end, "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "model_scores": model_scores,
 }

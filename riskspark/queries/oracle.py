@@ -196,6 +196,14 @@ def kfold_assign() -> str:
                f"FROM order_risk WHERE split = 'train'", ("order_risk",))
 
 
+def kfold_exact() -> str:
+    h = hash32_sql('fold:1', 'id')
+    body = ("SELECT id, CAST(CASE WHEN rk < 7 * (n // 7) THEN rk // (n // 7) ELSE 7 END AS BIGINT) AS fold FROM "
+            f"(SELECT id, row_number() OVER (ORDER BY {h}, id) - 1 AS rk, count(*) OVER () AS n "
+            "FROM order_risk WHERE split = 'train')")
+    return sql(body, ("order_risk",))
+
+
 def exact_holdout() -> str:
     h = hash32_sql('holdout:1', 'id')
     body = ("SELECT id, CAST(CASE WHEN rn <= floor(n * 0.8) THEN 0 ELSE 1 END AS BIGINT) AS holdout FROM "
@@ -480,10 +488,60 @@ def exact_stride_sample() -> str:
 
 
 
+BATCH_ROWS = ("d", "SELECT id, CAST(1.0 AS DOUBLE) AS x0, totalprice / 500000.0 AS x1, ordermonth / 12.0 AS x2, "
+                   "CAST(label AS DOUBLE) AS y FROM order_risk WHERE split = 'train'")
+
+
+def minibatch_gd_shuffled() -> str:
+    sz = ("sz", "SELECT count(*) AS n, least(300, count(*)) AS size FROM d")
+    rk = ("rk", f"SELECT d.*, row_number() OVER (ORDER BY {hash32_sql('batch', 'id')}, id) - 1 AS rk FROM d")
+    starts = ("starts", f"SELECT t, size, {hash32_sql('batch-start', 't')} % (n // size) * size "
+                        f"+ {hash32_sql('batch-offset', 't')} % (n % size + 1) AS first FROM sz, (SELECT range AS t FROM range(20))")
+    t = "x0 * w0 + x1 * w1 + x2 * w2"
+    upd = ", ".join(f"w{j} - CAST(0.1 AS DOUBLE) * avg(-(y - ({t})) * x{j})" for j in range(3))
+    g = ("g(step, w0, w1, w2)",
+         "SELECT 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) UNION ALL "
+         f"SELECT step + 1, {upd} FROM g JOIN starts ON starts.t = g.step JOIN rk ON rk >= first AND rk < first + size "
+         "GROUP BY step, w0, w1, w2")
+    fw = ("fw", "SELECT * FROM g WHERE step = 20")
+    body = " UNION ALL ".join(f"SELECT 'w{j}' AS term, {r6(f'w{j}')} AS value FROM fw" for j in range(3))
+    body += f" UNION ALL SELECT 'loss', {r6(f'avg((y - ({t})) * (y - ({t}))) / 2.0')} FROM rk, fw GROUP BY w0, w1, w2"
+    return sql(body, ("order_risk",), (BATCH_ROWS, sz, rk, starts, g, fw), recursive=True)
+
+
+def model_scores() -> str:
+    rows = "SELECT totalprice AS v, CAST(label AS DOUBLE) AS y FROM order_risk WHERE split = 'train' AND "
+    tr, hd = ("tr", f"{rows} NOT ({HOLDOUT})"), ("hd", f"{rows} ({HOLDOUT})")
+    st = ("st", "SELECT avg(v) AS m, stddev_pop(v) AS s FROM tr")
+    sd = ("sd", "SELECT 0 AS held, (v - m) / s AS x, y FROM tr, st UNION ALL SELECT 1, (v - m) / s, y FROM hd, st")
+    su = ("su", "SELECT count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy FROM sd WHERE held = 0")
+    closed = []
+    for name, lam in (("least_squares", "0.0"), ("ridge", "0.1")):
+        a, b = f"(n + 2 * CAST({lam} AS DOUBLE) * n)", f"(sxx + 2 * CAST({lam} AS DOUBLE) * n)"
+        det = f"({a} * {b} - sx * sx)"
+        closed.append(f"SELECT '{name}' AS model, 0 AS lc, CAST({lam} AS DOUBLE) AS lam, "
+                      f"(sy * {b} - sx * sxy) / {det} AS w0, ({a} * sxy - sx * sy) / {det} AS w1 FROM su")
+    cfg = ("cfg", "SELECT * FROM (VALUES ('mse_gd', 0, CAST(0.1 AS DOUBLE), CAST(0.0 AS DOUBLE)), "
+                  "('logistic', 1, CAST(0.7 AS DOUBLE), CAST(0.0 AS DOUBLE)), "
+                  "('reg_logistic', 1, CAST(0.7 AS DOUBLE), CAST(0.1 AS DOUBLE))) v(model, lc, gamma, lam)")
+    t = "(w0 + w1 * x)"
+    res = f"(CASE WHEN lc = 0 THEN {t} - y ELSE 1.0 / (1.0 + exp(-{t})) - CASE WHEN y = -1 THEN 0.0 ELSE 1.0 END END)"
+    g = ("g(step, model, lc, gamma, lam, w0, w1)",
+         "SELECT 0, model, lc, gamma, lam, CAST(0.5 AS DOUBLE), CAST(-0.5 AS DOUBLE) FROM cfg UNION ALL "
+         f"SELECT step + 1, model, lc, gamma, lam, w0 - gamma * (avg({res}) + 2 * lam * w0), "
+         f"w1 - gamma * (avg({res} * x) + 2 * lam * w1) FROM g, sd WHERE held = 0 AND step < 50 "
+         "GROUP BY step, model, lc, gamma, lam, w0, w1")
+    w = ("w", " UNION ALL ".join(closed) + " UNION ALL SELECT model, lc, lam, w0, w1 FROM g WHERE step = 50")
+    loss = (f"(CASE WHEN lc = 0 THEN (y - {t}) * (y - {t}) / 2.0 ELSE ln(1.0 + exp({t})) "
+            f"- CASE WHEN y = -1 THEN 0.0 ELSE 1.0 END * {t} END)")
+    body = (f"SELECT model, {r6('w0')} AS w0, {r6('w1')} AS w1, {r6(f'avg({loss}) FILTER (WHERE held = 0)')} AS train_loss, "
+            f"{r6(f'avg({loss}) FILTER (WHERE held = 1) + lam * (w0 * w0 + w1 * w1)')} AS score "
+            "FROM w, sd GROUP BY model, lam, w0, w1")
+    return sql(body, ("order_risk",), (tr, hd, st, sd, su, cfg, g, w), recursive=True)
+
+
 def minibatch_gd_exact() -> str:
     h = hash32_sql('batch', 'id')
-    d = ("d", "SELECT id, CAST(1.0 AS DOUBLE) AS x0, totalprice / 500000.0 AS x1, ordermonth / 12.0 AS x2, "
-              "CAST(label AS DOUBLE) AS y FROM order_risk WHERE split = 'train'")
     nb = ("nb", "SELECT greatest(1, count(*) // 1000) AS nb FROM d")
     rk = ("rk", f"SELECT d.*, row_number() OVER (ORDER BY {h}, id) - 1 AS rk FROM d")
     db = ("db", "SELECT rk.*, CASE WHEN rk < nb * 1000 THEN rk // 1000 ELSE -1 END AS batch FROM rk, nb")
@@ -496,7 +554,7 @@ def minibatch_gd_exact() -> str:
     fw = ("fw", f"SELECT * FROM g WHERE step = {GD_STEPS}")
     body = " UNION ALL ".join(f"SELECT 'w{j}' AS term, {r6(f'w{j}')} AS value FROM fw" for j in range(3))
     body += f" UNION ALL SELECT 'loss', {r6(f'avg((y - ({t})) * (y - ({t}))) / 2.0')} FROM db, fw GROUP BY w0, w1, w2"
-    return sql(body, ("order_risk",), (d, nb, rk, db, g, fw), recursive=True)
+    return sql(body, ("order_risk",), (BATCH_ROWS, nb, rk, db, g, fw), recursive=True)
 
 
 ORACLES = {
@@ -522,6 +580,7 @@ ORACLES = {
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
     "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
+    "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "model_scores": model_scores,
 }
 
 

@@ -5,10 +5,12 @@ lineage: training reads the files, not the cleaning plan."""
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.operators.clean import FeatureLayout
+from riskspark.session import scratch_path
 
 
 def save_snapshot(df: DataFrame, layout: FeatureLayout, path: str, mode: str = "overwrite") -> None:
@@ -24,5 +26,8 @@ def load_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, FeatureLay
     return rows, FeatureLayout.from_json(meta["layout"])
 
 
-def layout_summary(layout: FeatureLayout) -> str:
-    return json.dumps({"n": len(layout.names), "continuous": layout.continuous})
+def stored_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh folder of the shared scratch area and read from there."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

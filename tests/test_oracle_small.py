@@ -17,7 +17,8 @@ FAST = ["null_profile", "drop_sparse_columns", "spec_conformance", "vocab_confor
         "logistic_balanced_gradient", "gram_matrix", "least_squares", "ridge", "mse_gd", "logistic_gd",
         "minibatch_gd", "confusion_metrics", "threshold_search", "cross_validate", "fold_average",
         "holdout_metrics", "submission", "label_correlation", "split_scale", "clean_snapshot", "ridge_score",
-        "doc_cross_validate", "event_scale_fit", "csv_load", "exact_stride_sample", "minibatch_gd_exact"]
+        "doc_cross_validate", "event_scale_fit", "csv_load", "exact_stride_sample", "minibatch_gd_exact",
+        "kfold_exact", "minibatch_gd_shuffled", "model_scores"]
 
 
 @pytest.fixture(scope="module")

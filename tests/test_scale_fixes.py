@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from riskspark.functions.columns import dot
 from riskspark.operators import conform
 from riskspark.operators.clean import CleaningEstimator, FeatureColumn, FeatureLayout
-from riskspark.operators.gd import fit_minibatch
-from riskspark.operators.split import exact_rank, rank_boundary
+from riskspark.operators.gd import batch_starts, fit_minibatch, fit_minibatch_windows
+from riskspark.operators.moments import gram_by_key
+from riskspark.operators.split import exact_folds, exact_rank, rank_boundary
 from riskspark.plans.methods import search_threshold
 from riskspark.plans.models import LinearScorer
 from riskspark.sources.csv_source import load_csv_data
@@ -115,3 +116,63 @@ def test_run_from_files(spark, tmp_path):
     assert sorted(got) == list(range(300, 400))
     assert np.mean([got[i] == (1 if a[i] > 0 else -1) for i in got]) > 0.9
     assert result.holdout["accuracy"] > 0.9
+
+
+def test_exact_folds_leave_the_remainder_in_training(spark):
+    df = spark.range(10)
+    sizes = {r["fold"]: r["count"] for r in exact_folds(df, 3).groupBy("fold").count().collect()}
+    assert sizes == {0: 3, 1: 3, 2: 3, 3: 1}
+    sizes = {r["fold"]: r["count"] for r in exact_folds(df, 3, remainder="last").groupBy("fold").count().collect()}
+    assert sizes == {0: 3, 1: 3, 2: 4}
+    assert {r["fold"] for r in exact_folds(spark.range(2), 3).collect()} == {3}
+
+
+def test_overlapping_batches_match_numpy(spark):
+    rng = np.random.default_rng(4)
+    n, size = 103, 20
+    x = np.column_stack([np.ones(n), rng.standard_normal(n)])
+    y = rng.standard_normal(n)
+    starts = batch_starts(15, n, size)
+    assert all(0 <= s <= n - size for s in starts) and any(s % size for s in starts)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], float(y[i])) for i in range(n)], "rank long, x array<double>, y double")
+    w, loss = fit_minibatch_windows(df.repartition(7), 2, starts, size, 0.1)
+    want = np.zeros(2)
+    for s in starts:
+        a, b = x[s:s + size], y[s:s + size]
+        want = want + 0.1 * a.T @ (b - a @ want) / size
+    assert np.allclose(w, want) and np.isclose(loss, np.mean((y - x @ want) ** 2) / 2)
+
+
+def test_gram_starts_no_job_to_plan_itself(spark):
+    df = spark.range(1000).selectExpr("id % 3 as k", "array(1.0D, cast(id as double)) as x", "cast(id as double) as y").repartition(90)
+    grams = gram_by_key(df, "x", "y", 2, "k")
+    assert sorted(grams) == [0, 1, 2] and sum(g[0, 0] for g in grams.values()) == 1000
+    assert np.isclose(sum(g[1, 2] for g in grams.values()), float(np.sum(np.arange(1000.0) ** 2)))
+
+
+def test_models_start_from_given_weights_and_score(spark):
+    from riskspark.plans import cv
+    from riskspark.plans.models import LogisticRegressionGD, MSEGradientDescent, RegularizedLogisticRegressionGD
+    rng = np.random.default_rng(2)
+    v, y = rng.standard_normal(200), np.where(rng.random(200) < 0.4, 1, -1)
+    df = spark.createDataFrame([(i, "train", int(y[i]), float(v[i])) for i in range(200)], "id long, split string, label int, v double")
+    layout = FeatureLayout([FeatureColumn("v", "continuous", "v")]).with_intercept()
+    data = cv.prepare(df, layout, 3)
+    for model in (MSEGradientDescent(0, 0.1, initial_w=[0.5, 2.0]), LogisticRegressionGD(0, initial_w=[0.5, 2.0]),
+                  RegularizedLogisticRegressionGD(0.3, 0, initial_w=[0.5, 2.0])):
+        model.fit(data, layout)
+        assert np.allclose(model.w, [0.5, 2.0])
+        mean, std = model.scorer.mean[0], model.scorer.std[0]
+        t = 0.5 + 2.0 * (v - mean) / std
+        if model.config.loss == "mse":
+            want = np.mean((y - t) ** 2) / 2
+        else:
+            want = np.mean(np.logaddexp(0, t) - (y == 1) * t)
+        want += 0.3 * 4.25 if model.config.kind == "reg_logistic" else 0
+        assert np.isclose(model.score(df), want)
+        assert set(model.get_metrics(df)) == {"accuracy", "recall", "fpr", "precision", "f1"}
+    assert np.isnan(model.score(df.limit(0)))
+    with np.testing.assert_raises(ValueError):
+        MSEGradientDescent(1, initial_w=[1.0]).fit(data, layout)
+    with pytest.raises(RuntimeError):
+        MSEGradientDescent().score(df)
