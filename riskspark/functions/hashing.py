@@ -30,12 +30,6 @@ def hash32_value(seed, *keys) -> int:
     return int(hashlib.md5(":".join(map(str, (seed, *keys))).encode()).hexdigest()[:8], 16)
 
 
-def hash32_sql(seed, *key_sql: str) -> str:
-    """The same key as SQL text (DuckDB dialect), for oracles."""
-    joined = " || ':' || ".join(f"CAST({k} AS VARCHAR)" for k in key_sql)
-    return f"('0x' || substr(md5('{seed}:' || {joined}), 1, 8))::BIGINT"
-
-
 def fraction_cut(ratio: float) -> int:
     """Hash keys below this value form the first ``ratio`` share of rows."""
     return int(ratio * HASH_SPACE)

@@ -9,8 +9,6 @@ degrees, nested sub-matrices -- share the same single pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -67,10 +65,3 @@ def least_squares(G: np.ndarray, b: np.ndarray) -> np.ndarray:
 def ridge(G: np.ndarray, b: np.ndarray, n: float, lam: float) -> np.ndarray:
     """E5: solve (X'X + 2 lambda n I) w = X'y."""
     return np.linalg.solve(G + 2.0 * lam * n * np.eye(len(b)), b)
-
-
-def sub_gram(Z: np.ndarray, positions: Sequence[int]) -> np.ndarray:
-    """Augmented Gram restricted to some feature positions (y kept last)."""
-    d = Z.shape[0] - 1
-    idx = list(positions) + [d]
-    return Z[np.ix_(idx, idx)]

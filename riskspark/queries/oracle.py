@@ -6,8 +6,7 @@ BIGINT on both sides."""
 
 from __future__ import annotations
 
-from riskspark.functions.hashing import fraction_cut, hash32_sql
-from riskspark.queries.tables_sql import TABLES_SQL
+from riskspark.queries.tables_sql import TABLES_SQL, fraction_cut, hash32_sql
 
 K = 5
 HOLD_CUT = fraction_cut(0.8)

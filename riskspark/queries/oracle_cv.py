@@ -6,7 +6,6 @@ the threshold search is a brute-force cross join with the grid."""
 
 from __future__ import annotations
 
-from riskspark.functions.hashing import hash32_sql
 from riskspark.queries.oracle import (FOLD, HOLDOUT, K, MKT_SEGMENTS, ORDER_STATUS, _order_clean_cte, r6, sql)
 
 ONEHOT = ([f"orderstatus_{v}" for v in ORDER_STATUS] + [f"mktsegment_{v}" for v in MKT_SEGMENTS]

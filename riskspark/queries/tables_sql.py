@@ -1,6 +1,19 @@
 """The modelling tables of ``riskspark.sources.tables`` as DuckDB SQL, for oracles."""
 
-from riskspark.functions.hashing import fraction_cut, hash32_sql
+# The row key is the first 8 hex digits of md5('<seed>:<key>:...'), one of 4294967296.
+# Written here on its own, so that an error in the library's key does not pass on both sides.
+KEYS = 4294967296
+
+
+def hash32_sql(seed, *key_sql: str) -> str:
+    joined = " || ':' || ".join(f"CAST({k} AS VARCHAR)" for k in key_sql)
+    return f"('0x' || substr(md5('{seed}:' || {joined}), 1, 8))::BIGINT"
+
+
+def fraction_cut(ratio: float) -> int:
+    """Keys below this number are the first ``ratio`` share."""
+    return int(ratio * KEYS)
+
 
 _CUT = fraction_cut(0.2)
 
