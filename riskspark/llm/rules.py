@@ -4,8 +4,14 @@ Words and pairs of neighbouring words are hashed into ``BUCKETS``. Two multinomi
 over the buckets are counted, one over all documents (raw corpus) and one over a
 bounded sample of trusted ones; the trusted one is shrunk towards the raw one with
 the weight of its own size, so a bucket it never saw counts as half as likely at
-worst. A document's score is the mean log ratio of its n-grams. Every document below
-``threshold``, or failing the base rules, is not kept; nothing is drawn at random.
+worst. A document's score is the mean log ratio of its n-grams.
+
+Log ratios shrink as the corpus fills the buckets, so the place of the cut comes from
+the data: the trusted documents are dealt into ``FOLDS`` folds, each is scored by the
+multinomial of the other folds (any other document by the mean of these log ratios),
+and all scores are moved by one number so that the ``LOW`` quantile of the trusted ones
+lies at ``THRESHOLD``. Every document below ``threshold``, or
+failing the base rules, is not kept; nothing is drawn at random.
 """
 
 from __future__ import annotations
@@ -15,9 +21,11 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.common import SPACE, bounded_sample, doc_texts, written
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
 STEPS = 10_000
 THRESHOLD = -0.04
+FOLDS = 4
+LOW = 0.01
 TRUSTED_ROWS = 50_000
 MIN_WORDS = 20
 WINDOW = 8
@@ -49,31 +57,67 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> list[int]:
-    """The log ratio of every bucket in steps of 1 / STEPS. ``trusted``: doc_id of trusted documents.
+def _with_folds(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` and their fold: 0 to FOLDS - 1 for trusted ones, FOLDS for all others."""
+    fold = ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
+    return docs.join(F.broadcast(fold), "doc_id", "left").withColumn("fold", F.coalesce("fold", F.lit(FOLDS)))
 
-    Raw counts cover all documents. At most about ``trusted_rows`` trusted ids (picked by
-    a hash) are sent to the texts; a repeated id counts once."""
-    ids = bounded_sample(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(),
-                         F.col("doc_id"), trusted_rows).withColumn("is_trusted", F.lit(1))
-    marked = _with_hashes(docs).join(F.broadcast(ids), "doc_id", "left")
-    grams = marked.select(F.coalesce("is_trusted", F.lit(0)).alias("t"), F.explode(F.concat("h1", "h2")).alias("h"))
-    counts = grams.groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+
+def _trusted_ids(trusted: DataFrame, trusted_rows: int) -> DataFrame:
+    return bounded_sample(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(),
+                          F.col("doc_id"), trusted_rows)
+
+
+def fold_weights(docs: DataFrame, ids: DataFrame) -> list[list[int]]:
+    """The log ratio of every bucket in steps of 1 / STEPS, by fold to leave out (the last list leaves out none).
+
+    Raw counts cover all documents, target counts those of ``ids`` (distinct doc_id)."""
+    grams = _with_folds(_with_hashes(docs), ids).select("fold", F.explode(F.concat("h1", "h2")).alias("h"))
+    names = [f"t{k}" for k in range(FOLDS)]
+    counts = grams.groupBy(_bucket(F.col("h")).alias("bucket")).agg(
+        F.count("*").alias("raw"), *[F.count_if(F.col("fold") == k).alias(t) for k, t in enumerate(names)])
     spark = docs.sparkSession
     counts = written(spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
-                     .select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")),
-                     "buckets")
-    total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+                     .select("bucket", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("raw", *names)]), "buckets")
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("raw", *names)]).first()
     raw = (F.col("raw") + 0.5) / F.lit(total.raw + 0.5 * BUCKETS)
-    prior = max(1, total.target)
-    target = (F.col("target") + prior * raw) / F.lit(float(total.target + prior))
-    # BUCKETS numbers reach the driver, whatever the input
-    weights = [0] * BUCKETS
-    for row in counts.select("bucket", F.round(F.log(target / raw) * STEPS).cast("int").alias("w")).collect():
-        weights[row.bucket] = row.w
+
+    def ratio(used: list[str]) -> Column:
+        n = sum(total[t] for t in used)
+        prior = max(1, n)
+        target = (sum((F.col(t) for t in used), F.lit(0)) + prior * raw) / F.lit(float(n + prior))
+        return F.round(F.log(target / raw) * STEPS).cast("int")
+
+    sets = [[t for t in names if t != out] for out in names] + [names]
+    # BUCKETS x (FOLDS + 1) numbers reach the driver, whatever the input
+    weights = [[0] * BUCKETS for _ in sets]
+    for row in counts.select("bucket", F.array(*[ratio(used) for used in sets]).alias("w")).collect():
+        for k, w in enumerate(row.w):
+            weights[k][row.bucket] = w
     return weights
 
 
+def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> list[int]:
+    """The log ratio of every bucket in steps of 1 / STEPS. ``trusted``: doc_id of trusted documents.
+
+    Raw counts cover all documents. At most about ``trusted_rows`` trusted ids (picked by
+    a hash) are sent to the texts; a repeated id counts once."""
+    return fold_weights(docs, _trusted_ids(trusted, trusted_rows))[-1]
+
+
+def _low_score(scored: DataFrame) -> float | None:
+    """The LOW quantile of the scores of trusted documents that pass the base rules, in steps of 1 / STEPS."""
+    step = F.floor(F.col("score") * STEPS).alias("step")
+    # as many rows as there are steps between the scores, whatever the input
+    steps = scored.where((F.col("fold") < FOLDS) & ~F.col("base_failed")).groupBy(step).count().orderBy("step").collect()
+    left = int(LOW * sum(r["count"] for r in steps))
+    for r in steps:
+        if left < r["count"]:
+            return r["step"] / STEPS
+        left -= r["count"]
+    return None
+
+
 def _with_repeats(hashed: DataFrame) -> DataFrame:
     """``hashed`` with n_repeat_words: words inside windows of WINDOW (8) words found twice or more in the text.
 
@@ -107,29 +151,36 @@ def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOL
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score).
 
     One row for every row of ``docs``. Null and empty texts have no words: all counts are
-    0 and the base rules reject them; their score is 0. Without trusted documents every
-    score is 0 and the base rules alone decide. Rows are judged on their own, so null and
+    0 and the base rules reject them; their mean log ratio is 0. A trusted document is
+    scored by the other folds, any other one by the mean over them. Scores are moved so that the LOW quantile of trusted
+    documents lies at THRESHOLD (not at all if none passes the base rules). Without trusted
+    documents every score is 0 and the base rules alone decide. Rows are judged on their own, so null and
     repeated ids need no care; an empty table gives no rows; further columns are ignored.
     """
-    # one literal of BUCKETS integers; integer sums do not depend on their order
-    weights = F.split(F.lit(",".join(map(str, bucket_weights(docs, trusted, trusted_rows)))), ",").cast("array<int>")
+    ids = _trusted_ids(trusted, trusted_rows)
+    folds = fold_weights(docs, ids)[:FOLDS]
+    folds.append([round(sum(w) / FOLDS) for w in zip(*folds)])
+    # one literal of BUCKETS x (FOLDS + 1) integers; integer sums do not depend on their order
+    weights = F.split(F.lit(",".join(str(w) for fold in folds for w in fold)), ",").cast("array<int>")
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    counted = _with_repeats(_with_hashes(docs)).withColumn("lines", lines)
-
-    def total(hashes: str) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s + F.get(weights, _bucket(h)))
+    counted = _with_repeats(_with_folds(_with_hashes(docs), ids)).withColumn("lines", lines)
 
+    total = F.aggregate(F.concat("h1", "h2"), F.lit(0).cast("long"),
+                        lambda s, h: s + F.get(weights, F.col("fold") * BUCKETS + _bucket(h)))
     grams = F.greatest(F.size("h1") + F.size("h2"), F.lit(1))
     scored = counted.select(
-        "doc_id", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "fold", F.size("words").cast("long").alias("n_words"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words", ((total("h1") + total("h2")) / (grams * STEPS)).alias("score"))
+        "n_repeat_words", (total / (grams * STEPS)).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
+    scored = written(scored.withColumn("base_failed", failed), "rule-scores")
+    low = _low_score(scored)
+    moved = F.col("score") - F.lit(0.0 if low is None else low - THRESHOLD)
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         (~F.col("base_failed") & (moved >= threshold)).alias("kept"), moved.alias("score"))
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:

@@ -3,12 +3,14 @@
 import hashlib
 import itertools
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from riskspark.llm import bpe, embed, langid, packing, quality, rules, secrets, simhash, suffix, toxicity
 from riskspark.llm.common import components, table
@@ -271,6 +273,26 @@ def test_rule_scores_follow_the_two_multinomials(spark, monkeypatch):
     assert np.abs(np.array(rules.bucket_weights(docs, trusted)) - want).max() <= 1
 
 
+def test_quality_rules_tell_bad_documents_in_a_larger_corpus(spark):
+    labels = table(spark, SF_MORE, "labels")
+    seen = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    got = rules.apply_rules(table(spark, SF_MORE, "documents"), rules.trusted_documents(seen)).toPandas()
+    got = got[~got["base_failed"]].merge(labels.toPandas(), on="doc_id")
+    held = np.array([zlib.crc32(str(d).encode()) % 3 == 1 for d in got["doc_id"]])
+    assert got["kept"][held & (got["quality"] == 1)].mean() > 0.97
+    assert got["kept"][got["quality"] == 0].mean() < 0.01
+
+
+def test_the_cut_of_the_quality_rules_follows_the_load_of_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(rules, "BUCKETS", 1 << 13)
+    labels = table(spark, SF, "labels")
+    got = rules.apply_rules(table(spark, SF, "documents"), rules.trusted_documents(labels)).toPandas()
+    got = got[~got["base_failed"]].merge(labels.toPandas(), on="doc_id")
+    good = got[got["quality"] == 1]
+    assert (~good["kept"]).sum() == int(rules.LOW * len(good))
+    assert got["kept"][got["quality"] == 0].mean() < 0.2
+
+
 # --- 7, 9: near duplicates -----------------------------------------------------------------------
 
 
