@@ -1,8 +1,8 @@
 """Quality rules: log-likelihood ratios of hashed n-grams, with DataFrame functions only.
 
 Words and pairs of neighbouring words are hashed into ``BUCKETS``. Two multinomials
-over the buckets are counted, one over all documents (raw corpus) and one over a
-bounded sample of trusted ones; the trusted one is shrunk towards the raw one with
+over the buckets are counted, one over all documents (raw corpus) and one over all
+trusted ones; the trusted one is shrunk towards the raw one with
 the weight of its own size, so a bucket it never saw counts as half as likely at
 worst. A document's score is the mean log ratio of its n-grams.
 
@@ -19,30 +19,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import SPACE, bounded_sample, doc_texts, written
+from riskspark.llm.common import SPACE, doc_texts, written
 
 BUCKETS = 1 << 17
 STEPS = 10_000
 THRESHOLD = -0.04
 FOLDS = 4
 LOW = 0.01
-TRUSTED_ROWS = 50_000
 MIN_WORDS = 20
 WINDOW = 8
 
 
-def with_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, words): words are the runs between ASCII white space."""
+def with_words(texts: DataFrame) -> DataFrame:
+    """``texts`` (doc_id, text and others) and words, the runs between ASCII white space."""
     trimmed = F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))
-    return doc_texts(docs).withColumn("words", F.when(trimmed == "", F.array().cast("array<string>"))
-                                      .otherwise(F.split(trimmed, SPACE)))
+    return texts.withColumn("words", F.when(trimmed == "", F.array().cast("array<string>"))
+                            .otherwise(F.split(trimmed, SPACE)))
 
 
-def _with_hashes(docs: DataFrame) -> DataFrame:
+def _with_hashes(texts: DataFrame) -> DataFrame:
     """``with_words`` and the hashes of every word (h1) and of every pair of neighbours (h2).
 
     Each array is a column of its own, so that it is computed once however often it is used."""
-    words = with_words(docs).withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
+    words = with_words(texts).withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
     return words.withColumn("h2", _joined("h1", 1))
 
 
@@ -58,21 +57,21 @@ def _bucket(h: Column) -> Column:
 
 
 def _with_folds(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` and their fold: 0 to FOLDS - 1 for trusted ones, FOLDS for all others."""
+    """(doc_id, text, fold) of ``docs``: fold 0 to FOLDS - 1 for trusted ones, FOLDS for all others."""
     fold = ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
-    return docs.join(F.broadcast(fold), "doc_id", "left").withColumn("fold", F.coalesce("fold", F.lit(FOLDS)))
+    return doc_texts(docs).join(fold, "doc_id", "left").withColumn("fold", F.coalesce("fold", F.lit(FOLDS)))
 
 
-def _trusted_ids(trusted: DataFrame, trusted_rows: int) -> DataFrame:
-    return bounded_sample(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(),
-                          F.col("doc_id"), trusted_rows)
+def _trusted_ids(trusted: DataFrame) -> DataFrame:
+    # written, so that their size is known to the joins: the texts are dealt anew only where it is large
+    return written(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "trusted")
 
 
 def fold_weights(docs: DataFrame, ids: DataFrame) -> list[list[int]]:
     """The log ratio of every bucket in steps of 1 / STEPS, by fold to leave out (the last list leaves out none).
 
     Raw counts cover all documents, target counts those of ``ids`` (distinct doc_id)."""
-    grams = _with_folds(_with_hashes(docs), ids).select("fold", F.explode(F.concat("h1", "h2")).alias("h"))
+    grams = _with_hashes(_with_folds(docs, ids)).select("fold", F.explode(F.concat("h1", "h2")).alias("h"))
     names = [f"t{k}" for k in range(FOLDS)]
     counts = grams.groupBy(_bucket(F.col("h")).alias("bucket")).agg(
         F.count("*").alias("raw"), *[F.count_if(F.col("fold") == k).alias(t) for k, t in enumerate(names)])
@@ -97,12 +96,11 @@ def fold_weights(docs: DataFrame, ids: DataFrame) -> list[list[int]]:
     return weights
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> list[int]:
+def bucket_weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
     """The log ratio of every bucket in steps of 1 / STEPS. ``trusted``: doc_id of trusted documents.
 
-    Raw counts cover all documents. At most about ``trusted_rows`` trusted ids (picked by
-    a hash) are sent to the texts; a repeated id counts once."""
-    return fold_weights(docs, _trusted_ids(trusted, trusted_rows))[-1]
+    Raw counts cover all documents, target counts all trusted ones; a repeated id counts once."""
+    return fold_weights(docs, _trusted_ids(trusted))[-1]
 
 
 def _low_score(scored: DataFrame) -> float | None:
@@ -146,8 +144,7 @@ def _with_repeats(hashed: DataFrame) -> DataFrame:
     return out.withColumn("n_repeat_words", covered.cast("long")).drop("ordered", "like_next", "places")
 
 
-def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
-                trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score).
 
     One row for every row of ``docs``. Null and empty texts have no words: all counts are
@@ -157,14 +154,14 @@ def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOL
     documents every score is 0 and the base rules alone decide. Rows are judged on their own, so null and
     repeated ids need no care; an empty table gives no rows; further columns are ignored.
     """
-    ids = _trusted_ids(trusted, trusted_rows)
+    ids = _trusted_ids(trusted)
     folds = fold_weights(docs, ids)[:FOLDS]
     folds.append([round(sum(w) / FOLDS) for w in zip(*folds)])
     # one literal of BUCKETS x (FOLDS + 1) integers; integer sums do not depend on their order
     weights = F.split(F.lit(",".join(str(w) for fold in folds for w in fold)), ",").cast("array<int>")
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    counted = _with_repeats(_with_folds(_with_hashes(docs), ids)).withColumn("lines", lines)
+    counted = _with_repeats(_with_hashes(_with_folds(docs, ids))).withColumn("lines", lines)
 
     total = F.aggregate(F.concat("h1", "h2"), F.lit(0).cast("long"),
                         lambda s, h: s + F.get(weights, F.col("fold") * BUCKETS + _bucket(h)))

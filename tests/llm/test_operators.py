@@ -293,6 +293,12 @@ def test_the_cut_of_the_quality_rules_follows_the_load_of_the_buckets(spark, mon
     assert got["kept"][got["quality"] == 0].mean() < 0.2
 
 
+def test_every_trusted_document_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(rules, "BUCKETS", 64)
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    assert np.abs(rules.bucket_weights(docs, docs.select("doc_id"))).max() <= 2
+
+
 # --- 7, 9: near duplicates -----------------------------------------------------------------------
 
 
