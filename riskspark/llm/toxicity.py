@@ -8,11 +8,10 @@ absent. Every coordinate has its own learning
 rate (from its sum of squared gradients) and an L1 proximal step, so only slots
 with repeated evidence get a weight.
 
-Fitting. A labelled sample of at most ``TRAIN_ROWS`` rows (a documented bound,
-picked by a hash) is dealt by hash into shards of about ``SHARD_ROWS`` rows;
-each shard runs ``EPOCHS`` passes of FTRL in its own task, and the non-zero
-weights of all shards are averaged. Only those few weights travel: they are what
-is broadcast to score the documents.
+Fitting. A labelled sample of at most about ``TRAIN_ROWS`` rows (a documented
+bound, picked by a hash) is learned by one learner in ``EPOCHS`` passes of FTRL, in
+one task: learners of parts would each miss the rarer words. Only its non-zero
+weights travel: they are what is broadcast to score the documents.
 """
 
 from __future__ import annotations
@@ -33,7 +32,6 @@ from riskspark.llm.quality import training_labels
 
 BITS = 22
 TRAIN_ROWS = 40_000
-SHARD_ROWS = 5_000
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 1.0
 STEM = 5
@@ -129,14 +127,13 @@ class ToxicityModel:
         return scored(text)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, shard_rows: int = SHARD_ROWS,
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
         epochs: int = EPOCHS) -> ToxicityModel:
     """Fit on ``labels`` (doc_id, y in 0/1) joined to ``docs``. Without labels the model scores 0 everywhere."""
     ready(docs.sparkSession)
     chosen = bounded_sample(labels, F.col("doc_id"), train_rows)
     # at most about train_rows pairs of numbers: sent to the texts, which stay where they are
     train = written(doc_texts(docs).join(F.broadcast(chosen), "doc_id"), "toxicity-train")
-    shards = max(1, -(-train.count() // shard_rows))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(at=[xxhash.xxh64_intdigest(str(d), 1) for d in pdf["doc_id"]]).sort_values(["at", "text"])
@@ -153,12 +150,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, shard_
                 model.learn(examples[k], y[k])
         w = model.weights(np.arange(2 ** BITS + 1))
         at = np.flatnonzero(w)
-        return pd.DataFrame({"slot": at.astype(np.int64), "w": w[at] / shards})
+        return pd.DataFrame({"slot": at.astype(np.int64), "w": w[at]})
 
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).alias("shard")
-    mixed = (train.groupBy(shard).applyInPandas(learn, "slot long, w double").groupBy("slot")
-             .agg(F.sum("w").alias("w")).orderBy("slot").toPandas())
-    return ToxicityModel(mixed["slot"].to_numpy(np.int64), mixed["w"].to_numpy(float), len(mixed) > 0)
+    learned = train.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "slot long, w double").orderBy("slot").toPandas()
+    return ToxicityModel(learned["slot"].to_numpy(np.int64), learned["w"].to_numpy(float), len(learned) > 0)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -72,6 +72,15 @@ def test_toxicity_is_right_on_held_out_rows(spark):
     assert (held["predicted"] == (held["score"] >= 0.7)).all()
 
 
+def test_more_labels_do_not_dilute_the_weights_of_rare_words(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"c{k}" for k in rng.integers(0, 50, 3)) + (f" t{i % 40}" if i < 480 else ""), int(i < 480))
+            for i in range(5400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    model = toxicity.fit(docs, docs.select("doc_id", "y"))
+    assert (model.score([f"c1 c2 t{k}" for k in range(40)]) >= 0.7).mean() > 0.9
+
+
 def test_toxicity_features_are_words_stems_pairs_and_skip_pairs():
     row, slot = toxicity.features(["one Two! three", "", "  two", "..."])
     assert Counter(row.tolist()) == {0: 3 + 0 + 2 + 1, 2: 1}
