@@ -2,8 +2,8 @@
 
 A text is cut into pieces by the tokenizer's pattern; each piece is encoded on its
 own. For every prefix of a piece there is exactly one token that ends its
-encoding: the token t among those that end there (found by one pass of a suffix
-automaton over the piece) for which the last token of the prefix before t and t
+encoding: the token t among those that end there (found by one pass of an Aho-Corasick
+automaton over the vocabulary, which supplies the suffix matches) for which the last token of the prefix before t and t
 are compatible, i.e. no merge across their border would have come first. The last
 tokens are stored per prefix and followed back from the end, which gives the ids
 that merging by rank gives, without any merging.
