@@ -86,4 +86,4 @@ def test_rewriting_stages_keep_rows_and_columns(docs):
 
 
 def test_registered_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
