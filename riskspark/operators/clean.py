@@ -15,7 +15,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators import encode, profile
+from riskspark.operators import encode, profile, wide_profile
 from riskspark.operators.conform import check_vocabularies, uncovered_columns
 from riskspark.operators.recode import apply_rules
 from riskspark.sources.spec import MEAN, FeatureSpec, Rule
@@ -101,10 +101,10 @@ class CleaningEstimator(Estimator):
     def __init__(self, specs: list[FeatureSpec], threshold: float = 0.1, max_categories: int = 10,
                  impute: str = "per_split", id_col: str = "id", label_col: str = "label",
                  split_col: str = "split", train_value: str = "train", check_vocab: bool = True,
-                 persist: bool = True, on_missing: str = "error", test_value: str = "test",
+                 persist: bool = False, on_missing: str = "error", test_value: str = "test",
                  max_vocabulary: int = 100_000):
         super().__init__()
-        self.persist = persist
+        self.persist = persist                # cache the input between the jobs of ``fit``; only for inputs that fit
         self.on_missing = on_missing          # "error" | "keep" for missing values left in continuous columns
         self.specs = specs
         self.threshold = threshold
@@ -116,12 +116,10 @@ class CleaningEstimator(Estimator):
         self.check_vocab = check_vocab
 
     def _fit(self, df: DataFrame) -> CleaningModel:
-        """Data-dependent decisions in a few aggregate jobs over one persisted
-        projection of the input: (1) missing ratios per split fused with a
-        HyperLogLog screen of the auto columns, (2) exact distinct counts and
-        vocabularies of the possibly-categorical auto columns, (3) one grouped
-        mean per level of chained mean rules, (4) vocabulary conformance,
-        (5) min / max for the constant-column test."""
+        """Data-dependent decisions in a few jobs over the input: (1) one scan of all columns into
+        mergeable sketches: missing shares, automatic kinds and vocabularies, (2) one grouped
+        mean per level of chained mean rules, (3) vocabulary conformance, (4) min / max
+        for the constant-column test. Jobs 2 to 4 read only the columns that are kept."""
         from pyspark import StorageLevel
         keys = [k for k in (self.id_col, self.split_col, self.label_col) if k in df.columns]
         features = [c for c in df.columns if c not in keys]
@@ -138,25 +136,23 @@ class CleaningEstimator(Estimator):
     def _decide(self, df: DataFrame, keys, features, spec_ids) -> CleaningModel:
         by_id = {s.id: s for s in self.specs}
         train = F.col(self.split_col) == F.lit(self.train_value)
-        auto_all = [c for c in features if c in by_id and by_id[c].type == "auto"]
-        sparse, approx = profile.sparse_and_screen(df, features, auto_all, self.threshold, self.split_col,
-                                                  [self.train_value, self.test_value], self.train_value)
-        kept = profile.kept_columns(sparse, features)
+        splits = [self.train_value, self.test_value]
+        found = wide_profile.decide(
+            wide_profile.wide_profile(df, features, self.split_col, max(wide_profile.K, 2 * self.max_categories)),
+            self.max_categories, self.train_value)
+        sparse = profile.sparse_rows(df.sparkSession, found, self.threshold, splits)
+        kept = [c for c in features if c not in found or found[c].kept(self.threshold, splits)]
         missing_spec = uncovered_columns(kept, self.specs)
         if missing_spec:
             raise ValueError(f"columns without a spec entry: {missing_spec}")
 
         kinds, vocabs, rules = {}, {}, {}
         order = [s.id for s in self.specs if s.id in kept]
-        auto_cols = [c for c in order if by_id[c].type == "auto"]
-        margin = 4 * self.max_categories + 8
-        auto = {c: "continuous" for c in auto_cols if approx[c][self.train_value] > margin}
-        close = [c for c in auto_cols if c not in auto]
-        if close:
-            for c, (n, vocab) in profile.exact_counts_and_vocab(df, close, train, approx, bound=self.max_vocabulary).items():
-                auto[c] = "categorical" if n <= self.max_categories else "continuous"
-                if auto[c] == "categorical":
-                    vocabs[c] = vocab
+        auto = {c: found[c].kind if c in found else "categorical" for c in order if by_id[c].type == "auto"}
+        for c in (c for c in auto if auto[c] == "categorical"):
+            # few training values but more than a sketch holds over all splits: the exact list
+            complete = c not in found or found[c].values is not None
+            vocabs[c] = (found[c].values if c in found else []) if complete else profile.vocabulary(df, c, self.max_vocabulary)
         for c in order:
             s = by_id[c]
             kind = auto.get(c, s.type)

@@ -63,22 +63,26 @@ def kept_columns(report: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in keep]
 
 
+def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value): every cell as text, missing (NaN too) as NULL.
+
+    A generated array, not an unpivot: the plan stays a narrow projection of the scan and
+    whatever groups the result combines on the map side."""
+    floating = _floating(df)
+    # 0.0 is added so that -0.0 is the same value
+    cells = [F.struct(F.lit(c).alias("feature"), F.when(~_missing(c, floating), F.col(c) + 0.0 if c in floating else F.col(c))
+                      .cast("string").alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*cells)).alias("c")).select("c.feature", "c.value")
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], train_filter=None) -> DataFrame:
     """B9 statistic: distinct values over the training rows, missing counted as
-    one value -> (column, n_distinct). Exact; ``count(DISTINCT)`` is planned as a
-    two-level aggregate keyed by (column, value), so a column with few values
-    does not put all rows in one task."""
+    one value -> (feature, n_distinct). Exact: one distinct of (feature, value) in long
+    form, deduplicated on the map side, then a count per feature; rows are never
+    multiplied by distinct sets, and no column gathers in one task before its values are distinct."""
     rows = df if train_filter is None else df.filter(train_filter)
-    parts = []
-    for chunk in _chunks(columns, 40):
-        agg = rows.agg(*[
-            (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias(c)
-            for c in chunk])
-        parts.append(agg.unpivot([], chunk, "feature", "n_distinct"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (long_values(rows, columns).distinct().groupBy("feature")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct")))
 
 
 def auto_kinds(df: DataFrame, columns: Sequence[str], max_categories: int = 10,
@@ -92,27 +96,22 @@ def auto_kinds(df: DataFrame, columns: Sequence[str], max_categories: int = 10,
 
 def value_sets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values over all splits, missing included, one row per
-    (feature, value). One unpivot to long form and ONE distinct (map-side
+    (feature, value). Long form and ONE distinct (map-side
     dedup, then a single shuffle) for all columns; values are rendered as
     strings so numeric and text columns share one output, NULL is missing."""
-    wide = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "feature", "value").distinct()
+    return long_values(df, columns).distinct()
 
 
-def vocabulary(df: DataFrame, column: str, bound: int = 1000) -> list:
+def vocabulary(df: DataFrame, column: str, bound: int = 100_000) -> list:
     """Sorted distinct values of one column over all rows (None last).
 
-    Only called for columns already typed categorical, so the list is small;
-    the collect is guarded by ``bound`` and a larger value set is an error
-    (it could not be one-hot encoded), never a silent cut."""
+    The list becomes one column per value, so ``bound`` (as ``CleaningEstimator.max_vocabulary``) is the
+    width that an encoded column may have; a larger value set is an error, never a silent cut."""
     vals = [r[0] for r in df.select(column).distinct().limit(bound + 1).collect()]
     if len(vals) > bound:
         raise ValueError(f"column {column!r} has more than {bound} distinct values; not categorical")
     present = [v for v in vals if v is not None]
-    out = sorted(present)
-    if len(present) != len(vals):
-        out.append(None)
-    return out
+    return sorted(present) + ([None] if len(present) != len(vals) else [])
 
 
 def constant_report(df: DataFrame, columns: Sequence[str], train_filter=None) -> DataFrame:
@@ -148,51 +147,7 @@ def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def sparse_and_screen(df: DataFrame, columns: Sequence[str], screen: Sequence[str], threshold: float = 0.1,
-                      by: str = "split", splits: Sequence[str] = ("train", "test"), train_value: str = "train"):
-    """B2 decision and a HyperLogLog distinct estimate of ``screen`` columns,
-    from ONE grouped aggregate. Returns (report DataFrame built from the
-    collected per-split rows, {column: {split: estimate, 'all': estimate}})."""
-    floating = _floating(df)
-    aggs = [F.avg(_missing(c, floating).cast("double")).alias(f"m__{c}") for c in columns]
-    aggs += [F.approx_count_distinct(c, 0.01).alias(f"a__{c}") for c in screen]
-    rows = {r[by]: r for r in df.groupBy(by).agg(*aggs).collect()}
-    out = []
-    for c in columns:
-        ratios = [rows[s][f"m__{c}"] if s in rows else None for s in splits]
-        kept = all(r is None or r <= threshold for r in ratios)
-        out.append((c, *[float(r) if r is not None else None for r in ratios], kept))
-    spark = df.sparkSession
-    schema = "feature string, " + ", ".join(f"{s}_ratio double" for s in splits) + ", kept boolean"
-    report = spark.createDataFrame(out, schema)
-    approx = {}
-    for c in screen:
-        per = {s: (rows[s][f"a__{c}"] if s in rows else 0) for s in rows}
-        per.setdefault(train_value, 0)
-        per["all"] = sum(rows[s][f"a__{c}"] for s in rows)      # upper bound of the union
-        approx[c] = per
-    return report, approx
-
-
-def exact_counts_and_vocab(df: DataFrame, columns: Sequence[str], train_filter, approx: dict,
-                           bound: int = 1000) -> dict:
-    """B9 + B10 for possibly-categorical columns in one aggregate: exact distinct
-    count over training rows (missing counted once) and the sorted value set over
-    all rows (missing last). The set is only collected when the HLL estimate
-    bounds it, so no unbounded list is built."""
-    for c in columns:
-        if approx[c]["all"] > 2 * bound:
-            raise ValueError(f"column {c!r} has too many distinct values to be categorical")
-    aggs = []
-    for c in columns:
-        col = F.col(c)
-        aggs += [(F.count_distinct(F.when(train_filter, col))
-                  + F.max(F.when(train_filter, col.isNull().cast("int")).otherwise(0))).alias(f"n__{c}"),
-                 F.array_sort(F.collect_set(col)).alias(f"v__{c}"),
-                 F.max(col.isNull().cast("int")).alias(f"z__{c}")]
-    r = df.agg(*aggs).first()
-    out = {}
-    for c in columns:
-        vocab = list(r[f"v__{c}"]) + ([None] if r[f"z__{c}"] else [])
-        out[c] = (int(r[f"n__{c}"] or 0), vocab)
-    return out
+def sparse_rows(spark, decisions: dict, threshold: float, splits: Sequence[str]) -> DataFrame:
+    """The B2 table (feature, <split>_ratio, kept) of ``wide_profile.decide``'s decisions."""
+    rows = [(d.name, *[d.missing.get(s) for s in splits], d.kept(threshold, splits)) for d in decisions.values()]
+    return spark.createDataFrame(rows, "feature string, " + ", ".join(f"{s}_ratio double" for s in splits) + ", kept boolean")

@@ -97,6 +97,24 @@ def auto_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return profile.value_sets(order_risk(spark, sf), ORDER_CATEGORIES).select("feature", "value")
 
 
+def wide_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """B2, B9, B10 of 321 columns from one scan: missing shares, decision, kind, and for columns of ten
+    training values at most their number and the values of all splits."""
+    from riskspark.operators import wide_profile as wide
+    from riskspark.sources.tables import wide_columns, wide_risk
+    found = wide.decide(wide.wide_profile(wide_risk(spark, sf), wide_columns()))
+    rows = []
+    for d in found.values():
+        few = d.kind == "categorical"
+        values = ",".join("-" if v is None else str(int(v)) for v in d.values) if few else None
+        rows.append((d.name, d.missing["train"], d.missing["test"], int(d.kept(0.1, ("train", "test"))), d.kind,
+                     d.n_distinct if few else None, values))
+    out = spark.createDataFrame(rows, "feature string, train_ratio double, test_ratio double, kept bigint, kind string, "
+                                      "n_distinct bigint, vocabulary string")
+    return out.select("feature", r6("train_ratio").alias("train_ratio"), r6("test_ratio").alias("test_ratio"), "kept", "kind",
+                      "n_distinct", "vocabulary")
+
+
 # ------------------------------------------------------------------ B13-B17, B19
 
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
@@ -744,7 +762,7 @@ QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
     "recode_chain": recode_chain, "range_bin": range_bin, "impute_mean_per_split": impute_mean_per_split,
-    "auto_type": auto_type, "auto_vocab": auto_vocab, "one_hot": one_hot, "drop_constant": drop_constant,
+    "auto_type": auto_type, "auto_vocab": auto_vocab, "wide_profile": wide_profile, "one_hot": one_hot, "drop_constant": drop_constant,
     "poly_expand": poly_expand, "add_intercept": add_intercept, "stride_sample": stride_sample,
     "holdout_split": holdout_split, "kfold_assign": kfold_assign, "exact_holdout": exact_holdout,
     "undersample": undersample, "scale_fit": scale_fit, "scale_apply_kfold": scale_apply_kfold,

@@ -125,6 +125,36 @@ def auto_vocab() -> str:
     return sql(body, ("order_risk",))
 
 
+def wide_profile() -> str:
+    """All 321 columns in long form: the cell of column j is a formula in j."""
+    split = f"CASE WHEN {hash32_sql('split', 'l_orderkey', 'l_linenumber')} < {fraction_cut(0.2)} THEN 'test' ELSE 'train' END"
+    return f"""
+WITH li AS (SELECT {split} AS split, l_orderkey AS o, CAST(l_linenumber AS BIGINT) AS n, l_partkey AS p, l_quantity AS q FROM lineitem),
+cells AS (
+  SELECT split, j, CASE WHEN (7 * o + 13 * n + p * (j % 11 + 1) + 29 * j) % 1000
+                             < CASE WHEN j < 182 THEN 150 + j * 17 % 700 ELSE j * 7 % 90 END THEN NULL
+                        WHEN (j >= 182 AND j < 277) OR (j < 182 AND j % 2 = 0)
+                             THEN CAST(((2 * j + 1) * o + 31 * n + (j + 3) * p) % 1000 % (2 + j % 8) AS DOUBLE)
+                        ELSE q + (((2 * j + 1) * o + 31 * n + (j + 3) * p) % 1000) / 100.0::DOUBLE END AS v
+  FROM li, range(321) AS r(j)),
+uniq AS (SELECT j, split, v, count(*) AS c FROM cells GROUP BY ALL),
+per AS (
+  SELECT j, sum(c) FILTER (split = 'train' AND v IS NULL) AS gone_train, sum(c) FILTER (split = 'train') AS n_train,
+         sum(c) FILTER (split = 'test' AND v IS NULL) AS gone_test, sum(c) FILTER (split = 'test') AS n_test,
+         count(*) FILTER (split = 'train') AS n_distinct,
+         string_agg(DISTINCT CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY CAST(CAST(v AS BIGINT) AS VARCHAR)) AS present,
+         bool_or(v IS NULL) AS any_gone
+  FROM uniq GROUP BY j),
+shares AS (SELECT *, coalesce(gone_train, 0) / n_train AS a, coalesce(gone_test, 0) / n_test AS b FROM per)
+SELECT 'f' || j AS feature, {r6('a')} AS train_ratio, {r6('b')} AS test_ratio,
+       CAST(CASE WHEN a <= 0.1 AND b <= 0.1 THEN 1 ELSE 0 END AS BIGINT) AS kept,
+       CASE WHEN n_distinct <= 10 THEN 'categorical' ELSE 'continuous' END AS kind,
+       CAST(CASE WHEN n_distinct <= 10 THEN n_distinct END AS BIGINT) AS n_distinct,
+       CASE WHEN n_distinct <= 10 THEN present || CASE WHEN any_gone THEN ',-' ELSE '' END END AS vocabulary
+FROM shares
+"""
+
+
 def _onehot_sql(col: str, vocab, names) -> list[str]:
     out = []
     for v, n in zip(vocab, names):
@@ -560,7 +590,7 @@ ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
     "recode_chain": recode_chain, "range_bin": range_bin, "impute_mean_per_split": impute_mean_per_split,
-    "auto_type": auto_type, "auto_vocab": auto_vocab, "one_hot": one_hot, "drop_constant": drop_constant,
+    "auto_type": auto_type, "auto_vocab": auto_vocab, "wide_profile": wide_profile, "one_hot": one_hot, "drop_constant": drop_constant,
     "poly_expand": poly_expand, "add_intercept": add_intercept, "stride_sample": stride_sample,
     "holdout_split": holdout_split, "kfold_assign": kfold_assign, "exact_holdout": exact_holdout,
     "undersample": undersample, "scale_fit": scale_fit, "scale_apply_kfold": scale_apply_kfold,
