@@ -95,6 +95,17 @@ class CleaningModel(Model):
         return mapped.select(*keys, *exprs)
 
 
+    def transform_coded(self, df: DataFrame) -> DataFrame:
+        """The cleaned rows with continuous columns and ``codes`` (one INT per categorical column: the position of the
+        row's value in ``layout.with_intercept()``, -1 for none) instead of one-hot columns."""
+        from riskspark.operators.coded import code_columns
+        keys = [c for c in (self.id_col, self.split_col, self.label_col) if c in df.columns]
+        mapped, _ = apply_rules(df.select(*keys, *self.kept), self.rules, self.split_col, self.means)
+        values = [F.col(fc.source).cast("double").alias(fc.name) for fc in self.layout.columns if fc.kind == "continuous"]
+        codes = code_columns(self.layout.with_intercept())
+        return mapped.select(*keys, *values, (F.array(*codes) if codes else F.array().cast("array<int>")).alias("codes"))
+
+
 class CleaningEstimator(Estimator):
     """B19 as a ``pyspark.ml`` estimator (usable as a Pipeline stage)."""
 

@@ -21,8 +21,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chunked, is_blocks, iter_xyk,
-                                         pack_blocks, partial_batch, reduce_partials, unchunk)
+from riskspark.operators.moments import (PARTIAL_SCHEMA, chunked, is_blocks, iter_xyk, pack_blocks, partial_batch,
+                                         reduce_partials, unchunk)
+from riskspark.sources.steps import StepTable, run_name
 
 LOSSES = ("mse", "logistic")
 BALANCES = (None, "residual_sign", "label", "sigmoid_scale")
@@ -129,7 +130,7 @@ def _codes(tasks):
 def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ratios: np.ndarray,
                   x_col: str = "x", y_col: str = "y", fold_col: str = "fold", n_parts: int | None = None):
     """One job: per task, sum over its training rows of (X^T R, sum R, loss, count).
-    ``n_parts`` (partition count of an already bounded ``df``) skips re-planning."""
+    ``n_parts`` (partition count of ``df``, where it is known) saves a shuffle of few partial vectors."""
     A, C = _affine(tasks, d)
     V, b = effective_weights(W, A, C)
     val = np.array([t.val_fold for t in tasks])
@@ -154,10 +155,7 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
     from riskspark.session import ship_package
     ship_package(df.sparkSession)
     src = df if is_blocks(df) else df.select(x_col, y_col, fold_col)
-    if n_parts is None:
-        src = bounded_partitions(src)
-    parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
-    vec = unchunk(reduce_partials(parts, d * M + 3 * M, n_parts))
+    vec = unchunk(reduce_partials(src.mapInArrow(kernel, PARTIAL_SCHEMA), n_parts))
     G = vec[:d * M].reshape(d, M)
     S, LS, N = vec[d * M:d * M + M], vec[d * M + M:d * M + 2 * M], vec[d * M + 2 * M:]
     return G, S, LS, N
@@ -165,9 +163,13 @@ def gradient_pass(df: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, r
 
 def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str = "x", y_col: str = "y",
            fold_col: str = "fold", ratios: np.ndarray | None = None, initial: np.ndarray | None = None,
-           mask: np.ndarray | None = None):
+           mask: np.ndarray | None = None, state: StepTable | None = None):
     """Run ``steps`` full-batch GD steps for all tasks at once.
 
+    ``state``: a table of weights by step. The run goes on from the last step that the table has of a
+    run with the same tasks and start, and stores its own weights every ``state.every``
+    steps and at the end, so that no more than that is done twice after a lost driver.
+
     ``mask`` (d x M, 0/1) restricts a task to a subset of the features (its
     other weights stay 0), so nested feature sets share the same passes.
     Returns (W [d x M] in scaled coordinates, final training loss [M] without
@@ -176,17 +178,20 @@ def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str
     if ratios is None:
         ratios = class_ratios(df, tasks, fold_col, y_col)
     packed = None
-    if not is_blocks(df) and steps >= 3:
+    if not is_blocks(df):
         from pyspark import StorageLevel
-        packed = pack_blocks(bounded_partitions(df), x_col, d, y_col, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+        packed = pack_blocks(df, x_col, d, y_col, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
         df = packed
-    df = bounded_partitions(df)
     n_parts = df.rdd.getNumPartitions()
     A, C = _affine(tasks, d)
     W = np.zeros((d, M)) if initial is None else np.array(initial, dtype=float)
+    first, run = 0, ""
+    if state is not None:
+        run = run_name(d, tasks, W, ratios, mask)
+        first, W = state.last(run, steps) or (0, W)
     gam = np.array([t.gamma for t in tasks])
     lam = np.array([t.lam for t in tasks])
-    for _ in range(steps):
+    for step in range(first, steps):
         G, S, _, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col, n_parts)
         with np.errstate(invalid="ignore", divide="ignore"):
             grad = (A * G + C * S[None, :]) / N[None, :]
@@ -194,6 +199,8 @@ def fit_gd(df: DataFrame, d: int, tasks: Sequence[Task], steps: int, x_col: str
         if mask is not None:
             grad = grad * mask
         W = W - gam[None, :] * grad
+        if state is not None and ((step + 1) % state.every == 0 or step + 1 == steps):
+            state.save(run, step + 1, W)
     _, _, LS, N = gradient_pass(df, d, tasks, W, ratios, x_col, y_col, fold_col, n_parts)
     if packed is not None:
         packed.unpersist()

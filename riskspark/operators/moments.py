@@ -5,6 +5,9 @@ aggregates grouped by fold; the training statistics of fold i (all rows not in
 fold i) are merged on the driver with the parallel-variance formula -- k x D
 numbers, independent of row count.
 
+Sums of partial vectors have one order, whatever the number of partitions: within
+FAN groups of tasks by task number, then over the groups.
+
 The Gram matrix sum(z z^T), z = [x, y], is computed per partition with NumPy
 over Arrow batches (BLAS instead of D^2 SQL aggregates) and reduced on the
 cluster, split by (key, row of the matrix), so no task or driver ever holds
@@ -21,10 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Collect per-partition partial vectors directly while their total stays below
-# this many bytes; above it, reduce them on the cluster.
-DIRECT_COLLECT_BYTES = 64 << 20
-
 
 def fold_moments(df: DataFrame, cols: Sequence[str], fold_col: str = "fold") -> dict:
     """{fold: (n[D], mean[D], m2[D])} with NULLs skipped per column."""
@@ -111,55 +110,54 @@ def unchunk(reduced: dict, key: int = 0) -> np.ndarray:
     return np.concatenate([v for _, v in parts])
 
 
-def _sum_group(pdf):
+#: Groups of tasks whose partial vectors are summed before all groups are.
+FAN = 64
+
+
+def _ordered_sum(pdf):
+    """Sum of one group's vectors in order of task; the result stands for its group."""
     import pandas as pd
-    total = np.sum(np.stack(pdf["vals"].to_numpy()), axis=0)
-    return pd.DataFrame({"key": [int(pdf["key"].iloc[0])], "i": [int(pdf["i"].iloc[0])],
-                         "vals": [total]})
+    pdf = pdf.sort_values("task")
+    total = pdf["vals"].iloc[0].copy()
+    for v in pdf["vals"].iloc[1:]:
+        total += v
+    return pd.DataFrame({"key": [int(pdf["key"].iloc[0])], "i": [int(pdf["i"].iloc[0])], "vals": [total],
+                         "task": [int(pdf["task"].iloc[0]) % FAN]})
+
+
+_TASK_SCHEMA = T.StructType([*PARTIAL_SCHEMA.fields, T.StructField("task", T.IntegerType())])
+
 
+def _group_sums(partials: DataFrame) -> DataFrame:
+    """Partial vectors summed on the cluster within FAN groups of tasks, by (key, i)."""
+    return partials.groupBy("key", "i", F.pmod("task", F.lit(FAN))).applyInPandas(_ordered_sum, schema=_TASK_SCHEMA)
 
-def reduce_partials(partials: DataFrame, values_per_partition: int, n_parts: int | None = None) -> dict:
+
+def reduce_partials(partials: DataFrame, n_parts: int | None = None) -> dict:
     """Sum the partial vectors by (key, i) -> {(key, i): np.ndarray}.
 
-    If the partials are provably small (partitions x values x 8 bytes under
-    DIRECT_COLLECT_BYTES) they are summed on the driver; otherwise each
-    (key, i) group -- one row per partition, and partitions are bounded by
-    ``bounded_partitions`` -- is summed in its own task on the cluster first."""
-    if n_parts is None:
-        n_parts = partials.rdd.getNumPartitions()
-    if n_parts * max(values_per_partition, 1) * 8 <= DIRECT_COLLECT_BYTES:
-        rows = partials.collect()
-    else:
-        rows = partials.groupBy("key", "i").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA).collect()
+    FAN group sums per (key, i) at most reach the driver, and it adds them in order. With at
+    most FAN partitions a group is one partition's vector already, so nothing is shuffled and the
+    result is the same to the last bit; ``n_parts`` unknown: groups are summed on the cluster."""
+    rows = partials.withColumn("task", F.spark_partition_id())
+    if n_parts is None or n_parts > FAN:
+        rows = _group_sums(rows)
     out: dict = {}
-    for r in rows:
+    for r in sorted(rows.collect(), key=lambda r: r["task"]):
         k = (r["key"], r["i"])
         v = np.asarray(r["vals"], dtype=float)
         out[k] = out[k] + v if k in out else v
     return out
 
 
-TREE_FAN = 64
-
-
 def tree_sum(partials: DataFrame) -> dict:
-    """``reduce_partials`` for any number of partitions, in two steps on the cluster.
-
-    Partials of one (key, i) are first summed in ``TREE_FAN`` groups by the partition they
-    come from, then these sums; only one vector per (key, i) reaches the driver. Nothing
-    asks how many partitions there are, so the plan under ``partials`` runs once."""
-    near = partials.withColumn("b", F.pmod(F.spark_partition_id(), F.lit(TREE_FAN)))
-    sums = near.groupBy("key", "i", "b").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA)
-    sums = sums.groupBy("key", "i").applyInPandas(_sum_group, schema=PARTIAL_SCHEMA)
-    return {(r["key"], r["i"]): np.asarray(r["vals"], dtype=float) for r in sums.collect()}
-
+    """``reduce_partials`` with the last step on the cluster too, for wide results such as Gram matrices.
 
-def bounded_partitions(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Cap the partition count at ``per_core`` x the cluster's cores without a
-    shuffle (coalesce), so the number of per-partition partials -- and with it
-    every reduce group -- is bounded by the cluster size, not the input size."""
-    cap = max(1, df.sparkSession.sparkContext.defaultParallelism * per_core)
-    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+    Only one vector per (key, i) reaches the driver. Nothing asks how many partitions
+    there are, so the plan under ``partials`` runs once."""
+    sums = _group_sums(partials.withColumn("task", F.spark_partition_id()))
+    sums = sums.groupBy("key", "i").applyInPandas(_ordered_sum, schema=_TASK_SCHEMA)
+    return {(r["key"], r["i"]): np.asarray(r["vals"], dtype=float) for r in sums.collect()}
 
 
 BLOCK_SCHEMA = T.StructType([
@@ -221,7 +219,7 @@ def is_blocks(df: DataFrame) -> bool:
 
 
 def iter_xyk(batches, d: int, x_col: str = "x", y_col: str = "y", key_col: str | None = "fold"):
-    """(X, y, key) NumPy triples from either row batches or instance blocks."""
+    """(X, y, key) triples from row batches or instance blocks; X is a NumPy matrix, or a CodedMatrix of coded blocks."""
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -229,8 +227,13 @@ def iter_xyk(batches, d: int, x_col: str = "x", y_col: str = "y", key_col: str |
         if "xb" in names:
             ns = b.column(0).to_pylist()
             xb, yb, kb = b.column(1), b.column(2), b.column(3)
+            coded = "cb" in names
             for i, n in enumerate(ns):
-                X = np.frombuffer(xb[i].as_buffer(), dtype=np.float64).reshape(n, d)
+                if coded:
+                    from riskspark.operators.coded import read_block
+                    X = read_block(xb[i].as_buffer(), b.column(4)[i].as_buffer(), b.column(5)[i].as_buffer(), n, d)
+                else:
+                    X = np.frombuffer(xb[i].as_buffer(), dtype=np.float64).reshape(n, d)
                 y = np.frombuffer(yb[i].as_buffer(), dtype=np.float64)
                 k = np.frombuffer(kb[i].as_buffer(), dtype=np.int64)
                 yield X, y, k
@@ -268,10 +271,14 @@ def gram_by_key(df: DataFrame, x_col: str, y_col: str, d: int, key_col: str | No
     def kernel(batches):
         acc: dict = {}
         for X, y, keys in iter_xyk(batches, d, x_col, y_col, key_col):
-            Z = np.column_stack([(X - sh) / sc, y])
+            coded = not isinstance(X, np.ndarray)
+            Z = None if coded else np.column_stack([(X - sh) / sc, y])
             for kv in np.unique(keys):
-                Zk = Z[keys == kv]
-                g = Zk.T @ Zk
+                if coded:
+                    g = X[keys == kv].gram(y[keys == kv], sh, sc)
+                else:
+                    Zk = Z[keys == kv]
+                    g = Zk.T @ Zk
                 acc[int(kv)] = acc[int(kv)] + g if int(kv) in acc else g
         items = {}
         for kv, g in acc.items():

@@ -4,7 +4,7 @@ A split is a column, not a copy. ``hash`` mode needs no shuffle at all; the
 ``exact`` mode reproduces "first int(N * ratio) rows of a permutation" with
 two histogram jobs over the 32-bit key (65,536 buckets each) plus a sorted
 ``limit`` over the few rows sharing the boundary key -- no global window and
-no single-task sort.
+no single-task sort. Where every row needs its rank, it is computed on the keys alone.
 """
 
 from __future__ import annotations
@@ -124,35 +124,36 @@ def undersample(df: DataFrame, label: str = "label", seed="balance", key: str =
     return keyed.filter(cond).drop("__h")
 
 
-def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = None) -> DataFrame:
-    """0-based position of every row in the permutation ordered by (hash, key),
-    without a global window: range-partition by (hash, key), sort within
-    partitions (one shuffle) and write the rows with their place (partition and
-    row number) to the shared folder; then count rows per partition (P numbers)
-    and add the partition's running offset. Adds BIGINT ``rank``; needs unique keys.
-
-    The place is a stored column, so whatever is done to the result later (coalesce,
-    union, more partitions) cannot change a rank, and nothing stays cached."""
-    import uuid
+def key_ranks(df: DataFrame, seed, key: str = "id", partitions: int | None = None) -> DataFrame:
+    """(key, rank): 0-based place of every key in the permutation ordered by (hash, key); needs unique keys.
 
-    from riskspark.session import scratch_path
+    Works on (hash, key) alone. The hash's upper 16 bits cut the keys into ranges whose counts
+    (65,536 numbers, whatever the input) give every range its offset; places within a range
+    come from a window over it. Hashes are spread evenly over the ranges, so none is hot, and
+    nothing depends on how the rows are partitioned, now or later."""
+    from pyspark.sql.window import Window
 
     spark = df.sparkSession
-    n = partitions or max(1, spark.sparkContext.defaultParallelism)
-    path = scratch_path(spark, f"rank-{uuid.uuid4().hex}")
-    (df.withColumn("__h", hash32(seed, key)).repartitionByRange(n, "__h", key).sortWithinPartitions("__h", key)
-     .drop("__h").withColumn("__place", F.monotonically_increasing_id()).write.parquet(path))
-    placed = spark.read.parquet(path)
-    part = F.shiftright("__place", 33)  # partition above, row number in the partition below 2^33
-    counts = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect())
-    offset = F.lit(0).cast("bigint")
-    if counts:
-        running, found = 0, []
-        for p, c in counts:
-            found += [F.lit(p).cast("bigint"), F.lit(running).cast("bigint")]
-            running += c
-        offset = F.element_at(F.create_map(*found), part)
-    return placed.withColumn("rank", offset + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
+    keys = df.select(hash32(seed, key).alias("__h"), key).withColumn("__range", F.shiftright("__h", 16))
+    offsets, running = [], 0
+    for part, n in sorted((r[0], r[1]) for r in keys.groupBy("__range").count().collect()):
+        offsets.append((part, running))
+        running += n
+    starts = F.broadcast(spark.createDataFrame(offsets, "__range long, __start long"))
+    if partitions:
+        keys = keys.repartition(partitions, "__range")
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__h", key)) - 1
+    return (keys.withColumn("__place", place).join(starts, "__range")
+            .select(key, (F.col("__start") + F.col("__place")).alias("rank")))
+
+
+def exact_rank(df: DataFrame, seed, key: str = "id", partitions: int | None = None) -> DataFrame:
+    """``df`` with BIGINT ``rank``, the 0-based place in the permutation ordered by (hash, key); needs unique keys.
+
+    Ranks are computed on the keys (see ``key_ranks``) and meet the rows in one join on the key,
+    planned by size like any other; rows are never sorted into ranges. A null key is a key like any other."""
+    ranks = key_ranks(df, seed, key, partitions).withColumnRenamed(key, "__key")
+    return df.join(ranks, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def exact_folds(df: DataFrame, k: int = 5, seed=1, key: str = "id", remainder: str = "train_only") -> DataFrame:
@@ -163,14 +164,22 @@ def exact_folds(df: DataFrame, k: int = 5, seed=1, key: str = "id", remainder: s
     rows than folds all rows are left over."""
     if k < 1 or remainder not in ("train_only", "last"):
         raise ValueError("need k >= 1 and remainder 'train_only' or 'last'")
-    ranked = exact_rank(df, fold_seed(seed), key)
-    size = ranked.count() // k
-    fold = F.least(F.floor(F.col("rank") / size), F.lit(k if remainder == "train_only" else k - 1)) if size else F.lit(
-        k if remainder == "train_only" else k - 1)
-    return ranked.withColumn("fold", fold.cast("int")).drop("rank")
+    last = k if remainder == "train_only" else k - 1
+    keys = _narrow_keys(df, fold_seed(seed), key)
+    try:
+        size = keys.count() // k
+        # the ends of all folds but the last one's remainder: k bounds, no row moves
+        bounds = [rank_boundary(keys, size * (i + 1), "__h", key) for i in range(k)] if size else []
+    finally:
+        keys.unpersist()
+    fold = F.lit(last)
+    for i in reversed(range(len(bounds))):
+        fold = F.when(boundary_flag(bounds[i], "__h", key), F.lit(i)).otherwise(fold)
+    return df.withColumn("__h", hash32(fold_seed(seed), key)).withColumn("fold", fold.cast("int")).drop("__h")
 
 
 def exact_stride_sample(df: DataFrame, every: int = 50, seed="sample", key: str = "id") -> DataFrame:
     """A3 exact mode: every ``every``-th row (positions 0, every, 2*every, ...) of
     the seeded permutation -- the reference's [::50] on a shuffled order."""
-    return exact_rank(df, seed, key).filter(F.col("rank") % every == 0).drop("rank")
+    picked = key_ranks(df, seed, key).filter(F.col("rank") % every == 0).select(F.col(key).alias("__key"))
+    return df.join(picked, F.col(key).eqNullSafe(F.col("__key")), "left_semi")

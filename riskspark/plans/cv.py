@@ -22,26 +22,27 @@ from pyspark.sql import functions as F
 from riskspark.functions.columns import threshold_grid
 from riskspark.operators import linear
 from riskspark.operators.clean import FeatureLayout
+from riskspark.operators.coded import pack_coded
 from riskspark.operators.encode import assemble
 from riskspark.operators.evaluate import best_threshold_from_hist, metrics_np
 from riskspark.operators.gd import Task, _codes, _row_terms, _affine, class_ratios, effective_weights, fit_gd
-from riskspark.operators.moments import (PARTIAL_SCHEMA, bounded_partitions, chunked, is_blocks, iter_xyk,
+from riskspark.operators.moments import (BLOCK_BYTES, PARTIAL_SCHEMA, chunked, is_blocks, iter_xyk,
                                          pack_blocks, unchunk,
                                          fold_moments,
                                          global_scaler, partial_batch, reduce_partials, training_scalers)
 from riskspark.operators.split import fold_column, holdout_column
 from riskspark.sources.snapshot import stored_rows
+from riskspark.sources.steps import StepTable
 
 GRAM_KINDS = ("least_squares", "ridge")
-# rows per task for the repeated passes when the input has few partitions (local
-# measurement at 96k rows: 4 partitions 0.18 s / step, 1 partition 0.26 s / step)
-ROWS_PER_TASK = 25_000
+QR_KINDS = ("least_squares_qr", "ridge_qr")
 
 
 @dataclass
 class ModelConfig:
     """One model family + hyper-parameters (the reference's model classes, F3-F7)."""
-    kind: str = "logistic"        # least_squares | mse_gd | ridge | logistic | reg_logistic
+    kind: str = "logistic"        # least_squares | mse_gd | ridge | logistic | reg_logistic, and
+    #                               least_squares_qr | ridge_qr: the same models by QR, for ill-conditioned features
     max_iters: int = 200
     gamma: float = 0.7
     lam: float = 0.0
@@ -60,9 +61,13 @@ class ModelConfig:
     def uses_gram(self) -> bool:
         return self.kind in GRAM_KINDS or (self.kind == "mse_gd" and not self.balance)
 
+    @property
+    def uses_qr(self) -> bool:
+        return self.kind in QR_KINDS
+
     @property
     def penalty_in_score(self) -> bool:
-        return self.kind in ("ridge", "reg_logistic")
+        return self.kind in ("ridge", "ridge_qr", "reg_logistic")
 
 
 def scaler_affine(d: int, cont_pos: Sequence[int], mean: np.ndarray, std: np.ndarray):
@@ -83,13 +88,15 @@ def prepare(df: DataFrame, layout: FeatureLayout, k: int = 5, seed=1, holdout_ra
             train_value: str = "train") -> DataFrame:
     """Training rows with (id, y, fold, holdout, <layout columns>, x).
 
+    A frame of ``CleaningModel.transform_coded`` keeps its codes; x then holds the continuous positions alone.
     Rows of the test split are excluded; ``holdout`` marks the constructor's
     20 % local test part (seed fixed at 1 as in the reference, SURVEY Q9)."""
     rows = df if split_col is None else df.filter(F.col(split_col) == F.lit(train_value))
-    names = layout.names
+    columns = [fc for fc in layout.columns if fc.kind != "onehot"] if "codes" in df.columns else layout.columns
+    names = [fc.name for fc in columns]
     base = [F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")]
     feats = [F.lit(1.0).alias(n) if fc.kind == "intercept" else F.col(n).cast("double").alias(n)
-             for n, fc in zip(names, layout.columns)]
+             for n, fc in zip(names, columns)] + ([F.col("codes")] if "codes" in df.columns else [])
     out = rows.select(*base, *feats)
     out = out.withColumn("holdout", holdout_column(holdout_ratio, holdout_seed, "id"))
     out = out.withColumn("fold", F.when(F.col("holdout"), F.lit(-1)).otherwise(fold_column(k, seed, "id")))
@@ -144,7 +151,7 @@ class CVResult:
 
 
 def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ratios: np.ndarray,
-               fixed: Sequence[float], n_thr: int):
+               fixed: Sequence[float], n_thr: int, n_parts: int | None = None):
     """Per task: training loss (as trained), plain validation loss, validation
     histogram over the threshold grid, confusion counts at a fixed threshold."""
     A, C = _affine(tasks, d)
@@ -186,29 +193,51 @@ def _eval_pass(data: DataFrame, d: int, tasks: Sequence[Task], W: np.ndarray, ra
     from riskspark.session import ship_package
     ship_package(data.sparkSession)
     src = data if is_blocks(data) else data.select("x", "y", "fold")
-    parts = src.mapInArrow(kernel, PARTIAL_SCHEMA)
-    return unchunk(reduce_partials(parts, M * width)).reshape(M, width), nb
+    return unchunk(reduce_partials(src.mapInArrow(kernel, PARTIAL_SCHEMA), n_parts)).reshape(M, width), nb
+
+
+def _kept_rows(rows: DataFrame, path: str, state: StepTable) -> DataFrame:
+    """``rows`` written to ``path`` once; a mark in the step table says that they are all there."""
+    spark = rows.sparkSession
+    if state.last("train rows", 0) is None:
+        rows.write.mode("overwrite").parquet(path)
+        state.save("train rows", 0, np.zeros((1, 1)))
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[ModelConfig], k: int = 5,
                    search_thresholds: int = 0, threshold: float = 0.0,
-                   folds: Sequence[int] | None = None) -> CVResult:
+                   folds: Sequence[int] | None = None, resume: str | None = None, save_every: int = 25) -> CVResult:
     """G3 for several model configurations at once on ``prepare``d data
     (rows with fold == -1 -- the holdout -- are never used). ``folds`` lists
     the validation folds to run (default 0..k-1; ``[-1]`` trains on all rows).
     The training rows are written once, as (y, fold, x) in the shared checkpoint folder,
     and read from there: joins and cleaning run in their own tasks and only once, whatever
-    is lost later; asking the snapshot for its partitions starts no job."""
+    is lost later; asking the snapshot for its partitions starts no job. Passes work on
+    the snapshot's own partitions, however many there are.
+
+    ``resume`` names a folder of this run: its training rows and, every ``save_every``
+    steps, its weights are kept there, and a call with the same arguments and folder goes on from
+    the last stored step (the same rows in the same partitions, so the same result to the last bit)."""
     d = len(layout.names)
     if layout.columns[0].kind != "intercept":
         raise ValueError("cross_validate needs the intercept at position 0 (add_intercept)")
     cont_pos = layout.continuous_positions()
     cont = [layout.names[p] for p in cont_pos]
-    train = bounded_partitions(stored_rows(data.filter(F.col("fold") >= 0).select("y", "fold", "x"), "train"))
+    coded = "codes" in data.columns
+    rows = data.filter(F.col("fold") >= 0).select("y", "fold", "x", *(["codes"] if coded else []))
+    state = None
+    if resume is None:
+        train = stored_rows(rows, "train")
+    else:
+        state = StepTable(data.sparkSession, f"{resume.rstrip('/')}/steps", save_every)
+        train = _kept_rows(rows, f"{resume.rstrip('/')}/train", state)
     blocks = None
     fold_ids = list(range(k)) if folds is None else list(folds)
     try:
-        values = train.select("fold", *[F.col("x")[p].alias(n) for p, n in zip(cont_pos, cont)])
+        # in coded rows, x holds the positions that are not one-hot
+        place = {p: i for i, p in enumerate(p for p, fc in enumerate(layout.columns) if not coded or fc.kind != "onehot")}
+        values = train.select("fold", *[F.col("x")[place[p]].alias(n) for p, n in zip(cont_pos, cont)])
         mom = fold_moments(values, cont, "fold") if cont else {}
         scalers = (training_scalers(mom, fold_ids) if cont
                    else {i: (np.zeros(0), np.zeros(0)) for i in fold_ids})
@@ -223,23 +252,38 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         W = np.zeros((d, M))
         train_loss = np.full(M, np.nan)
         ratios = class_ratios(train, tasks, "fold", "y") if any(t.balance for t in tasks) else np.ones(M)
-        # every later pass (Gram, GD steps, evaluation) streams instance blocks; spread
-        # them over enough partitions that a pass is not one long task (small inputs
-        # that AQE packed into one partition), never more than the cluster's cores
-        n_rows = int(sum(v[0].max() for v in mom.values())) if mom else train.count()
+        # every later pass (Gram, GD steps, evaluation) streams instance blocks. Few large partitions are dealt
+        # out over the cores, whole blocks each (lost rows are dealt alike again: Spark sorts them first)
         cores = max(1, train.sparkSession.sparkContext.defaultParallelism)
-        target = min(cores, max(1, n_rows // ROWS_PER_TASK))
+        n_rows = int(sum(v[0].max() for v in mom.values())) if mom else train.count()
+        target = min(cores, -(-8 * d * n_rows // BLOCK_BYTES) or 1)
         src = train.repartition(target) if train.rdd.getNumPartitions() < target else train
-        blocks = pack_blocks(src, "x", d, "y", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+        blocks = (pack_coded(src, layout) if coded else pack_blocks(src, "x", d, "y", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
         blocks.count()              # lost blocks are packed again from the snapshot
+        n_parts = blocks.rdd.getNumPartitions()
 
         gram_idx = [m for m, (ci, _) in enumerate(where) if configs[ci].uses_gram]
-        if gram_idx:
+        qr_idx = [m for m, (ci, _) in enumerate(where) if configs[ci].uses_qr]
+        shift, scale = np.zeros(d), np.ones(d)
+        if gram_idx or qr_idx:
             gmu, gsd = global_scaler(mom) if cont else (np.zeros(0), np.zeros(0))
-            shift, scale = np.zeros(d), np.ones(d)
             for j, p in enumerate(cont_pos):
                 if gsd[j] > 0 and np.isfinite(gsd[j]):
                     shift[p], scale[p] = gmu[j], gsd[j]
+        if qr_idx:
+            factors = linear.fold_factors(blocks, d, "x", "y", "fold", shift, scale)
+            for m in qr_idx:
+                ci, i = where[m]
+                t = tasks[m]
+                A = linear.affine_matrix(t.a * scale, t.a * shift + t.c)
+                R = linear.map_factor(linear.combine_factors(factors, i), A)
+                n = float(R[:, 0] @ R[:, 0])                      # intercept column: sum of 1 * 1
+                idx = list(configs[ci].positions) if configs[ci].positions is not None else list(range(d))
+                R = linear.fold_in(np.zeros((0, len(idx) + 1)), R[:, [*idx, d]])
+                w, rss = linear.least_squares_qr(R, n, configs[ci].lam if configs[ci].kind == "ridge_qr" else 0.0)
+                W[idx, m] = w
+                train_loss[m] = rss / (2.0 * n)
+        if gram_idx:
             grams = linear.fold_grams(blocks, d, "x", "y", "fold", shift, scale)
             for m in gram_idx:
                 ci, i = where[m]
@@ -261,7 +305,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
 
         by_steps: dict = {}
         for m, (ci, _) in enumerate(where):
-            if not configs[ci].uses_gram:
+            if not configs[ci].uses_gram and not configs[ci].uses_qr:
                 by_steps.setdefault(configs[ci].max_iters, []).append(m)
         for steps, idx in by_steps.items():
             sub = [tasks[m] for m in idx]
@@ -272,7 +316,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
                     mask[:, col] = 0.0
                     mask[list(pos), col] = 1.0
             initial = mask * np.column_stack([_start(configs[where[m][0]], d) for m in idx])
-            Wsub, lsub = fit_gd(blocks, d, sub, steps, ratios=ratios[idx], initial=initial, mask=mask)
+            Wsub, lsub = fit_gd(blocks, d, sub, steps, ratios=ratios[idx], initial=initial, mask=mask, state=state)
             W[:, idx] = Wsub
             train_loss[idx] = lsub
 
@@ -291,7 +335,7 @@ def cross_validate(data: DataFrame, layout: FeatureLayout, configs: Sequence[Mod
         for n in sorted({n for n, _ in per_task}):
             idx = [m for m in range(M) if per_task[m][0] == n]
             acc, nb = _eval_pass(blocks, d, [tasks[m] for m in idx], W[:, idx], ratios[idx],
-                                 [per_task[m][1] for m in idx], n if n > 0 else 1)
+                                 [per_task[m][1] for m in idx], n if n > 0 else 1, n_parts)
             for row, m in zip(acc, idx):
                 stats[m] = (row, nb)
         for m, (ci, i) in enumerate(where):

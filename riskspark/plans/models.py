@@ -46,13 +46,21 @@ class LinearScorer(Model):
             terms.append(x * F.lit(float(w)))
         return balanced_sum(terms)
 
-    def score(self) -> Column:
-        t = self.linear_term()
+    def coded_term(self) -> Column:
+        """``linear_term`` of rows with ``codes`` instead of one-hot columns: weights are looked up by position."""
+        dense = FeatureLayout([fc for fc in self.layout.columns if fc.kind != "onehot"])
+        values = LinearScorer(dense, [w for fc, w in zip(self.layout.columns, self.weights) if fc.kind != "onehot"],
+                              self.mean, self.std, self.logistic).linear_term()
+        weights = F.array(*[F.lit(float(w)) for w in self.weights])
+        return values + F.aggregate("codes", F.lit(0.0), lambda s, p: s + F.when(p < 0, F.lit(0.0)).otherwise(F.get(weights, p)))
+
+    def score(self, coded: bool = False) -> Column:
+        t = self.coded_term() if coded else self.linear_term()
         return sigmoid(t) if self.logistic else t
 
     def _transform(self, df: DataFrame) -> DataFrame:
         score, pred = self.score_col, self.pred_col
-        return df.withColumn(score, self.score()).withColumn(
+        return df.withColumn(score, self.score("codes" in df.columns)).withColumn(
             pred, F.when(F.col(score) <= F.lit(float(self.threshold)), F.lit(-1)).otherwise(F.lit(1)).cast("int"))
 
 
@@ -118,9 +126,11 @@ class ModelBase:
 
 
 class LeastSquares(ModelBase):
-    def __init__(self):
+    """``solver``: "gram" for normal equations, "qr" for features that are nearly dependent (high powers)."""
+
+    def __init__(self, solver: str = "gram"):
         super().__init__()
-        self.config = ModelConfig("least_squares")
+        self.config = ModelConfig({"gram": "least_squares", "qr": "least_squares_qr"}[solver])
 
 
 class MSEGradientDescent(ModelBase):

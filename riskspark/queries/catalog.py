@@ -259,7 +259,7 @@ def label_counts(spark: SparkSession, sf: str) -> DataFrame:
 LINE_W = [0.1, -0.2, 0.3, 0.05]
 LINE_X = ["x0", "x1", "x2", "x3"]
 GD_X = ["x0", "x1", "x2"]
-GD_STEPS = 5
+GD_STEPS = 200
 
 
 def _line_design(spark, sf) -> DataFrame:
@@ -330,6 +330,15 @@ def least_squares(spark: SparkSession, sf: str) -> DataFrame:
     return _terms(spark, w, linear.mse_from_gram(G, b, yy, n, w))
 
 
+def least_squares_qr(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 without normal equations: triangular factors of the tasks' rows, merged in a tree."""
+    from riskspark.operators import linear
+    df = _line_design(spark, sf).select(encode.assemble(["x0", "x1"]), "y", F.lit(0).alias("fold"))
+    R = linear.fold_factors(df, 2)[0]
+    w, rss = linear.least_squares_qr(R)
+    return _terms(spark, w, rss / (2.0 * float(R[:, 0] @ R[:, 0])))
+
+
 def ridge(spark: SparkSession, sf: str) -> DataFrame:
     from riskspark.operators import linear
     G, b, yy, n = _line_gram(spark, sf, ["x0", "x1"])
@@ -338,7 +347,7 @@ def ridge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mse_gd(spark: SparkSession, sf: str) -> DataFrame:
-    """5 steps, gamma 0.1, from one Gram pass."""
+    """200 steps, gamma 0.1, from one Gram pass."""
     from riskspark.operators import linear
     G, b, yy, n = _line_gram(spark, sf, GD_X)
     w = linear.gd_from_gram(G, b, n, 0.1, GD_STEPS)
@@ -410,8 +419,7 @@ def threshold_search(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ G3-G9, A6
 
-CV_STEPS = 5  # of the step-limited parity checks
-FULL_STEPS = 400  # of the run itself
+FULL_STEPS = 400
 CV_SEARCH = 100
 # The published grids of degrees and step sizes.
 SWEEP_DEGREES = [1, 2, 3, 5, 7]
@@ -449,8 +457,6 @@ def _cv_run(spark: SparkSession, sf: str, which: str, degree: int = 1):
     from riskspark.plans import cv
     clean, layout, data = _cv_inputs(spark, sf, degree)
     if which == "flagship":
-        configs, search = [cv.ModelConfig("logistic", CV_STEPS, 0.7)], CV_SEARCH
-    elif which == "full":
         configs, search = [cv.ModelConfig("logistic", FULL_STEPS, 0.7)], CV_SEARCH
     elif which == "degree":
         configs = [cv.ModelConfig("mse_gd", 200, 0.001, positions=degree_positions(layout, deg), name=f"degree{deg}")
@@ -469,15 +475,23 @@ METRICS = ("accuracy", "recall", "fpr", "precision", "f1")
 
 def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
     """G3 flagship: spec cleaning, intercept, 20 % holdout, 5 folds with per-fold
-    scaling, logistic GD (gamma 0.7), F1 threshold search over 100 points."""
+    scaling, 400 steps of logistic GD (gamma 0.7), F1 threshold search over 100 points."""
     res = _cv_run(spark, sf, "flagship")[0]
     out = res.to_df(spark)
     return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
 
 
 def cross_validate_full(spark: SparkSession, sf: str) -> DataFrame:
-    """G3 at full length: ``cross_validate`` with all 400 steps."""
-    out = _cv_run(spark, sf, "full")[0].to_df(spark)
+    """G3 as a run that is stopped and goes on: 100 steps with a folder for its state, then all 400 in the same
+    folder, which start at step 100; the same rows as ``cross_validate``."""
+    import uuid
+    from riskspark.plans import cv
+    from riskspark.session import scratch_path
+    _, layout, data = _cv_inputs(spark, sf)
+    folder = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+    for steps in (100, FULL_STEPS):
+        res = cv.cross_validate(data, layout, [cv.ModelConfig("logistic", steps, 0.7)], K, CV_SEARCH, resume=folder, save_every=50)
+    out = res.to_df(spark)
     return out.select("fold", *[r6(c).alias(c) for c in ("train_loss", "val_loss", "threshold") + METRICS])
 
 
@@ -664,7 +678,7 @@ def _doc_cv(spark: SparkSession, sf: str):
     model = CleaningEstimator(_spec(spark, "doc_risk")).fit(df)
     layout = model.layout.with_intercept()
     data = cv.prepare(model.transform(df), layout, K, SEED)
-    return cv.cross_validate(data, layout, [cv.ModelConfig("mse_gd", CV_STEPS, 0.1)], K,
+    return cv.cross_validate(data, layout, [cv.ModelConfig("mse_gd", FULL_STEPS, 0.1)], K,
                              search_thresholds=CV_SEARCH)
 
 
@@ -758,6 +772,20 @@ def minibatch_gd_exact(spark: SparkSession, sf: str) -> DataFrame:
     return _terms(spark, *fit_minibatch(design, 3, batch_schedule(GD_STEPS, n_batches), 0.1))
 
 
+BATCH_EPOCH_STEPS = 60
+
+
+def minibatch_logistic(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 / D13 with logistic loss: 60 steps over a store of exact batches of 1,000 rows; a step reads its batch alone."""
+    from riskspark.operators.batches import fit_batches, loss_of, write_batches
+    from riskspark.operators.gd import Task, batch_schedule, exact_batches
+    batched, n_batches = exact_batches(_batch_rows(spark, sf), EXACT_BATCH, "batch", "id")
+    store = write_batches(batched.select(encode.assemble(["x0", "x1", "x2"]), "y", "batch"), 3, n_batches)
+    task = Task("logistic", 0.5)
+    w = fit_batches(store, task, batch_schedule(BATCH_EPOCH_STEPS, n_batches))
+    return _terms(spark, w, loss_of(store, task, w))
+
+
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -771,7 +799,7 @@ QUERIES = {
     "logistic_balanced_loss": logistic_balanced_loss, "mse_gradient": mse_gradient,
     "mse_balanced_gradient": mse_balanced_gradient, "logistic_gradient": logistic_gradient,
     "logistic_balanced_gradient": logistic_balanced_gradient, "gram_matrix": gram_matrix,
-    "least_squares": least_squares, "ridge": ridge, "mse_gd": mse_gd, "mse_gd_balanced": mse_gd_balanced,
+    "least_squares": least_squares, "least_squares_qr": least_squares_qr, "ridge": ridge, "mse_gd": mse_gd, "mse_gd_balanced": mse_gd_balanced,
     "logistic_gd": logistic_gd, "logistic_gd_balanced": logistic_gd_balanced,
     "logistic_gd_sigmoid_scale": logistic_gd_sigmoid_scale, "logistic_l2": logistic_l2,
     "minibatch_gd": minibatch_gd, "predict_threshold": predict_threshold,
@@ -781,5 +809,5 @@ QUERIES = {
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
     "csv_load": csv_load, "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
-    "cross_validate_full": cross_validate_full, "end_to_end": end_to_end, "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "model_scores": model_scores,
+    "cross_validate_full": cross_validate_full, "end_to_end": end_to_end, "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "minibatch_logistic": minibatch_logistic, "model_scores": model_scores,
 }

@@ -287,7 +287,7 @@ def label_counts() -> str:
 
 # The same literal model as the Spark side.
 LINE_W = [0.1, -0.2, 0.3, 0.05]
-GD_STEPS = 5
+GD_STEPS = 200
 
 
 def dl(v) -> str:
@@ -586,6 +586,23 @@ def minibatch_gd_exact() -> str:
     return sql(body, ("order_risk",), (BATCH_ROWS, nb, rk, db, g, fw), recursive=True)
 
 
+def minibatch_logistic() -> str:
+    h = hash32_sql('batch', 'id')
+    nb = ("nb", "SELECT greatest(1, count(*) // 1000) AS nb FROM d")
+    rk = ("rk", f"SELECT d.*, row_number() OVER (ORDER BY {h}, id) - 1 AS rk FROM d")
+    db = ("db", "SELECT rk.*, CASE WHEN rk < nb * 1000 THEN rk // 1000 ELSE -1 END AS batch FROM rk, nb")
+    t = "x0 * w0 + x1 * w1 + x2 * w2"
+    zero_one = "(CASE WHEN y = 1 THEN 1.0 ELSE 0.0 END)"
+    upd = ", ".join(f"w{j} - CAST(0.5 AS DOUBLE) * avg((1.0 / (1.0 + exp(-({t}))) - {zero_one}) * x{j})" for j in range(3))
+    g = ("g(step, w0, w1, w2)",
+         "SELECT 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) UNION ALL "
+         f"SELECT step + 1, {upd} FROM g, db, nb WHERE step < 60 AND batch = step % nb GROUP BY step, w0, w1, w2")
+    fw = ("fw", "SELECT * FROM g WHERE step = 60")
+    body = " UNION ALL ".join(f"SELECT 'w{j}' AS term, {r6(f'w{j}')} AS value FROM fw" for j in range(3))
+    body += f" UNION ALL SELECT 'loss', {r6(f'avg(ln(1.0 + exp({t})) - {zero_one} * ({t}))')} FROM db, fw GROUP BY w0, w1, w2"
+    return sql(body, ("order_risk",), (BATCH_ROWS, nb, rk, db, g, fw), recursive=True)
+
+
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
     "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
@@ -599,7 +616,7 @@ ORACLES = {
     "logistic_loss": _loss_sql("logistic"), "logistic_balanced_loss": _loss_sql("logistic_balanced"),
     "mse_gradient": _grad_sql("mse"), "mse_balanced_gradient": _grad_sql("mse_balanced"),
     "logistic_gradient": _grad_sql("logistic"), "logistic_balanced_gradient": _grad_sql("logistic_balanced"),
-    "gram_matrix": gram_matrix, "least_squares": least_squares, "ridge": ridge,
+    "gram_matrix": gram_matrix, "least_squares": least_squares, "least_squares_qr": least_squares, "ridge": ridge,
     "mse_gd": _gd_sql("mse", 0.1), "mse_gd_balanced": _gd_sql("mse_balanced", 0.1),
     "logistic_gd": _gd_sql("logistic", 0.7), "logistic_gd_balanced": _gd_sql("logistic_label", 0.7),
     "logistic_gd_sigmoid_scale": _gd_sql("logistic_balanced", 0.7), "logistic_l2": _gd_sql("logistic", 0.7, 0.1),
@@ -609,7 +626,7 @@ ORACLES = {
     "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
     "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
-    "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "model_scores": model_scores,
+    "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "minibatch_logistic": minibatch_logistic, "model_scores": model_scores,
 }
 
 

@@ -160,7 +160,7 @@ def averaged(body_fn, configs, degree=1):
     return (head + f",\n{wa[0]} AS ({wa[1]}),\n{sa[0]} AS ({sa[1]}),\n{ta[0]} AS ({ta[1]})\n" + body_fn(t))
 
 
-FLAGSHIP = [dict(name="flagship", loss="logistic", gamma=0.7, steps=5, search=100)]
+FLAGSHIP = [dict(name="flagship", loss="logistic", gamma=0.7, steps=400, search=100)]
 FULL = [dict(FLAGSHIP[0], steps=400)]
 METRICS = ("accuracy", "recall", "fpr", "precision", "f1")
 # The published grids of degrees and step sizes.
@@ -256,7 +256,7 @@ def ablation() -> str:
 
 def doc_cross_validate() -> str:
     cols = ", ".join(r6(c) + f" AS {c}" for c in ("train_loss", "val_loss", "threshold") + METRICS)
-    cfg = [dict(name="doc", loss="mse", gamma=0.1, steps=5, search=100)]
+    cfg = [dict(name="doc", loss="mse", gamma=0.1, steps=400, search=100)]
     return cv_sql(cfg, 1, f"SELECT CAST(f AS BIGINT) AS fold, {cols} FROM res", DOC)
 
 

@@ -68,12 +68,74 @@ def test_mse_gd_via_passes_equals_gram(spark):
     assert abs(loss[0] - linear.mse_from_gram(Z[:3, :3], Z[:3, 3], Z[3, 3], Z[0, 0], w)) < 1e-12
 
 
-def test_cluster_side_reduction_equals_direct(spark, monkeypatch):
-    """Force the (key, chunk) reduce on the cluster and compare with the driver sum."""
-    from riskspark.operators import moments
+def test_sums_have_one_order(spark, monkeypatch):
+    """The driver's sum of few partitions and the cluster's sum of many agree to the last bit."""
+    from riskspark.operators import gd
     df, X, y = _data(spark, parts=6)
-    W1, _ = fit_gd(df, 3, [Task("logistic", 0.7, 0.0, i % 5) for i in range(400)], 2)
-    monkeypatch.setattr(moments, "DIRECT_COLLECT_BYTES", 0)
-    monkeypatch.setattr(moments, "CHUNK", 7)
-    W2, _ = fit_gd(df, 3, [Task("logistic", 0.7, 0.0, i % 5) for i in range(400)], 2)
-    assert np.allclose(W1, W2, atol=1e-13)
+    tasks = [Task("logistic", 0.7, 0.0, i % 5) for i in range(400)]
+    W1, _ = fit_gd(df, 3, tasks, 2)
+    plain = gd.reduce_partials
+    monkeypatch.setattr(gd, "reduce_partials", lambda partials, n_parts: plain(partials, None))
+    W2, _ = fit_gd(df, 3, tasks, 2)
+    assert np.array_equal(W1, W2)
+
+
+def test_more_partitions_than_groups(spark):
+    df, X, y = _data(spark, n=700, parts=150)
+    W, _ = fit_gd(df, 3, [Task("logistic", 0.7, 0.0, -1)], 3)
+    assert np.allclose(W[:, 0], _np_logistic(X, y, 0.7, 3), atol=1e-12)
+
+
+def test_a_stopped_run_goes_on(spark, tmp_path, monkeypatch):
+    from riskspark.operators import gd
+    from riskspark.sources.steps import StepTable
+    df, X, y = _data(spark)
+    tasks = [Task("logistic", 0.7, 0.0, i) for i in range(-1, 3)]
+    straight, loss = fit_gd(df, 3, tasks, 11)
+    passes, plain = [], gd.gradient_pass
+
+    def counted(*args, **named):
+        if len(passes) == 7:
+            raise RuntimeError("lost")
+        passes.append(1)
+        return plain(*args, **named)
+
+    state = StepTable(spark, str(tmp_path / "steps"), every=3)
+    assert state.last("none", 9) is None
+    monkeypatch.setattr(gd, "gradient_pass", counted)
+    with pytest.raises(RuntimeError):
+        fit_gd(df, 3, tasks, 11, state=state)
+    passes.clear()
+    monkeypatch.setattr(gd, "gradient_pass", lambda *a, **k: (passes.append(1), plain(*a, **k))[1])
+    W, again = fit_gd(df, 3, tasks, 11, state=state)
+    assert len(passes) == 11 - 6 + 1 and np.array_equal(W, straight) and np.array_equal(again, loss)
+    passes.clear()
+    fit_gd(df, 3, [Task("logistic", 0.5, 0.0, i) for i in range(-1, 3)], 2, state=state)  # another run
+    assert len(passes) == 3
+
+
+def test_cross_validation_goes_on_from_its_folder(spark, tmp_path, monkeypatch):
+    from riskspark.operators import gd
+    from riskspark.operators.clean import FeatureColumn, FeatureLayout
+    from riskspark.plans import cv
+    rng = np.random.default_rng(3)
+    v, y = rng.standard_normal(300), np.where(rng.random(300) < 0.4, 1, -1)
+    df = spark.createDataFrame([(i, "train", int(y[i]), float(v[i])) for i in range(300)], "id long, split string, label int, v double")
+    layout = FeatureLayout([FeatureColumn("v", "continuous", "v")]).with_intercept()
+    data, configs = cv.prepare(df, layout, 3), [cv.ModelConfig("logistic", 8, 0.7), cv.ModelConfig("mse_gd", 8, 0.1)]
+    straight = list(cv.cross_validate(data, layout, configs, 3, 20).rows())
+    plain = gd.gradient_pass
+    calls = []
+
+    def lost(*args, **named):
+        calls.append(1)
+        if len(calls) == 6:
+            raise RuntimeError("lost")
+        return plain(*args, **named)
+
+    monkeypatch.setattr(gd, "gradient_pass", lost)
+    with pytest.raises(RuntimeError):
+        cv.cross_validate(data, layout, configs, 3, 20, resume=str(tmp_path), save_every=2)
+    monkeypatch.setattr(gd, "gradient_pass", plain)
+    resumed = list(cv.cross_validate(data.where("false"), layout, configs, 3, 20, resume=str(tmp_path), save_every=2).rows())
+    assert resumed == straight
