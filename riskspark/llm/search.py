@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 from riskspark.llm.common import ready, written
 
 #: Terms (with repeats) and documents of a segment; a longer text is a segment of its own.
-SEGMENT_TERMS = 4_000_000
+SEGMENT_TERMS = 2_000_000
 SEGMENT_DOCS = 65_536
 #: Distinct (query, term) pairs that one round over the index takes to the tasks.
 BLOCK_TERMS = 200_000
