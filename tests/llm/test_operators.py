@@ -272,7 +272,9 @@ def test_rule_scores_follow_the_two_multinomials(spark, monkeypatch):
     monkeypatch.setattr(rules, "BUCKETS", 64)
     rows = [(1, "a b c a"), (2, "a b"), (3, "z z z"), (4, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    hashed = {r.doc_id: [h & 63 for h in [*r.h1, *r.h2]] for r in rules._with_hashes(docs).collect()}
+    hashed = {i: [] for i, _ in rows}
+    for r in rules._by_word(rules.with_words(docs).drop("text")).collect():
+        hashed[r.doc_id] += [b for b in (r.b1, r.b2) if b is not None]
     assert [len(hashed[i]) for i in (1, 2, 3, 4)] == [7, 3, 5, 0]
     raw, target = Counter(itertools.chain(*hashed.values())), Counter(hashed[1] + hashed[2])
     n, t = sum(raw.values()) + 32, sum(target.values())
@@ -381,3 +383,45 @@ def test_bpe_equals_the_library(spark):
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_rule_scores_and_cut_equal_a_plain_version(spark, monkeypatch):
+    """Out-of-fold scores of trusted documents, mean scores of the others, and the moved cut."""
+    monkeypatch.setattr(rules, "BUCKETS", 256)
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels")
+    trusted = {r.doc_id for r in rules.trusted_documents(labels).collect()}
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", rules._fold(F.col("doc_id")).alias("f")).collect()}
+    grams = {i: [] for i in fold}
+    for r in rules._by_word(rules.with_words(docs).drop("text")).collect():
+        grams[r.doc_id] += [b for b in (r.b1, r.b2) if b is not None]
+    raw, targets = np.zeros(256), np.zeros((rules.FOLDS, 256))
+    for i, g in grams.items():
+        counts = np.bincount(g, minlength=256)
+        raw += counts
+        if i in trusted:
+            targets[fold[i]] += counts
+    p = (raw + 0.5) / (raw.sum() + 128)
+    tables = []
+    for out in range(rules.FOLDS):
+        t = targets.sum(axis=0) - targets[out]
+        prior = max(1, t.sum())
+        tables.append(np.round(np.log((t + prior * p) / (t.sum() + prior) / p) * rules.STEPS).astype(int))
+    mean = [round(sum(int(t[b]) for t in tables) / rules.FOLDS) for b in range(256)]
+    score = {i: sum((tables[fold[i]] if i in trusted else mean)[b] for b in g) / (max(1, len(g)) * rules.STEPS) for i, g in grams.items()}
+    got = rules.apply_rules(docs, rules.trusted_documents(labels)).collect()
+    low = sorted(score[r.doc_id] for r in got if r.doc_id in trusted and not r.base_failed)
+    step = np.floor(low[int(rules.LOW * len(low))] * rules.STEPS) / rules.STEPS
+    assert len(low) > 300
+    for r in got:
+        assert abs(r.score - (score[r.doc_id] - (step - rules.THRESHOLD))) < 2.1 / rules.STEPS
+        assert r.kept == (not r.base_failed and r.score >= rules.THRESHOLD)
+
+
+def test_trusted_texts_are_found_through_the_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(rules, "ID_BITS", 1 << 12)
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('t', id) as text").unionByName(
+        spark.createDataFrame([(None, "no id"), (7, "again")], "doc_id long, text string"))
+    ids = spark.range(0, 9000, 7).selectExpr("id as doc_id")
+    got = sorted((r.doc_id, r.text) for r in rules._trusted_texts(docs, ids).collect())
+    assert got == sorted([(i, f"t{i}") for i in range(0, 5000, 7)] + [(7, "again")])
