@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import encode, profile, wide_profile
 from riskspark.operators.conform import check_vocabularies, uncovered_columns
+from riskspark.operators.persistence import SavedAsJson
 from riskspark.operators.recode import apply_rules
 from riskspark.sources.spec import MEAN, FeatureSpec, Rule
 
@@ -69,9 +70,10 @@ class FeatureLayout:
         return FeatureLayout([FeatureColumn(**d) for d in json.loads(text)])
 
 
-class CleaningModel(Model):
+class CleaningModel(Model, SavedAsJson):
     """Fitted cleaning: literals only (kept columns, kinds, vocabularies, rules,
-    per-split means, layout); ``transform`` is one projection."""
+    per-split means, layout); ``transform`` is one projection. ``save`` and ``load`` keep all
+    of it but the fit's report tables."""
 
     def __init__(self, id_col: str, label_col: str, split_col: str, kept: list, kinds: dict, vocabularies: dict,
                  rules: dict, means: dict, layout: FeatureLayout, reports: dict | None = None):
@@ -81,6 +83,20 @@ class CleaningModel(Model):
         self.rules, self.means, self.layout = rules, means, layout
         self.reports = reports or {}
 
+    def state(self) -> dict:
+        rules = {c: [dict(asdict(r), value="mean") if r.is_mean else asdict(r) for r in rs] for c, rs in self.rules.items()}
+        means = [[c, i, per_split] for (c, i), per_split in self.means.items()]
+        mean_rules = [[c, i] for c, rs in self.rules.items() for i, r in enumerate(rs) if r.is_mean]
+        return {"columns": [self.id_col, self.label_col, self.split_col], "kept": self.kept, "kinds": self.kinds,
+                "vocabularies": self.vocabularies, "rules": rules, "mean_rules": mean_rules, "means": means, "layout": self.layout.to_json()}
+
+    @classmethod
+    def from_state(cls, state: dict) -> "CleaningModel":
+        of_mean = {(c, i) for c, i in state["mean_rules"]}
+        rules = {c: [Rule(**dict(r, value=MEAN) if (c, i) in of_mean else r) for i, r in enumerate(rs)] for c, rs in state["rules"].items()}
+        means = {(c, i): per_split for c, i, per_split in state["means"]}
+        return cls(*state["columns"], state["kept"], state["kinds"], state["vocabularies"], rules, means, FeatureLayout.from_json(state["layout"]))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         keys = [c for c in (self.id_col, self.split_col, self.label_col) if c in df.columns]
         mapped, _ = apply_rules(df.select(*keys, *self.kept), self.rules, self.split_col, self.means)

@@ -63,22 +63,10 @@ def spec_conformance(df: DataFrame, columns: Sequence[str], specs: Sequence[Feat
     """B18 report per (column, split): covered by the spec, rows, missing cells,
     non-numeric cells, cells outside the vocabulary. One aggregate, then unpivot."""
     by_id = {s.id: s for s in specs}
-    dtypes = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     for c in columns:
-        col = F.col(c)
-        if dtypes[c] == "string":
-            non_num = col.isNotNull() & col.try_cast("double").isNull()
-        else:
-            non_num = F.lit(False)
-        spec = by_id.get(c)
-        if spec is not None and spec.type == "categorical" and spec.vocabulary is not None:
-            outside = outside_vocab(col, spec.vocabulary)
-        else:
-            outside = F.lit(False)
-        aggs += [F.count_if(col.isNull()).cast("bigint").alias(f"{c}__m"),
-                 F.count_if(non_num).cast("bigint").alias(f"{c}__n"),
-                 F.count_if(outside).cast("bigint").alias(f"{c}__o")]
+        tests = _cell_tests(df, c, by_id.get(c))
+        aggs += [F.count_if(t).cast("bigint").alias(f"{c}__{name}") for name, t in zip("mno", tests)]
     agg = df.groupBy(by).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(1 if c in by_id else 0).cast("bigint").alias("covered"),
@@ -90,6 +78,51 @@ def spec_conformance(df: DataFrame, columns: Sequence[str], specs: Sequence[Feat
                     "s.n_outside_vocab"))
 
 
+def _cell_tests(df: DataFrame, column: str, spec: FeatureSpec | None) -> tuple[Column, Column, Column]:
+    """(missing, not a number, outside the vocabulary) of one column's cells."""
+    col = F.col(column)
+    non_num = col.isNotNull() & col.try_cast("double").isNull() if dict(df.dtypes)[column] == "string" else F.lit(False)
+    listed = spec is not None and spec.type == "categorical" and spec.vocabulary is not None
+    return col.isNull(), non_num, outside_vocab(col, spec.vocabulary) if listed else F.lit(False)
+
+
+class ObservedConformance:
+    """B12, B18 counted while other work reads the rows: no scan of their own.
+
+    ``watch(df)`` returns ``df`` with observed metrics; ``report()`` waits for the action that consumes
+    it and gives the rows of ``spec_conformance``. Counts are per partition of the stage that the frame is
+    used in and are taken from tasks that succeed, once each, so failed and speculative attempts do not count. A
+    stage whose finished output is lost later and computed again would be counted again: watch a
+    frame whose action writes it without a shuffle in between (as the cleaning projection does), where
+    the job ends with the tasks that were counted. Groups are the given ``splits``; rows of any
+    other split are counted under null."""
+
+    def __init__(self, columns: Sequence[str], specs: Sequence[FeatureSpec], splits: Sequence[str] = ("train", "test"), by: str = "split"):
+        from pyspark.sql import Observation
+        self.columns, self.splits, self.by = list(columns), list(splits), by
+        self.specs = {s.id: s for s in specs}
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        groups = [F.coalesce(F.col(self.by) == F.lit(s), F.lit(False)) for s in self.splits]
+        rest = F.lit(True)
+        for g in groups:
+            rest = rest & ~g
+        metrics = []
+        for i, group in enumerate([*groups, rest]):
+            metrics.append(F.count_if(group).alias(f"{i}_rows"))
+            for j, c in enumerate(self.columns):
+                metrics += [F.count_if(group & t).alias(f"{i}_{j}_{name}") for name, t in zip("mno", _cell_tests(df, c, self.specs.get(c)))]
+        return df.observe(self.observation, *metrics)
+
+    def report(self, spark) -> DataFrame:
+        got = self.observation.get
+        rows = [(c, s, int(c in self.specs), got[f"{i}_rows"], *[got[f"{i}_{j}_{name}"] for name in "mno"])
+                for i, s in enumerate([*self.splits, None]) if got[f"{i}_rows"] for j, c in enumerate(self.columns)]
+        return spark.createDataFrame(rows, "feature string, split string, covered bigint, n_rows bigint, n_missing bigint, "
+                                           "n_non_numeric bigint, n_outside_vocab bigint")
+
+
 def uncovered_columns(columns: Sequence[str], specs: Sequence[FeatureSpec]) -> list[str]:
     ids = {s.id for s in specs}
     return [c for c in columns if c not in ids]

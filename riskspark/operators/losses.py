@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskspark.functions.columns import dot, sigmoid, softplus
 from riskspark.operators.gd import negative_positive_ratio
@@ -83,3 +84,14 @@ def gradient(df: DataFrame, kind: str, xs: Sequence[str], w: Sequence[float], y:
     return agg.select(F.explode(F.array(*[F.struct(F.lit(j).cast("bigint").alias("j"),
                                                    F.col(f"g{j}").alias("grad"))
                                           for j in range(len(xs))])).alias("s")).select("s.*")
+
+
+def fold_class_ratios(df: DataFrame, fold_col: str = "fold", label_col: str = "label") -> DataFrame:
+    """D12 for the training part of each fold -> (fold, n_neg, n_pos, ratio): totals minus the fold's own counts.
+
+    One grouped count, then a window over its k rows. 1.0 without negatives; null without positives."""
+    per_fold = df.groupBy(fold_col).agg(F.count_if(F.col(label_col) == -1).alias("neg"), F.count_if(F.col(label_col) == 1).alias("pos"))
+    folds = Window.partitionBy()  # one row per fold, not data rows
+    neg, pos = (F.sum(c).over(folds) - F.col(c) for c in ("neg", "pos"))
+    ratio = F.when(neg == 0, F.lit(1.0)).when(pos > 0, neg.cast("double") / pos.cast("double"))
+    return per_fold.select(fold_col, neg.cast("bigint").alias("n_neg"), pos.cast("bigint").alias("n_pos"), ratio.alias("ratio"))

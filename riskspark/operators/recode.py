@@ -1,9 +1,8 @@
 """Mapping rules applied in order (a left fold).
 
-Consecutive non-mean rules are plain CASE projections. A ``mean`` rule needs
-the mean of the column *at that step* per split, so every level of mean rules
-costs one grouped aggregate over all columns that reach such a rule, and the
-resulting per-split literals are folded back into the projection.
+Rules are plain CASE projections. A ``mean`` rule needs the mean of the column *at
+that step* per split; all such means, of all levels and columns, come from one
+grouped aggregate (see ``mean_chain``), and the projection holds them as literals.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.operators.mean_chain import chain_means
 from riskspark.sources.spec import Rule
 
 
@@ -44,12 +44,15 @@ def apply_rules(df: DataFrame, column_rules: Mapping[str, Sequence[Rule]], by: s
     """Apply each column's rules in order.
 
     ``means`` maps (column, rule position) -> {split: mean}. Missing entries are
-    computed from ``df`` (one job per level of mean rules) and returned, so a
+    computed from ``df`` (one job for all levels) and returned, so a
     fitted model can replay the projection without touching data again.
     ``impute='fit_on_train'`` uses the training split's mean for every split.
     """
     means = dict(means or {})
     dtypes = dict(df.dtypes)
+    unknown = {c: rules for c, rules in column_rules.items() if any(r.is_mean and (c, i) not in means for i, r in enumerate(rules))}
+    if unknown:
+        means.update(chain_means(df, unknown, by, train_value if impute == "fit_on_train" else None))
     pos = {c: 0 for c in column_rules}
     while True:
         # non-mean rules, one projection per rule position
@@ -67,18 +70,6 @@ def apply_rules(df: DataFrame, column_rules: Mapping[str, Sequence[Rule]], by: s
         pending = [c for c, rules in column_rules.items() if pos[c] < len(rules)]
         if not pending:
             return df, means
-        missing = [c for c in pending if (c, pos[c]) not in means]
-        if missing:
-            for c in missing:
-                if dtypes[c] not in ("double", "float", "int", "bigint", "smallint", "tinyint"):
-                    raise ValueError(f"'mean' mapping on non-numeric column {c!r}")
-            stats = df.groupBy(by).agg(*[F.avg(F.col(c)).alias(c) for c in missing]).collect()
-            for c in missing:
-                per_split = {row[by]: row[c] for row in stats}
-                if impute == "fit_on_train":
-                    tv = per_split.get(train_value)
-                    per_split = {s: tv for s in per_split}
-                means[(c, pos[c])] = per_split
         step = {}
         for c in pending:
             r = column_rules[c][pos[c]]

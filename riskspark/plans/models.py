@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.columns import balanced_sum, sigmoid, softplus
 from riskspark.operators.clean import FeatureLayout
+from riskspark.operators.persistence import SavedAsJson
 from riskspark.plans.cv import ModelConfig
 
 
@@ -20,7 +21,7 @@ def _literals(weights) -> tuple | None:
     return None if weights is None else tuple(float(v) for v in weights)
 
 
-class LinearScorer(Model):
+class LinearScorer(Model, SavedAsJson):
     """Weights over a layout, with the per-column scaler used in training; a
     ``pyspark.ml`` model whose transform adds ``score`` and ``prediction``."""
 
@@ -31,6 +32,16 @@ class LinearScorer(Model):
         self.logistic, self.threshold = logistic, threshold
         self.score_col, self.pred_col = score_col, pred_col
 
+    def state(self) -> dict:
+        numbers = {n: [float(v) for v in getattr(self, n)] for n in ("weights", "mean", "std")}
+        return {"layout": self.layout.to_json(), **numbers, "logistic": self.logistic, "threshold": float(self.threshold),
+                "score_col": self.score_col, "pred_col": self.pred_col}
+
+    @classmethod
+    def from_state(cls, state: dict) -> "LinearScorer":
+        numbers = {n: np.array(state[n], float) for n in ("weights", "mean", "std")}
+        return cls(**{**state, **numbers, "layout": FeatureLayout.from_json(state["layout"])})
+
     def linear_term(self) -> Column:
         cont = self.layout.continuous_positions()
         stats = {p: (self.mean[j], self.std[j]) for j, p in enumerate(cont)}

@@ -5,11 +5,10 @@ BIGINT, so results compare exactly with the SQL oracle in ``oracle.py``."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.functions.columns import r6
-from riskspark.functions.hashing import hash32
 from riskspark.operators import conform, encode, profile, split
 from riskspark.operators.recode import apply_rules
 from riskspark.sources.spec import read_spec
@@ -55,6 +54,21 @@ def spec_conformance(spark: SparkSession, sf: str) -> DataFrame:
     return conform.spec_conformance(line_num(spark, sf), LINE_FEATURES, _spec(spark, "line_num"))
 
 
+def observed_conformance(spark: SparkSession, sf: str) -> DataFrame:
+    """B18 counted by the action that writes the recoded table: no scan of its own."""
+    import uuid
+
+    from riskspark.session import scratch_path
+    watched = conform.ObservedConformance(LINE_FEATURES, _spec(spark, "line_num"))
+    specs = {s.id: s for s in _spec(spark, "line_num")}
+    rules = {c: specs[c].mapping for c in ("quantity", "discount", "tax")}
+    df = line_num(spark, sf)
+    means = apply_rules(df, rules)[1]
+    out, _ = apply_rules(watched.watch(df), rules, means=means)
+    out.write.parquet(scratch_path(spark, f"observed-{uuid.uuid4().hex}"))
+    return watched.report(spark)
+
+
 def vocab_conformance(spark: SparkSession, sf: str) -> DataFrame:
     df = order_risk(spark, sf)
     parts = [conform.vocab_violations(df, c, v) for c, v in VOCAB_CHECK.items()]
@@ -217,33 +231,19 @@ def scale_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 def scale_apply_kfold(spark: SparkSession, sf: str) -> DataFrame:
     """Every row once per fold, scaled with that fold's training statistics."""
+    from riskspark.operators.scale import scale_by_fold
     cols = ["totalprice", "acctbal"]
     df = _fold_rows(spark, sf)
-    sc = _scalers(df, cols)
-    rep = df.select("id", "fold", *cols, F.explode(F.sequence(F.lit(0), F.lit(K - 1))).alias("f"))
-    out = [F.col("f").cast("bigint").alias("fold"), "id", (F.col("fold") == F.col("f")).cast("bigint").alias("is_val")]
-    for j, c in enumerate(cols):
-        e = None
-        for i in range(K):
-            mu, sd = float(sc[i][0][j]), float(sc[i][1][j])
-            v = (F.col(c) - F.lit(mu)) / F.lit(sd) if sd > 0 else F.lit(0.0)
-            e = F.when(F.col("f") == i, v) if e is None else e.when(F.col("f") == i, v)
-        out.append(r6(e).alias(c))
-    return rep.select(*out)
+    rep = scale_by_fold(df.select("id", "fold", *cols), cols, _scalers(df, cols))
+    return rep.select(F.col("for_fold").cast("bigint").alias("fold"), "id", _bool_int("is_val").alias("is_val"),
+                      *[r6(c).alias(c) for c in cols])
 
 
 def class_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """D12 for the training part of each fold: totals minus the fold's own counts
-    (a window over the k per-fold rows, not over data rows)."""
-    df = _fold_rows(spark, sf)
-    per_fold = df.groupBy("fold").agg(F.count_if(F.col("label") == -1).alias("neg_f"),
-                                      F.count_if(F.col("label") == 1).alias("pos_f"))
-    every = Window.partitionBy()
-    neg = F.sum("neg_f").over(every) - F.col("neg_f")
-    pos = F.sum("pos_f").over(every) - F.col("pos_f")
-    ratio = F.when(neg == 0, F.lit(1.0)).otherwise(neg.cast("double") / pos.cast("double"))
-    return per_fold.select(F.col("fold").cast("bigint").alias("fold"), neg.cast("bigint").alias("n_neg"),
-                           pos.cast("bigint").alias("n_pos"), r6(ratio).alias("ratio"))
+    """D12 for the training part of each fold."""
+    from riskspark.operators.losses import fold_class_ratios
+    out = fold_class_ratios(_fold_rows(spark, sf))
+    return out.select(F.col("fold").cast("bigint").alias("fold"), "n_neg", "n_pos", r6("ratio").alias("ratio"))
 
 
 def label_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -542,6 +542,34 @@ def submission(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.option("header", True).schema("Id BIGINT, Prediction INT").csv(path)
 
 
+def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """G5 on a stream: half of the test rows arrive as files and are scored, the others arrive later and are scored
+    into the same folder by a second query with the same checkpoint; model: MSE descent, averaged over folds."""
+    import uuid
+
+    from riskspark.plans import cv
+    from riskspark.plans.models import LinearScorer
+    from riskspark.session import scratch_path
+    from riskspark.streaming.scoring import parquet_stream, score_available
+    cleaning = _order_cleaning(spark, sf)
+    df = order_risk(spark, sf)
+    layout = cleaning.layout.with_intercept()
+    data = cv.prepare(cleaning.transform(df), layout, K, SEED)
+    res = cv.cross_validate(data, layout, [cv.ModelConfig("mse_gd", FULL_STEPS, 0.1)], K, CV_SEARCH)
+    w, thr, mu, sd = res.average(0)
+    # intercept column: a literal of the scorer, so the cleaning model's own columns are enough
+    scorer = LinearScorer(layout, w, mu, sd, logistic=False, threshold=thr)
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    test = df.filter(F.col("split") == "test")
+    test.filter(F.col("id") % 2 == 0).repartition(3).write.parquet(f"{base}/in")
+    stream = parquet_stream(spark, f"{base}/in", df.schema)
+    score_available(stream, cleaning, scorer, f"{base}/out", f"{base}/checkpoint")
+    test.filter(F.col("id") % 2 != 0).repartition(2).write.mode("append").parquet(f"{base}/in")
+    score_available(stream, cleaning, scorer, f"{base}/out", f"{base}/checkpoint")
+    scored = spark.read.schema("id bigint, score double, prediction int").parquet(f"{base}/out")
+    return scored.select("id", r6("score").alias("score"), F.col("prediction").cast("bigint").alias("prediction"))
+
+
 def _means(res, config=0):
     rs = [r for r in res.folds if r.config == config]
     return {k: float(np.mean([r.metrics[k] for r in rs])) for k in METRICS} | {
@@ -607,16 +635,79 @@ def label_correlation(spark: SparkSession, sf: str) -> DataFrame:
 def split_scale(spark: SparkSession, sf: str) -> DataFrame:
     """One seeded 80/20 split of the training part, continuous columns
     scaled with the training side's mean and population std."""
-    from riskspark.functions.hashing import fraction_cut
     cols = ["totalprice", "acctbal"]
-    df = _train_rows(spark, sf).filter(~split.holdout_column(0.8, SEED))
-    part = F.when(hash32(f"valsplit:{SEED}", "id") < F.lit(fraction_cut(0.8)), F.lit("train")).otherwise(F.lit("val"))
-    df = df.withColumn("part", part)
-    st = df.filter(F.col("part") == "train").agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                                                 *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
-    out = [F.when(F.lit(st[f"s_{c}"] or 0.0) > 0,
-                  (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"] or 1.0)).otherwise(F.lit(0.0)) for c in cols]
-    return df.select("id", "part", *[r6(e).alias(c) for e, c in zip(out, cols)])
+    train, val, _ = _two_column_dataset(spark, sf, cols).split_data(0.8)
+    both = train.withColumn("part", F.lit("train")).unionByName(val.withColumn("part", F.lit("val")))
+    return both.select("id", "part", *[r6(c).alias(c) for c in cols])
+
+
+def _two_column_dataset(spark: SparkSession, sf: str, cols):
+    from riskspark.operators.clean import FeatureColumn, FeatureLayout
+    from riskspark.plans.dataset import Dataset
+    layout = FeatureLayout([FeatureColumn(c, "continuous", c) for c in cols])
+    return Dataset(order_risk(spark, sf).select("id", "split", "label", *cols), layout, SEED, K, SEED)
+
+
+def test_set(spark: SparkSession, sf: str) -> DataFrame:
+    """The held-out rows of the training split, unscaled."""
+    cols = ["totalprice", "acctbal"]
+    rows = _two_column_dataset(spark, sf, cols).get_test_set()
+    return rows.select("id", F.col("y").cast("bigint").alias("label"), *[r6(c).alias(c) for c in cols])
+
+
+def dataset_len(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the training part."""
+    return spark.createDataFrame([(len(_two_column_dataset(spark, sf, ["totalprice"])),)], "n bigint")
+
+
+def auto_impute(spark: SparkSession, sf: str) -> DataFrame:
+    """An automatic column that turns out continuous has its missing cells filled with the mean of their split."""
+    from riskspark.operators.clean import CleaningEstimator
+    from riskspark.sources.spec import spec_from_list
+    df = line_num(spark, sf).select("key", "split", "label", "price", "qty_low")
+    specs = spec_from_list([{"id": c, "description": c, "type": "auto"} for c in ("price", "qty_low")])
+    model = CleaningEstimator(specs, threshold=0.5, id_col="key").fit(df)
+    return model.transform(df).select("key", "split", r6("price").alias("price"), r6("qty_low").alias("qty_low"))
+
+
+def saved_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """A4, A5, F1: cleaning and scorer as a pipeline model, saved, loaded and applied to the test split."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from riskspark.plans.models import LinearScorer
+    from riskspark.session import scratch_path
+    model = _order_cleaning(spark, sf)
+    layout = model.layout
+    cont = layout.continuous
+    # a fixed model: every weight a tenth of its position, columns scaled by a power of ten
+    scorer = LinearScorer(layout, np.arange(len(layout.names)) / 10.0, np.zeros(len(cont)), np.full(len(cont), 1e5), logistic=False, threshold=0.5)
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    PipelineModel([model, scorer]).save(path)
+    scored = PipelineModel.load(path).transform(order_risk(spark, sf).filter(F.col("split") == "test"))
+    return scored.select("id", r6("score").alias("score"), F.col("prediction").cast("bigint").alias("prediction"))
+
+
+def degree_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The degree sweep as a table of grid points that is run twice: three degrees first, then all
+    five, of which three are there already; the table is written as CSV and read back."""
+    import uuid
+
+    from riskspark.plans import cv
+    from riskspark.plans.grid import GridTable, run_grid
+    from riskspark.session import scratch_path
+    from riskspark.sources.sink import write_results
+    _, layout, data = _cv_inputs(spark, sf, max(SWEEP_DEGREES))
+    configs = [cv.ModelConfig("mse_gd", 200, 0.001, positions=degree_positions(layout, deg), name=str(deg)) for deg in SWEEP_DEGREES]
+    folder = scratch_path(spark, f"grid-{uuid.uuid4().hex}")
+    table = GridTable(spark, f"{folder}/points")
+    run_grid(data, layout, configs[:3], table, K, 100)
+    points = run_grid(data, layout, configs, table, K, 100)
+    cols = ["train_loss", "val_loss", "f1", "accuracy", "threshold", "weights_norm"]
+    write_results(points.select(F.col("name").cast("bigint").alias("degree"), *cols), f"{folder}/results.csv")
+    out = spark.read.option("header", True).schema("degree bigint, " + ", ".join(f"{c} double" for c in cols)).csv(f"{folder}/results.csv")
+    return out.select("degree", *[r6(c).alias(c) for c in cols])
 
 
 def clean_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -788,7 +879,7 @@ def minibatch_logistic(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
-    "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
+    "spec_conformance": spec_conformance, "observed_conformance": observed_conformance, "vocab_conformance": vocab_conformance,
     "recode_chain": recode_chain, "range_bin": range_bin, "impute_mean_per_split": impute_mean_per_split,
     "auto_type": auto_type, "auto_vocab": auto_vocab, "wide_profile": wide_profile, "one_hot": one_hot, "drop_constant": drop_constant,
     "poly_expand": poly_expand, "add_intercept": add_intercept, "stride_sample": stride_sample,
@@ -806,7 +897,8 @@ QUERIES = {
     "confusion_metrics": confusion_metrics, "threshold_search": threshold_search,
     "cross_validate": cross_validate, "fold_average": fold_average, "holdout_metrics": holdout_metrics,
     "submission": submission, "degree_sweep": degree_sweep, "rate_sweep": rate_sweep, "ablation": ablation,
-    "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
+    "label_correlation": label_correlation, "split_scale": split_scale, "test_set": test_set, "dataset_len": dataset_len,
+    "auto_impute": auto_impute, "stream_scores": stream_scores, "saved_pipeline": saved_pipeline, "degree_grid": degree_grid, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "doc_cross_validate": doc_cross_validate, "event_scale_fit": event_scale_fit,
     "csv_load": csv_load, "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
     "cross_validate_full": cross_validate_full, "end_to_end": end_to_end, "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "minibatch_logistic": minibatch_logistic, "model_scores": model_scores,

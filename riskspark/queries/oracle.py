@@ -468,6 +468,28 @@ def split_scale() -> str:
     return sql(body, ("order_risk",), (p, st))
 
 
+def test_set() -> str:
+    return sql(f"SELECT id, CAST(label AS BIGINT) AS label, {r6('totalprice')} AS totalprice, {r6('acctbal')} AS acctbal "
+               f"FROM order_risk WHERE split = 'train' AND {HOLDOUT}", ("order_risk",))
+
+
+def dataset_len() -> str:
+    return sql(f"SELECT CAST(count(*) AS BIGINT) AS n FROM order_risk WHERE split = 'train' AND NOT ({HOLDOUT})", ("order_risk",))
+
+
+def auto_impute() -> str:
+    return sql(f"SELECT key, split, {r6('price')} AS price, {r6('coalesce(qty_low, avg(qty_low) OVER (PARTITION BY split))')} AS qty_low "
+               "FROM line_num", ("line_num",))
+
+
+def saved_pipeline() -> str:
+    cont = 2  # totalprice and acctbal come first and are divided by 100,000
+    terms = [f"({c} / 100000.0) * {j / 10!r}::DOUBLE" if j < cont else f"{c} * {j / 10!r}::DOUBLE" for j, c in enumerate(ORDER_LAYOUT)]
+    score = " + ".join(terms)
+    return sql(f"SELECT id, {r6(score)} AS score, CAST(CASE WHEN {score} <= 0.5 THEN -1 ELSE 1 END AS BIGINT) AS prediction "
+               "FROM clean WHERE split = 'test'", ("order_risk",), (_order_clean_cte(),))
+
+
 def clean_snapshot() -> str:
     body = " UNION ALL ".join(f"SELECT '{c}' AS feature, {r6(f'avg({c})')} AS mean FROM clean" for c in ORDER_LAYOUT)
     return sql(body, ("order_risk",), (_order_clean_cte(),))
@@ -605,7 +627,7 @@ def minibatch_logistic() -> str:
 
 ORACLES = {
     "null_profile": null_profile, "drop_sparse_columns": drop_sparse_columns,
-    "spec_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
+    "spec_conformance": spec_conformance, "observed_conformance": spec_conformance, "vocab_conformance": vocab_conformance,
     "recode_chain": recode_chain, "range_bin": range_bin, "impute_mean_per_split": impute_mean_per_split,
     "auto_type": auto_type, "auto_vocab": auto_vocab, "wide_profile": wide_profile, "one_hot": one_hot, "drop_constant": drop_constant,
     "poly_expand": poly_expand, "add_intercept": add_intercept, "stride_sample": stride_sample,
@@ -623,7 +645,8 @@ ORACLES = {
     "minibatch_gd": _gd_sql("mse", 0.1, batch=10000),
     "predict_threshold": predict_threshold, "confusion_metrics": confusion_metrics,
     "threshold_search": threshold_search,
-    "label_correlation": label_correlation, "split_scale": split_scale, "clean_snapshot": clean_snapshot,
+    "label_correlation": label_correlation, "split_scale": split_scale, "test_set": test_set, "dataset_len": dataset_len,
+    "auto_impute": auto_impute, "saved_pipeline": saved_pipeline, "clean_snapshot": clean_snapshot,
     "ridge_score": ridge_score, "event_scale_fit": event_scale_fit, "csv_load": csv_load,
     "exact_stride_sample": exact_stride_sample, "minibatch_gd_exact": minibatch_gd_exact,
     "kfold_exact": kfold_exact, "minibatch_gd_shuffled": minibatch_gd_shuffled, "minibatch_logistic": minibatch_logistic, "model_scores": model_scores,

@@ -227,6 +227,13 @@ def submission(configs=FLAGSHIP) -> str:
     return averaged(body, configs)
 
 
+def stream_scores() -> str:
+    def body(t):
+        return (f"SELECT CAST(id AS BIGINT) AS id, {r6(t)} AS score, CAST(CASE WHEN {t} <= athr THEN -1 ELSE 1 END AS BIGINT) AS prediction "
+                "FROM clean, wa, sa, ta WHERE split = 'test'")
+    return averaged(body, [dict(name="stream", loss="mse", gamma=0.1, steps=400, search=100)])
+
+
 def degree_sweep() -> str:
     parts = []
     for deg in SWEEP_DEGREES:
@@ -264,4 +271,4 @@ def cv_oracles() -> dict[str, str]:
     return {"doc_cross_validate": doc_cross_validate(), "cross_validate": cross_validate(), "fold_average": fold_average(),
             "holdout_metrics": holdout_metrics(), "submission": submission(),
             "cross_validate_full": cross_validate(FULL), "end_to_end": submission(FULL),
-            "degree_sweep": degree_sweep(), "rate_sweep": rate_sweep(), "ablation": ablation()}
+            "degree_sweep": degree_sweep(), "degree_grid": degree_sweep(), "stream_scores": stream_scores(), "rate_sweep": rate_sweep(), "ablation": ablation()}
