@@ -681,8 +681,8 @@ def saved_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     model = _order_cleaning(spark, sf)
     layout = model.layout
     cont = layout.continuous
-    # a fixed model: every weight a tenth of its position, columns scaled by a power of ten
-    scorer = LinearScorer(layout, np.arange(len(layout.names)) / 10.0, np.zeros(len(cont)), np.full(len(cont), 1e5), logistic=False, threshold=0.5)
+    # a fixed model: every weight a tenth of its position, columns scaled by a power of ten (six decimals in all)
+    scorer = LinearScorer(layout, np.arange(len(layout.names)) / 10.0, np.zeros(len(cont)), np.full(len(cont), 1e3), logistic=False, threshold=0.5)
     path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
     PipelineModel([model, scorer]).save(path)
     scored = PipelineModel.load(path).transform(order_risk(spark, sf).filter(F.col("split") == "test"))

@@ -483,8 +483,8 @@ def auto_impute() -> str:
 
 
 def saved_pipeline() -> str:
-    cont = 2  # totalprice and acctbal come first and are divided by 100,000
-    terms = [f"({c} / 100000.0) * {j / 10!r}::DOUBLE" if j < cont else f"{c} * {j / 10!r}::DOUBLE" for j, c in enumerate(ORDER_LAYOUT)]
+    cont = 2  # totalprice and acctbal come first and are divided by 1,000
+    terms = [f"({c} / 1000.0) * {j / 10!r}::DOUBLE" if j < cont else f"{c} * {j / 10!r}::DOUBLE" for j, c in enumerate(ORDER_LAYOUT)]
     score = " + ".join(terms)
     return sql(f"SELECT id, {r6(score)} AS score, CAST(CASE WHEN {score} <= 0.5 THEN -1 ELSE 1 END AS BIGINT) AS prediction "
                "FROM clean WHERE split = 'test'", ("order_risk",), (_order_clean_cte(),))
