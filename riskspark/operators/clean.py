@@ -160,6 +160,22 @@ class CleaningEstimator(Estimator):
             if self.persist:
                 base.unpersist()
 
+    @staticmethod
+    def _constants(df: DataFrame, model: CleaningModel, known: dict, train) -> DataFrame:
+        """B14 report of every layout column. The one-hot columns of an automatic column have no rules, so its
+        training values (``known``) say whether they are constant; only the others are looked up in the data."""
+        rows, rest = [], []
+        for fc in model.layout.columns:
+            values = known.get(fc.source) if fc.kind == "onehot" else None
+            if not values:
+                rest.append(fc.name)
+                continue
+            low, high = float(values == [fc.value]), float(fc.value in values)
+            rows.append((fc.name, low, high, 0, 0, low != high))
+        schema = "feature string, min_value double, max_value double, n_missing bigint, n_missing_all bigint, kept boolean"
+        told = df.sparkSession.createDataFrame(rows, schema)
+        return profile.constant_report(model.transform(df), rest, train).unionByName(told) if rest else told
+
     def _decide(self, df: DataFrame, keys, features, spec_ids) -> CleaningModel:
         by_id = {s.id: s for s in self.specs}
         train = F.col(self.split_col) == F.lit(self.train_value)
@@ -212,8 +228,7 @@ class CleaningEstimator(Estimator):
         layout = FeatureLayout(cols)
         model = CleaningModel(self.id_col, self.label_col, self.split_col, used, kinds, vocabs,
                               rules, means, layout, {"sparse": sparse})
-        projected = model.transform(df)
-        const = profile.constant_report(projected, layout.names, train)
+        const = self._constants(df, model, {c: found[c].train_values for c in auto if auto[c] == "categorical" and c in found}, train)
         stats = const.select("feature", "kept", "n_missing_all").collect()
         keep = {r["feature"] for r in stats if r["kept"]}
         left = sorted(r["feature"] for r in stats if r["feature"] in model.layout.continuous

@@ -194,12 +194,21 @@ class ColumnDecision:
     n_distinct: int
     kind: str
     values: list | None
+    train_values: list | None = None  # those of the training rows, where they are complete
 
     def kept(self, threshold: float, splits: Sequence[str]) -> bool:
         """B2: no split's missing share lies above the threshold; a split without rows does not count."""
         return all(self.missing.get(s) is None or self.missing[s] <= threshold for s in splits)
 
 
+def _values(rows: list) -> list | None:
+    """Values of all given sketches in order, missing last; None if one of them is not complete."""
+    if not all(r["exact"] for r in rows):
+        return None
+    found = sorted({v for r in rows for kind in ("nums", "ints", "texts") for v in (r[kind] or [])})
+    return found + ([None] if any(r["n_missing"] for r in rows) else [])
+
+
 def decide(profile: DataFrame, max_categories: int = 10, train_value: str = "train") -> dict[str, ColumnDecision]:
     """B2, B9, B10 per column from a ``wide_profile`` with k > max_categories.
 
@@ -213,10 +222,7 @@ def decide(profile: DataFrame, max_categories: int = 10, train_value: str = "tra
         train = [r for r in rows if r["split"] == train_value]
         n = sum(r["n_distinct"] + (r["n_missing"] > 0) for r in train)
         kind = "categorical" if all(r["exact"] for r in train) and n <= max_categories else "continuous"
-        values = None
-        if all(r["exact"] for r in rows):
-            values = sorted({v for r in rows for kind_ in ("nums", "ints", "texts") for v in (r[kind_] or [])})
-            values += [None] if any(r["n_missing"] for r in rows) else []
+        values, train_values = _values(rows), _values(train)
         missing = {r["split"]: r["n_missing"] / r["n"] if r["n"] else None for r in rows}
-        out[name] = ColumnDecision(name, missing, n, kind, values)
+        out[name] = ColumnDecision(name, missing, n, kind, values, train_values)
     return out

@@ -6,12 +6,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskspark.operators.clean import CleaningEstimator
+from riskspark.operators.clean import CleaningEstimator, CleaningModel, FeatureColumn, FeatureLayout
 from riskspark.operators.coded import CodedMatrix, pack_coded
+from riskspark.operators.mean_chain import chain_means
 from riskspark.operators.moments import gram_by_key
+from riskspark.operators.wide_profile import decide, wide_profile
 from riskspark.plans import cv
 from riskspark.plans.models import LinearScorer
-from riskspark.sources.spec import read_spec, spec_from_list
+from riskspark.sources.spec import MEAN, Rule, read_spec
 from riskspark.sources.tables import order_risk, wide_columns, wide_risk
 from riskspark.specs import spec_path
 from tests.conftest import SF_SMALL
@@ -42,9 +44,14 @@ def test_products_equal_the_dense_ones(n, p, q, seed):
 def wide(spark):
     """The published shape: 95 categorical and 44 continuous columns of 321."""
     df = wide_risk(spark, SF_SMALL)
-    specs = spec_from_list([{"id": c, "description": c, "type": "auto"} for c in wide_columns()])
-    model = CleaningEstimator(specs).fit(df)
-    return df, model
+    found = decide(wide_profile(df, wide_columns()))
+    kept = [c for c in wide_columns() if found[c].kept(0.1, ("train", "test"))]
+    kinds = {c: found[c].kind for c in kept}
+    rules = {c: [Rule("missing", value=MEAN)] for c in kept if kinds[c] == "continuous"}
+    means = chain_means(df.select("split", *rules), rules)
+    layout = FeatureLayout([FeatureColumn(c, "continuous", c) for c in rules]
+                           + [FeatureColumn(f"{c}={v}", "onehot", c, v) for c in kept if c not in rules for v in found[c].values])
+    return df, CleaningModel("id", "label", "split", kept, kinds, {c: found[c].values for c in kept if c not in rules}, rules, means, layout)
 
 
 def test_published_shape_without_a_dense_array(spark, wide):
