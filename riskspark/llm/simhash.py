@@ -6,21 +6,27 @@ spaces (repeats included; a shorter text is one shingle, a text without words
 has fingerprint zero). A bit is 1 if it is set in over half of the shingles'
 XXH64 values (seed 42).
 
-Pairs. Distinct fingerprints are indexed by vantage-point trees whose metric is
-the Hamming distance, first on segments of the fingerprint, then on all of it:
-
-* The 64 bits are cut into ``distance + 1`` segments. Two fingerprints within
-  ``distance`` bits agree on one segment at least, so in that segment's tree
-  the search radius is 0. The tree's nodes hold vantage points; a fingerprint
-  follows the branch of its distance to each. With radius 0 the triangle bound
-  |d(x,v) - d(y,v)| <= 0 prunes all other branches, and no leaf overlaps.
-* Below that, each leaf is a tree over the whole fingerprint with radius
-  ``distance``: fingerprints are cut into shells of distance to a vantage
-  point; the bound |d(x,v) - d(y,v)| <= distance lets only neighbouring shells
-  meet, so a fingerprint is also sent to the shell below when it lies within
-  the overlap (the boundary-overlapping shard).
-* Inside a shard the same bound is applied once more, with another vantage
-  point, as a sorted window; what is left is compared bit by bit.
+Pairs. The metric is the Hamming distance. The 64 bits are cut into segments,
+each with a search radius of 1 or 0, such that two fingerprints within
+``distance`` bits lie within the radius on at least one segment (if they did
+not, they would differ in more bits than ``distance``). Every segment has a
+vantage-point tree:
+
+* Trees are fitted to a bounded sample of the fingerprints, in tasks. A node
+  takes the vantage point and the threshold, out of several candidates from its
+  own sample, that cut its rows best; nodes are cut until a leaf is expected to
+  hold ``LEAF_ROWS`` fingerprints. Only nodes (at most 4,095 a tree) reach the
+  driver.
+* Every fingerprint goes down every tree. At a node, d = d(x, v): x belongs
+  inside if d <= t and outside if d > t. By the triangle bound, what lies within
+  the radius of x differs from d by the radius at most, so x is sent to both
+  sides only if t < d <= t + radius (the overlap at the boundary); otherwise one
+  branch is pruned. Leaves are the shards, named by tree and leaf alone.
+* A shard is cut further in its task by vantage points of its own rows, on the
+  segment and then on the whole fingerprint (radius ``distance``), until parts
+  are small; these are compared bit by bit. What no vantage point can cut (a
+  tight cluster) is compared in windows sorted by distance to a vantage point,
+  once more by the triangle bound.
 
 Every pair within ``distance`` meets in some shard, so links are exact. A shard
 sends back the edges of its own spanning stars instead of all its pairs, and a
@@ -32,6 +38,7 @@ a group.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,12 +46,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import components, doc_texts, ready, written
+from riskspark.llm.common import bounded_sample, components, doc_texts, ready, written
 
-#: Vantage points per segment tree (drawn from a fixed seed) and rows of a shard block.
-VANTAGE_POINTS = 5
-SHARD_ROWS = 4096
+#: Fingerprints that the trees are fitted to (about, at most), their depth, the rows a leaf is to hold,
+#: vantage points tried at a node, rows of a shard block, and rows that are compared without further cuts.
+SAMPLE_ROWS = 65_536
+MAX_DEPTH = 11
+LEAF_ROWS = 4096
+CANDIDATES = 12
+SHARD_ROWS = 131_072
 _SMALL = 256
+#: Rows of one fingerprint beyond which its join is salted.
+HOT_ROWS = 50_000
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -67,60 +80,176 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * ones > len(hashes)).tolist()))
 
 
-def with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp) with fp the fingerprint's 64 bits as a signed long."""
+def with_fingerprint(docs: DataFrame, shingle: int, text_hash: bool = False) -> DataFrame:
+    """(doc_id, fp) with fp the fingerprint's 64 bits as a signed long; on request with text_hash, XXH64 of the text."""
     ready(docs.sparkSession)
+    further = ["text_hash"] if text_hash else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
-
-    return doc_texts(docs).mapInPandas(run, "doc_id long, fp long")
-
-
-def _segments(count: int) -> list[tuple[int, int]]:
-    """(shift, width) of ``count`` segments that cover 64 bits."""
-    edges = [64 * i // count for i in range(count + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
-
-
-def _shards(fps: DataFrame, distance: int) -> DataFrame:
-    """(fp, seg, path, shell): every shard of the vantage-point trees that a fingerprint belongs to."""
-    rng = np.random.default_rng(20240607)
-    fp = F.col("fp")
-    trees = []
-    for seg, (shift, width) in enumerate(_segments(distance + 1)):
-        mask = (1 << width) - 1
-        value = F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit(mask))
-        branch = [F.bit_count(value.bitwiseXOR(F.lit(int(v)))).cast("long")
-                  for v in rng.integers(0, mask, VANTAGE_POINTS, endpoint=True)]
-        # the branches taken at each node, as one number; then the segment's own value is the leaf
-        path = F.lit(0).cast("long")
-        for b in branch:
-            path = path * (width + 1) + b
-        trees.append(F.struct(F.lit(seg).alias("seg"), path.alias("path"), value.alias("leaf")))
-    centre = int(rng.integers(-2 ** 63, 2 ** 63 - 1))
-    wide = 4 * (distance + 1)  # width of a shell; its lowest `distance` rings also belong to the shell below
-    far = F.bit_count(fp.bitwiseXOR(F.lit(centre))).cast("int")
-    home = F.floor(far / wide).cast("int")
-    shells = F.when((far - home * wide < distance) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    rows = fps.select("fp", F.explode(F.array(*trees)).alias("t"))
-    return rows.select("fp", "t.seg", "t.path", "t.leaf", F.explode(shells).alias("shell"))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64), **{c: batch[c] for c in further}})
+
+    texts = doc_texts(docs)
+    if text_hash:
+        texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    return texts.mapInPandas(run, "doc_id long, fp long" + "".join(f", {c} long" for c in further))
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Bits ``shift`` .. ``shift + width - 1`` of a fingerprint, searched within ``radius``."""
+    shift: int
+    width: int
+    radius: int
+
+    def values(self, fps: np.ndarray) -> np.ndarray:
+        return (fps >> np.uint64(self.shift)) & np.uint64((1 << self.width) - 1)
+
+
+def segments(distance: int) -> list[Segment]:
+    """Segments over all 64 bits. The sum of (radius + 1) is distance + 1, so two fingerprints outside
+    the radius on all of them differ in distance + 1 bits or more. Segments of radius 1 are five bits wider."""
+    count = distance // 2 + 1
+    ones = distance + 1 - count
+    narrow = (64 - 5 * ones) // count
+    out, shift = [], 0
+    for k in range(count):
+        radius = int(k < ones)
+        width = narrow + 5 * radius if k < count - 1 else 64 - shift
+        out.append(Segment(shift, width, radius))
+        shift += width
+    return out
+
+
+def _best_cut(values: np.ndarray, radius: int) -> tuple[np.uint64, int] | None:
+    """Vantage point and threshold, out of evenly spaced candidates, that leave the least pairs to compare;
+    None if no candidate spares a tenth of them."""
+    n, best, least = len(values), None, 0.9 * len(values) ** 2
+    for v in values[:: max(1, n // CANDIDATES)][:CANDIDATES]:
+        inside = np.cumsum(np.bincount(np.bitwise_count(values ^ v), minlength=65))
+        reached = inside[np.minimum(np.arange(len(inside)) + radius, len(inside) - 1)]  # with the overlap
+        cost = reached.astype(float) ** 2 + (n - inside).astype(float) ** 2
+        t = int(cost.argmin())
+        if cost[t] < least and reached[t] < n and inside[t] < n:
+            best, least = (v, t), cost[t]
+    return best
+
+
+def fit_tree(values: np.ndarray, radius: int, leaf_rows: float) -> pd.DataFrame:
+    """Nodes (vantage, threshold, inside, outside) of a vantage-point tree; leaves have threshold -1.
+
+    ``leaf_rows`` counts rows of ``values``; node 0 is the root."""
+    nodes: list[list[int]] = [[0, -1, -1, -1]]
+    todo = [(0, values, 0)]
+    while todo:
+        node, rows, depth = todo.pop()
+        cut = _best_cut(rows, radius) if depth < MAX_DEPTH and len(rows) > max(leaf_rows, 2) else None
+        if cut is None:
+            continue
+        v, t = cut
+        far = np.bitwise_count(rows ^ v)
+        nodes[node] = [int(np.uint64(v).view(np.int64)), t, len(nodes), len(nodes) + 1]
+        todo += [(len(nodes), rows[far <= t + radius], depth + 1), (len(nodes) + 1, rows[far > t], depth + 1)]
+        nodes += [[0, -1, -1, -1], [0, -1, -1, -1]]
+    return pd.DataFrame(nodes, columns=["vantage", "threshold", "inside", "outside"])
+
+
+def descend(values: np.ndarray, tree: pd.DataFrame, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf): every leaf that each of ``values`` is sent to."""
+    vantage = tree["vantage"].to_numpy(np.int64).view(np.uint64)
+    threshold, inside, outside = (tree[c].to_numpy(np.int64) for c in ("threshold", "inside", "outside"))
+    row, node = np.arange(len(values)), np.zeros(len(values), np.int64)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(row):
+        ended = threshold[node] < 0
+        found.append((row[ended], node[ended]))
+        row, node = row[~ended], node[~ended]
+        far = np.bitwise_count(values[row] ^ vantage[node]).astype(np.int64)
+        near, beyond = far <= threshold[node] + radius, far > threshold[node]
+        row, node = (np.concatenate([row[near], row[beyond]]),
+                     np.concatenate([inside[node[near]], outside[node[beyond]]]))
+    return np.concatenate([f[0] for f in found] or [row]), np.concatenate([f[1] for f in found] or [node])
+
+
+def fit_trees(fps: DataFrame, distance: int, leaf_rows: int = LEAF_ROWS) -> list[pd.DataFrame]:
+    """The trees of all segments, fitted to a sample of about SAMPLE_ROWS of the distinct ``fps`` (fp)."""
+    cuts = segments(distance)
+    sample = written(bounded_sample(fps.select("fp"), F.col("fp"), SAMPLE_ROWS), "simhash-sample")
+    share = sample.count() / max(1, fps.count())
+    rows = sample.select("fp", F.explode(F.array(*[F.lit(k) for k in range(len(cuts))])).alias("seg"))
+
+    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        cut = cuts[key[0]]
+        values = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)  # any order of the rows gives the same tree
+        return fit_tree(cut.values(values), cut.radius, leaf_rows * share).reset_index(names="node").assign(seg=key[0])
+
+    nodes = (rows.groupBy("seg").applyInPandas(fit, "node long, vantage long, threshold long, inside long, outside long, seg int")
+             .toPandas().sort_values(["seg", "node"]))
+    return [nodes[nodes["seg"] == k] if (nodes["seg"] == k).any() else fit_tree(np.zeros(0, np.uint64), 0, 1)
+            for k in range(len(cuts))]
+
+
+def _shards(fps: DataFrame, trees: list[pd.DataFrame], distance: int) -> DataFrame:
+    """(fp, nameless, low, seg, leaf): every shard of the trees that a fingerprint is sent to."""
+    cuts = segments(distance)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = batch["fp"].to_numpy(np.int64).view(np.uint64)
+            for k, (cut, tree) in enumerate(zip(cuts, trees)):
+                row, leaf = descend(cut.values(values), tree, cut.radius)
+                yield batch.iloc[row].assign(seg=k, leaf=leaf)
+
+    return fps.select("fp", "nameless", "low").mapInPandas(run, "fp long, nameless boolean, low long, seg int, leaf long")
 
 
 def _blocks(shards: DataFrame, shard_rows: int) -> DataFrame:
-    """(fp, shard, i, j, side): shards of over ``shard_rows`` rows become pairs of blocks i <= j."""
-    key = F.xxhash64("seg", "path", "leaf", "shell").alias("shard")
-    keyed = shards.select("fp", key)
+    """Rows of ``shards`` with (i, j): shards of over ``shard_rows`` rows become pairs of blocks i <= j."""
     # a table of the large shards: broadcast while small (Spark checks its size), so that no shard gathers in the join
-    large = written(keyed.groupBy("shard").count()
-                    .select("shard", F.ceil(F.col("count") / shard_rows).cast("int").alias("blocks")).where("blocks > 1"), "large")
-    rows = keyed.join(large, "shard", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    large = written(shards.groupBy("seg", "leaf").count()
+                    .select("seg", "leaf", F.ceil(F.col("count") / shard_rows).cast("int").alias("blocks")).where("blocks > 1"), "large")
+    rows = shards.join(large, ["seg", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = rows.select("fp", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return cells.repartition("shard", "i", "j")  # by all of it: the blocks of a shard go to different tasks
+    cells = rows.select(*shards.columns, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    # by all of it: the blocks of a shard go to different tasks
+    return cells.repartition("seg", "leaf", "i", "j").sortWithinPartitions("seg", "leaf", "i", "j")
+
+
+def _stars(values: np.ndarray, distance: int) -> np.ndarray:
+    """Edges of the spanning stars of a few ``values``, all compared with all."""
+    near = np.bitwise_count(values[:, None] ^ values) <= distance
+    if np.count_nonzero(near) == len(values):
+        return np.empty((0, 2), np.int64)
+    top = np.arange(len(values))
+    while True:
+        lower = np.where(near, top, len(values)).min(axis=1)
+        if (lower == top).all():
+            break
+        top = lower
+    linked = top != np.arange(len(values))
+    return np.stack([values[linked], values[top[linked]]], axis=1).view(np.int64)
+
+
+def cell_links(values: np.ndarray, cut: Segment, distance: int) -> np.ndarray:
+    """Edges (as signed longs) that connect exactly the distinct ``values`` within ``distance`` bits,
+    as far as they lie within ``cut.radius`` on the segment ``cut``."""
+    out, todo = [], [values]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= _SMALL:
+            out.append(_stars(rows, distance))
+            continue
+        for part, radius in ((cut.values(rows), cut.radius), (rows, distance)):
+            best = _best_cut(part, radius)
+            if best:
+                far = np.bitwise_count(part ^ best[0])
+                todo += [rows[far <= best[1] + radius], rows[far > best[1]]]
+                break
+        else:
+            out.append(_window_links(rows, distance))
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
 def _window_links(values: np.ndarray, distance: int) -> np.ndarray:
@@ -155,30 +284,62 @@ def _window_links(values: np.ndarray, distance: int) -> np.ndarray:
     return np.stack([v[linked], v[tops[linked]]], axis=1).view(np.int64)
 
 
-def fingerprint_links(fps: DataFrame, distance: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that connect exactly those within ``distance`` bits."""
+def fingerprint_links(fps: DataFrame, distance: int, shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """Edges (a, b) that connect exactly the rows of ``fps`` (fp, nameless, low; fp distinct) within ``distance`` bits.
+
+    a and b are (nameless, low, fp), so the smallest node of a component carries its smallest low."""
     if not 0 <= distance < 16:
         raise ValueError("distance must lie in 0..15")
-
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = np.unique(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
-        if len(values) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        edges = _window_links(values, distance)
-        return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
-
     ready(fps.sparkSession)
-    cells = _blocks(_shards(fps, distance), shard_rows)
-    # a cell of one fingerprint holds no pair
-    counted = cells.groupBy("shard", "i", "j").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")
+    cuts = segments(distance)
+    cells = _blocks(_shards(fps, fit_trees(fps, distance, leaf_rows), distance), shard_rows)
+
+    def links(cell: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(cell, ignore_index=True).sort_values("fp")  # fp is distinct within a cell
+        values = pdf["fp"].to_numpy(np.int64)
+        edges = cell_links(values.view(np.uint64), cuts[pdf["seg"].iloc[0]], distance)
+        a, b = np.searchsorted(values, edges[:, 0]), np.searchsorted(values, edges[:, 1])
+        nameless, low = pdf["nameless"].to_numpy(bool), pdf["low"].to_numpy(np.int64)
+        return pd.DataFrame({f"{c}{side}": x[at] for side, at in (("a", a), ("b", b))
+                             for c, x in (("nameless_", nameless), ("low_", low), ("fp_", values))})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, cell = None, []  # rows come sorted by cell, so one cell is held at a time
         for batch in batches:
-            out = [links(pd.DataFrame({"fp": np.asarray(x)})) for x in batch["fps"]]
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return counted.select("fps").mapInPandas(run, "a long, b long").distinct()
+            for key, part in batch.groupby(["seg", "leaf", "i", "j"], sort=True):
+                if key != name and cell:
+                    yield links(cell)
+                    cell = []
+                name = key
+                cell.append(part)
+        if cell:
+            yield links(cell)
+
+    flat = cells.mapInPandas(run, "nameless_a boolean, low_a long, fp_a long, nameless_b boolean, low_b long, fp_b long")
+
+    def node(side: str):
+        return F.struct(*[F.col(f"{c}_{side}").alias(c) for c in ("nameless", "low", "fp")]).alias(side)
+
+    return flat.select(node("a"), node("b")).distinct()
+
+
+def _with_component(rows: DataFrame, distance: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``rows`` (doc_id, fp, ...) with component_id, the smallest doc_id that links reach.
+
+    The components' smallest nodes carry the ids, so ids come back through one join on the fingerprint;
+    a fingerprint of over ``hot_rows`` rows is salted there."""
+    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+                  .select("fp", F.col("least").isNull().alias("nameless"), F.coalesce("least", F.lit(0)).alias("low"),
+                          (F.floor(F.col("n") / hot_rows) + 1).cast("int").alias("salts")), "distinct")
+    linked = components(fingerprint_links(fps, distance))
+    best = F.coalesce("component", F.struct("nameless", "low", "fp"))
+    named = (fps.join(linked.select(F.col("node.fp").alias("fp"), "component"), "fp", "left")
+             .select("fp", "salts", F.when(~best["nameless"], best["low"]).alias("component_id"), best["fp"].alias("component_fp"))
+             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
+    # one row per hot fingerprint, at most rows / hot_rows of them; Spark broadcasts it after a check of its size
+    hot = written(fps.where("salts > 1").select("fp", "salts"), "hot")
+    own = F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.coalesce("salts", F.lit(1))).cast("int")
+    return rows.join(hot, "fp", "left").withColumn("salt", own).drop("salts").join(named, ["fp", "salt"]).drop("salt")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
@@ -191,21 +352,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     as often as they occur. An empty table gives no rows; other columns are ignored.
     """
     rows = written(with_fingerprint(docs, shingle), "fingerprints")
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    linked = components(fingerprint_links(fps.select("fp"), distance))
-    named = (fps.join(linked.select(F.col("node").alias("fp"), "component"), "fp", "left")
-             .select("fp", "low", F.coalesce("component", "fp").alias("root")))
-    lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = named.join(lows, "root").select("fp", "component_id")
-    return (rows.join(by_fp, "fp")
+    return (_with_component(rows, distance)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its near-duplicates, with all columns.
+    """One row of each group of near-duplicates in ``docs``, with all columns.
 
-    Rows without a doc_id cannot be named and stay."""
-    found = near_duplicates(docs, shingle, distance)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    named = docs.join(first, F.col("doc_id") == F.col("__first"), "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    The row of the smallest doc_id stays (null ids come last); among several rows of
+    that id, the one whose text has the smallest hash; among rows that agree in both,
+    the one whose JSON form has the smallest hash, so that of equal rows one stays.
+    Null and empty texts are one group. An empty table gives no rows.
+    """
+    rows = written(with_fingerprint(docs, shingle, text_hash=True), "fingerprints")
+    # partial counts and minima keep large groups out of the exchange
+    keys = (_with_component(rows, distance)
+            .groupBy("component_fp", F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                     F.col("text_hash").alias("hash")).agg((F.count("*") > 1).alias("several")))
+    first = keys.groupBy("component_fp").agg(F.min(F.struct("nameless", "id", "hash", "several")).alias("o"))
+    first = written(first.select("o.*"), "first")
+    ids = F.col("doc_id").cast("long")
+    key = {"nameless": ids.isNull(), "id": F.coalesce(ids, F.lit(0)), "hash": F.xxhash64(F.coalesce("text", F.lit("")))}
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), *[v.alias(k) for k, v in key.items()])
+    kept = whole.join(first, list(key))
+    # rows that share id and text are rare; only they are grouped
+    single = kept.where(~F.col("several")).select("whole.*")
+    chosen = (kept.where("several").groupBy(*key)
+              .agg(F.min_by("whole", F.xxhash64(F.to_json("whole"))).alias("whole")).select("whole.*"))
+    return single.unionByName(chosen)

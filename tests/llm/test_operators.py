@@ -337,12 +337,62 @@ def test_fingerprint_links_in_a_crowded_shard(spark):
     rng = np.random.default_rng(6)
     values = np.unique(np.concatenate([np.int64(7) ^ (np.int64(1) << rng.integers(0, 62, 150)) ^ (np.int64(1) << rng.integers(0, 62, 150)),
                                        rng.integers(-2 ** 63, 2 ** 63 - 1, 100), np.arange(0, 2000, 9)]))
-    for shard_rows in (4096, 40):
-        edges = simhash.fingerprint_links(spark.createDataFrame(pd.DataFrame({"fp": values})), 3, shard_rows).toPandas()
-        at = {v: i for i, v in enumerate(values.tolist())}
-        bits = values.view(np.uint64)
-        near = np.argwhere(np.bitwise_count(bits[:, None] ^ bits) <= 3)
-        assert reach([(at[a], at[b]) for a, b in edges.itertuples(index=False)], len(values)) == reach(near[near[:, 0] < near[:, 1]].tolist(), len(values))
+    at = {v: i for i, v in enumerate(values.tolist())}
+    bits = values.view(np.uint64)
+    fps = spark.createDataFrame(pd.DataFrame({"fp": values, "nameless": False, "low": values}))
+    for distance, shard_rows, leaf_rows in ((3, 4096, 4096), (3, 40, 16), (4, 40, 4096), (4, 4096, 8), (0, 64, 64), (7, 4096, 32)):
+        edges = simhash.fingerprint_links(fps, distance, shard_rows, leaf_rows).select("a.fp", F.col("b.fp").alias("other")).collect()
+        near = np.argwhere(np.bitwise_count(bits[:, None] ^ bits) <= distance)
+        assert reach([(at[a], at[b]) for a, b in edges], len(values)) == reach(near[near[:, 0] < near[:, 1]].tolist(), len(values))
+
+
+@pytest.mark.parametrize("distance", range(16))
+def test_segments_let_no_pair_escape(distance):
+    cuts = simhash.segments(distance)
+    assert sum(c.width for c in cuts) == 64 and sum(c.radius + 1 for c in cuts) == distance + 1
+    assert [c.shift for c in cuts] == [sum(b.width for b in cuts[:k]) for k in range(len(cuts))]
+
+
+def test_vantage_points_cut_shards_and_prune_branches(spark):
+    rng = np.random.default_rng(8)
+    values = np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000))
+    fps = spark.createDataFrame(pd.DataFrame({"fp": values, "nameless": False, "low": values}))
+    trees = simhash.fit_trees(fps, 4, leaf_rows=1000)
+    rows = simhash._shards(fps, trees, 4).select("fp", "seg", "leaf").toPandas()
+    for k, cut in enumerate(simhash.segments(4)):
+        tree, part = trees[k], rows[rows["seg"] == k]
+        inner, copies = (tree["threshold"] >= 0).sum(), len(part) / len(values)
+        assert inner >= 16 and part["fp"].nunique() == len(values)
+        # every tree leaves shards near the size that was asked for, and sends few rows to both sides of a node
+        assert part.groupby("leaf").size().max() < 2500 and copies < (1.01 if cut.radius == 0 else 4)
+        # shards are regions about vantage points: every row of a leaf satisfies all bounds on the way down to it
+        bits = cut.values(part["fp"].to_numpy().view(np.uint64))
+        nodes = tree.set_index("node")
+        up = {int(nodes.at[n, side]): (n, side) for n in nodes.index[nodes["threshold"] >= 0] for side in ("inside", "outside")}
+        for value, leaf in list(zip(bits, part["leaf"]))[::97]:
+            while leaf in up:
+                leaf, side = up[leaf]
+                far = int(value ^ np.int64(nodes.at[leaf, "vantage"]).view(np.uint64)).bit_count()
+                t = nodes.at[leaf, "threshold"]
+                assert far <= t + cut.radius if side == "inside" else far > t
+
+
+def test_cell_links_equal_all_pairs():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2 ** 64, 40, dtype=np.uint64)
+    noise = (np.uint64(1) << rng.integers(0, 64, (40, 60, 3), dtype=np.uint64))
+    values = np.unique((base[:, None] ^ np.bitwise_xor.reduce(noise, axis=2)).ravel())
+    at = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    whole = simhash.Segment(0, 64, 4)
+    edges = simhash.cell_links(values, whole, 4)
+    near = np.argwhere(np.bitwise_count(values[:, None] ^ values) <= 4)
+    assert reach([(at[int(a)], at[int(b)]) for a, b in edges], len(values)) == reach(near[near[:, 0] < near[:, 1]].tolist(), len(values))
+
+
+def test_hot_fingerprints_are_salted(spark):
+    rows = spark.range(300).selectExpr("CAST(id AS long) AS doc_id", "CAST(IF(id % 3 = 0, 5, id << 20) AS long) AS fp")
+    got = {r.doc_id: r.component_id for r in simhash._with_component(rows, 1, hot_rows=10).collect()}
+    assert len(got) == 300 and {got[i] for i in range(0, 300, 3)} == {0}
 
 
 def test_embedding_groups(spark, monkeypatch):
