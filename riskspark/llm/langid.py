@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import bounded_sample, doc_texts, held_out, is_train, ready
+from riskspark.llm.common import doc_texts, held_out, is_train, ready
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -133,7 +133,11 @@ def fit(docs: DataFrame, train: DataFrame, rows: int = TRAIN_ROWS, space: Space
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "v": [np.sum(np.stack(pdf["v"].to_numpy()), axis=0)]})
 
-    chosen = bounded_sample(train, F.col("doc_id"), rows)
+    # about ``rows`` rows of every language, all of a rarer one; the counts are one row a language, like the prototypes
+    counts = train.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.lit(1 << 40) * F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n"))
+    chosen = (train.join(F.broadcast(counts), "lang")
+              .where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) < share).select("doc_id", "text", "lang"))
     schema = "lang string, v array<double>"
     sums = chosen.mapInPandas(bundle, schema).groupBy("lang").applyInPandas(add, schema).toPandas().sort_values("lang")
     if not len(sums):
