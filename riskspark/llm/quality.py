@@ -216,12 +216,20 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score 0.5 or more, with their columns as they are."""
-    stats = written(with_statistics(docs), "statistics")
-    model = fit(stats, training_labels(labels, "quality"))
+    """The rows of ``docs`` that score 0.5 or more, with their columns as they are.
+
+    Rows are stored once with their statistics; fitting reads the statistics alone. Null
+    and empty texts are scored like any text (all statistics zero). Repeated rows stay or
+    go together; a row without doc_id is judged but not learned from. Without labels
+    every score is 0.5, so every row stays. An empty table gives no rows. Further
+    columns, whatever their names, are kept.
+    """
+    ready(docs.sparkSession)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t or "") for t in texts])) if len(texts) else np.zeros(0))
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return pd.Series([statistics(t or "") for t in texts], dtype=object)
 
-    return docs.where(scored(F.col("text")) >= 0.5)
+    rows = written(docs.select(F.struct(*docs.columns).alias("whole"), measured(F.col("text")).alias("x")), "measured")
+    model = fit(rows.select(F.col("whole.doc_id").cast("long").alias("doc_id"), "x"), training_labels(labels, "quality"))
+    return rows.where(model.column(F.col("x")) >= 0.5).select("whole.*")
