@@ -8,10 +8,13 @@ absent. Every coordinate has its own learning
 rate (from its sum of squared gradients) and an L1 proximal step, so only slots
 with repeated evidence get a weight.
 
-Fitting. A labelled sample of at most about ``TRAIN_ROWS`` rows (a documented
-bound, picked by a hash) is learned by one learner in ``EPOCHS`` passes of FTRL, in
-one task: learners of parts would each miss the rarer words. Only its non-zero
-weights travel: they are what is broadcast to score the documents.
+Fitting. A labelled sample of at most about ``TRAIN_ROWS`` rows and ``TRAIN_SLOTS``
+features (documented bounds, picked by a hash) is learned by one learner in ``EPOCHS``
+passes of FTRL, in one task: learners of parts would each miss the rarer words. Texts
+are hashed where they are read; the learner gets slots alone, and of these only the
+ones it could ever give a weight: a gradient is below 1 in size, so a slot that is in
+``L1 / EPOCHS`` rows or fewer never leaves zero. Only the non-zero weights travel on:
+they are what is broadcast to score the documents.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from riskspark.llm.quality import training_labels
 
 BITS = 22
 TRAIN_ROWS = 40_000
+TRAIN_SLOTS = 60_000_000
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 1.0
 STEM = 5
@@ -127,22 +131,61 @@ class ToxicityModel:
         return scored(text)
 
 
+def slot_lists(train: DataFrame) -> DataFrame:
+    """(doc_id, y, slots): the distinct features of every row of ``train`` (doc_id, text, y), ascending from the constant."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 100):
+                part = batch.iloc[start:start + 100]
+                row, slot = features(part["text"].tolist())
+                pairs = np.unique(np.stack([np.concatenate([row, np.arange(len(part))]),
+                                            np.concatenate([slot, np.zeros(len(part), np.int64)])], axis=1), axis=0)
+                cuts = np.searchsorted(pairs[:, 0], np.arange(1, len(part)))
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "y": part["y"].to_numpy(float),
+                                    "slots": np.split(pairs[:, 1].astype(np.int32), cuts)})
+
+    return train.select("doc_id", "text", "y").mapInPandas(run, "doc_id long, y double, slots array<int>")
+
+
+def learnable(rows: DataFrame, epochs: int) -> np.ndarray:
+    """For every slot, whether enough of ``rows`` hold it for a weight ever to leave zero (the constant's always may).
+
+    Slots are counted on the cluster; what reaches the driver is one bit a slot."""
+    enough = rows.select(F.explode("slots").alias("slot")).groupBy("slot").count().where(F.col("count") * epochs > L1)
+    # buckets of 32,768 slots, numbered from 1
+    found = (enough.groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits")).collect())
+    out = np.zeros(2 ** BITS + 32_768, bool)
+    for r in found:
+        start = (r.bucket - 1) * 32_768
+        out[start:start + 32_768] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
+    out[0] = True
+    return out[:2 ** BITS + 1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
-        epochs: int = EPOCHS) -> ToxicityModel:
+        epochs: int = EPOCHS, train_slots: int = TRAIN_SLOTS) -> ToxicityModel:
     """Fit on ``labels`` (doc_id, y in 0/1) joined to ``docs``. Without labels the model scores 0 everywhere."""
     ready(docs.sparkSession)
     chosen = bounded_sample(labels, F.col("doc_id"), train_rows)
     # at most about train_rows pairs of numbers: sent to the texts, which stay where they are
-    train = written(doc_texts(docs).join(F.broadcast(chosen), "doc_id"), "toxicity-train")
+    rows = written(slot_lists(doc_texts(docs).join(F.broadcast(chosen), "doc_id")), "toxicity-train")
+    total = rows.agg(F.sum(F.size("slots"))).first()[0] or 0
+    if total > train_slots:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("slots")), F.lit(1_000_000)) < int(1_000_000 * train_slots / total))
+    packed = np.packbits(learnable(rows, epochs))
+
+    def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        useful = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            batch["slots"] = [np.asarray(x)[useful[x]] for x in batch["slots"]]
+            yield batch
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(at=[xxhash.xxh64_intdigest(str(d), 1) for d in pdf["doc_id"]]).sort_values(["at", "text"])
-        texts, y = pdf["text"].tolist(), pdf["y"].to_numpy(float)
-        examples: list[np.ndarray] = []
-        for start in range(0, len(texts), 100):
-            row, slot = features(texts[start:start + 100])
-            for k in range(len(texts[start:start + 100])):
-                examples.append(np.append(np.unique(slot[row == k]), 0).astype(np.int32))
+        pdf = pdf.assign(at=[xxhash.xxh64_intdigest(str(d), 1) for d in pdf["doc_id"]],
+                         key=[np.asarray(x).tobytes() for x in pdf["slots"]]).sort_values(["at", "key", "y"])
+        examples, y = pdf["slots"].tolist(), pdf["y"].to_numpy(float)
         model = Ftrl()
         order = np.random.default_rng(3)
         for _ in range(epochs):
@@ -153,7 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
         return pd.DataFrame({"slot": at.astype(np.int64), "w": w[at]})
 
     # a few hundred weights, already in order of slot; a sort in Spark would sample its input first and so fit twice
-    learned = train.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "slot long, w double").toPandas()
+    screened = rows.mapInPandas(screen, "doc_id long, y double, slots array<int>")
+    learned = screened.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "slot long, w double").toPandas()
     return ToxicityModel(learned["slot"].to_numpy(np.int64), learned["w"].to_numpy(float), len(learned) > 0)
 
 

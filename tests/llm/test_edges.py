@@ -61,6 +61,15 @@ def test_defined_results(docs, labels):
     assert removed[5] == (126, 126) and removed[4][1] < 126 and removed[1] == (0, 0)
 
 
+def test_quality_stage_edges(docs, labels):
+    assert quality.keep_documents(docs.limit(0), labels).count() == 0
+    every = quality.keep_documents(docs, labels.limit(0))
+    assert every.columns == docs.columns and every.count() == len(ROWS) and every.where("text is null").count() == 2
+    scores = {(r.doc_id, r.score) for r in quality.score_documents(docs, labels).collect()}
+    kept = [r.doc_id for r in quality.keep_documents(docs, labels).collect()]
+    assert set(kept) == {i for i, s in scores if s >= 0.5} and kept.count(1) in (0, 2)
+
+
 def test_packing_edges(docs):
     got = packing.pack_documents(docs).toPandas()
     assert got["piece_words"].sum() == sum(len((r[1] or "").split()) + 1 for r in ROWS)

@@ -81,6 +81,42 @@ def test_more_labels_do_not_dilute_the_weights_of_rare_words(spark):
     assert (model.score([f"c1 c2 t{k}" for k in range(40)]) >= 0.7).mean() > 0.9
 
 
+def test_toxicity_weights_equal_plain_ftrl(spark):
+    """One coordinate at a time, from the published update rule, over every feature of every row."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 60, 6)) + (" bad thing" if i % 4 == 0 else ""), int(i % 4 == 0))
+            for i in range(160)] + [(500, "", 0), (501, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    model = toxicity.fit(docs, docs.select("doc_id", "y"))
+    examples = []
+    for d, text, y in sorted(rows, key=lambda r: xxhash.xxh64_intdigest(str(r[0]), 1)):
+        _, slot = toxicity.features([text or ""])
+        examples.append((sorted(set(slot.tolist()) | {0}), y))
+    z, n, w = Counter(), Counter(), {}
+
+    def weight(i):
+        l1 = 0.0 if i == 0 else toxicity.L1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(3)
+    for _ in range(toxicity.EPOCHS):
+        for k in order.permutation(len(examples)):
+            slots, y = examples[k]
+            w = {i: weight(i) for i in slots}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in slots:
+                step = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                z[i] += g - step * w[i]
+                n[i] += g * g
+    want = {i: weight(i) for i in z if weight(i)}
+    assert model.slots.tolist() == sorted(want) and len(want) > 3
+    assert np.allclose(model.weights, [want[i] for i in sorted(want)], rtol=1e-9)
+    thinned = toxicity.fit(docs, docs.select("doc_id", "y"), train_slots=1000)
+    assert 0 < abs(thinned.weights[0]) < abs(model.weights[0])
+
+
 def test_toxicity_features_are_words_stems_pairs_and_skip_pairs():
     row, slot = toxicity.features(["one Two! three", "", "  two", "..."])
     assert Counter(row.tolist()) == {0: 3 + 0 + 2 + 1, 2: 1}
@@ -96,6 +132,13 @@ def test_language_is_right_on_held_out_rows(spark):
     assert (held["lang_pred"] == held["lang"]).mean() > 0.97 and got["score"].between(0, 1).all()
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the cat sat on the mat with the dog", "en") for i in range(400)] + [(1000 + i, "zzq vvx qqz xxv zqv", "rare") for i in range(2)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, prototypes = langid.fit(train, train, rows=20)
+    assert names == ["en", "rare"] and np.allclose(np.linalg.norm(prototypes, axis=1), 1)
+
+
 def test_bundle_equals_the_sum_of_bound_letter_vectors():
     space = langid.Space(dimensions=64)
     padded = " ab c "
