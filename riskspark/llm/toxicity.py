@@ -182,10 +182,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
             batch["slots"] = [np.asarray(x)[useful[x]] for x in batch["slots"]]
             yield batch
 
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(at=[xxhash.xxh64_intdigest(str(d), 1) for d in pdf["doc_id"]],
-                         key=[np.asarray(x).tobytes() for x in pdf["slots"]]).sort_values(["at", "key", "y"])
-        examples, y = pdf["slots"].tolist(), pdf["y"].to_numpy(float)
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []  # rows arrive in batches and are kept as four bytes a slot
+        for batch in batches:
+            for d, label, slots in zip(batch["doc_id"], batch["y"], batch["slots"]):
+                slots = np.array(slots, np.int32)
+                found.append((xxhash.xxh64_intdigest(str(d), 1), xxhash.xxh64_intdigest(slots.tobytes()), label, slots))
+        if not found:
+            return
+        found.sort(key=lambda r: r[:3])  # whatever the order of arrival
+        examples, y = [r[3] for r in found], [r[2] for r in found]
         model = Ftrl()
         order = np.random.default_rng(3)
         for _ in range(epochs):
@@ -193,11 +199,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
                 model.learn(examples[k], y[k])
         w = model.weights(np.arange(2 ** BITS + 1))
         at = np.flatnonzero(w)
-        return pd.DataFrame({"slot": at.astype(np.int64), "w": w[at]})
+        yield pd.DataFrame({"slot": at.astype(np.int64), "w": w[at]})
 
     # a few hundred weights, already in order of slot; a sort in Spark would sample its input first and so fit twice
     screened = rows.mapInPandas(screen, "doc_id long, y double, slots array<int>")
-    learned = screened.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "slot long, w double").toPandas()
+    learned = screened.repartition(1).mapInPandas(learn, "slot long, w double").toPandas()
     return ToxicityModel(learned["slot"].to_numpy(np.int64), learned["w"].to_numpy(float), len(learned) > 0)
 
 
