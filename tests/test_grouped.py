@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import gd
 from riskspark.operators.gd import Task, class_ratios, fit_gd, gradient_pass
-from riskspark.operators.grouped import GroupedBlock, pack_grouped
+from riskspark.operators.grouped import GroupedBlock, pack_grouped, read_grouped
 from riskspark.operators.moments import iter_xyk
 
 TASKS = [Task(loss, 0.5, 0.0, fold, balance) for fold in (-1, 0, 2) for loss, balance in
@@ -73,3 +73,44 @@ def test_steps_stream_grouped_blocks_without_losses(spark, rows, monkeypatch):
     assert [s[0] for s in seen] == [False, False, True]
     assert seen[0][1] < 500 * 8 * 12 / 2
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def _line(n=4000):
+    rng = np.random.default_rng(5)
+    X = np.column_stack([np.ones(n), rng.integers(1, 21, n) / 50.0, rng.integers(0, 3, n) / 10.0, rng.normal(size=n)])
+    return X, np.where(rng.random(n) < 0.3, 1.0, -1.0), rng.integers(0, 2, n)
+
+
+@pytest.mark.parametrize("width, varying", [(3, 0), (4, 1)])
+def test_columns_of_few_values_are_shared(width, varying):
+    """Before, every column that was not 0/1 went to Python row by row in every step."""
+    X, y, fold = _line()
+    X = X[:, :width]
+    batch = GroupedBlock.of(X, y, fold).batch()
+    (block,) = read_grouped(batch, width)
+    assert len(block.positions) == varying
+    assert batch.nbytes < 8 * len(y) * (varying + 0.5)
+    assert block.counts.sum() == len(y)
+    got = np.concatenate([np.column_stack([a, b, c]) for a, b, c in block.dense()])
+    assert sorted(map(tuple, got)) == sorted(map(tuple, np.column_stack([X, y, fold])))
+
+
+def test_gradient_over_shared_columns_equals_that_of_rows(spark):
+    X, y, fold = _line()
+    data = [([float(v) for v in x], float(t), int(f)) for x, t, f in zip(X[:, :3], y, fold)]
+    rows = spark.createDataFrame(data, "x array<double>, y double, fold int").repartition(2)
+    blocks = pack_grouped(rows, "x", 3).persist()
+    W = np.random.default_rng(1).normal(size=(3, len(TASKS)))
+    ratios = class_ratios(rows, TASKS)
+    plain = gradient_pass(rows, 3, TASKS, W, ratios)
+    step = gradient_pass(blocks, 3, TASKS, W, ratios, with_loss=False)
+    for i in (0, 1, 3):
+        assert np.allclose(step[i], plain[i], rtol=1e-11, atol=1e-9)
+    blocks.unpersist()
+
+
+def test_few_values_are_not_shared_where_groups_would_outweigh_them():
+    rng = np.random.default_rng(6)
+    X = np.column_stack([np.ones(300), rng.integers(0, 200, (300, 2)) / 7.0])
+    block = GroupedBlock.of(X, np.ones(300), np.zeros(300, np.int64))
+    assert len(block.positions) and len(block.starts) < 300
