@@ -114,3 +114,25 @@ def test_few_values_are_not_shared_where_groups_would_outweigh_them():
     X = np.column_stack([np.ones(300), rng.integers(0, 200, (300, 2)) / 7.0])
     block = GroupedBlock.of(X, np.ones(300), np.zeros(300, np.int64))
     assert len(block.positions) and len(block.starts) < 300
+
+
+def test_same_descents_share_their_gradients(spark, rows, monkeypatch):
+    """Before, models that differ in their thresholds alone had every gradient computed again."""
+    seen, plain = [], gd.gradient_pass
+
+    def watched(df, d, tasks, *args, **named):
+        seen.append(len(tasks))
+        return plain(df, d, tasks, *args, **named)
+
+    monkeypatch.setattr(gd, "gradient_pass", watched)
+    twice = [*TASKS, *[Task(t.loss, t.gamma, t.lam, t.val_fold, t.balance) for t in TASKS], Task("mse", 0.4), Task("mse", 0.5, 0.1)]
+    mask = np.ones((12, len(twice)))
+    mask[3, 4] = 0.0
+    W, loss = fit_gd(rows, 12, twice, 3, mask=mask)
+    n = len(TASKS)
+    assert seen == [n + 3] * 4
+    W1, loss1 = fit_gd(rows, 12, twice[n:], 3)
+    assert np.allclose(W[:, n:], W1, rtol=1e-10) and np.allclose(loss[n:], loss1, rtol=1e-10)
+    same = [m for m in range(n) if m != 4]
+    assert np.array_equal(W[:, same], W[:, [m + n for m in same]]) and np.array_equal(loss[same], loss[[m + n for m in same]])
+    assert W[3, 4] == 0.0 and W[3, 4 + n] != 0.0
