@@ -139,3 +139,30 @@ def test_cross_validation_goes_on_from_its_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(gd, "gradient_pass", plain)
     resumed = list(cv.cross_validate(data.where("false"), layout, configs, 3, 20, resume=str(tmp_path), save_every=2).rows())
     assert resumed == straight
+
+
+def test_cross_validation_goes_on_whatever_the_order_of_the_moments_sums(spark, tmp_path, monkeypatch):
+    from riskspark.operators import gd
+    from riskspark.operators.clean import FeatureColumn, FeatureLayout
+    from riskspark.plans import cv
+    rows = [(i, "train", 1 if i % 3 else -1, float(i * i % 37)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, split string, label int, v double")
+    layout = FeatureLayout([FeatureColumn("v", "continuous", "v")]).with_intercept()
+    data, passes, sums = cv.prepare(df, layout, 3), [], []
+    plain, moments = gd.gradient_pass, cv.fold_moments
+
+    def other_order(*args):
+        sums.append(1)
+        found = moments(*args)
+        return {f: (n, np.nextafter(mu, len(sums) * 100.0), m2) for f, (n, mu, m2) in found.items()} if len(sums) > 1 else found
+
+    monkeypatch.setattr(cv, "fold_moments", other_order)
+    monkeypatch.setattr(gd, "gradient_pass", lambda *a, **k: (passes.append(1), plain(*a, **k))[1])
+    for steps in (4, 10):
+        passes.clear()
+        res = cv.cross_validate(data, layout, [cv.ModelConfig("logistic", steps, 0.7)], 3, 20, resume=str(tmp_path), save_every=2)
+    assert len(passes) == 10 - 4 + 1
+    monkeypatch.setattr(cv, "fold_moments", moments)
+    straight = cv.cross_validate(data, layout, [cv.ModelConfig("logistic", 10, 0.7)], 3, 20)
+    assert [r["f1"] for r in res.rows()] == [r["f1"] for r in straight.rows()]
+    np.testing.assert_allclose([r.weights for r in res.folds], [r.weights for r in straight.folds], rtol=1e-9)
